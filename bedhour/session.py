@@ -17,6 +17,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.ui.enabled": "false",
+    # Plans here have hundreds of expressions; do not record a call site for each.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

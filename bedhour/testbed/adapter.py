@@ -254,13 +254,12 @@ def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {name: raw_table(spark, sf_dir, name, events) for name in ["patient", "diagnosis", *_RAW]}
 
 
-def small_table(spark: SparkSession, columns: str, rows: list[tuple]) -> DataFrame:
-    return spark.createDataFrame(rows, columns)
-
-
 def dictionary(spark: SparkSession, pairs: list[tuple[str, str]]) -> DataFrame:
-    rows = [(a, b, i) for i, (a, b) in enumerate(pairs)]
-    return small_table(spark, "itemstring string, altername string, position bigint", rows)
+    rows = [
+        F.struct(F.lit(a).alias("itemstring"), F.lit(b).alias("altername"), F.lit(i).cast("bigint").alias("position"))
+        for i, (a, b) in enumerate(pairs)
+    ]
+    return spark.range(1).select(F.inline(F.array(*rows)))
 
 
 # Dictionaries of the final table: itemstring, altername.
