@@ -851,3 +851,108 @@ oracle(
     "outlook",
     "SELECT Annotation, Shock_next_12h, count(*) AS rows FROM outlook GROUP BY Annotation, Shock_next_12h",
 )
+
+# ---- the final table -----------------------------------------------------
+
+cte(
+    "f_chart",
+    "chart_all vitals_long stays",
+    f"""SELECT c.patientunitstayid, event_min, {mapped('l', 'chart')} AS label, v AS value FROM (
+         SELECT patientunitstayid, event_min, nursingchartcelltypevallabel AS l, {num('nursingchartvalue')} AS v
+         FROM (SELECT DISTINCT * FROM chart_all)
+         UNION ALL SELECT patientunitstayid, event_min, nursingchartcelltypevallabel, nursingchartvalue FROM vitals_long) c
+       JOIN stays s ON s.patientunitstayid = c.patientunitstayid WHERE v IS NOT NULL AND {mapped('l', 'chart')} IS NOT NULL""",
+)
+cte(
+    "f_lab_all",
+    "lab_all stays",
+    f"""SELECT l.patientunitstayid, event_min, labname AS label, v AS value
+       FROM (SELECT *, {num('labresult')} AS v FROM lab_all) l JOIN stays s ON s.patientunitstayid = l.patientunitstayid WHERE v IS NOT NULL""",
+)
+cte(
+    "f_lab",
+    "f_lab_all",
+    """SELECT l.* FROM f_lab_all l JOIN (SELECT label, quantile_cont(value, 0.02) AS lo, quantile_cont(value, 0.98) AS hi
+       FROM f_lab_all GROUP BY label) b ON b.label = l.label WHERE value BETWEEN lo AND hi""",
+)
+cte("f_chart_pts", "f_chart stays", points("f_chart"))
+cte("f_lab_pts", "f_lab stays", points("f_lab"))
+cte(
+    "f_stays",
+    "stays f_chart_pts f_lab_pts treatment_once dx",
+    f"""SELECT * REPLACE ({CODES}), CAST(patientunitstayid IN (SELECT patientunitstayid FROM treatment_once WHERE treatmentstring = 't5') AS INTEGER) AS cultured,
+       CAST(patientunitstayid IN (SELECT patientunitstayid FROM dx WHERE {GROUP_TESTS['suspected_infection']}) AS INTEGER) AS suspected_infection,
+       CAST(patientunitstayid IN (SELECT patientunitstayid FROM dx WHERE {GROUP_TESTS['Acute_Myocardial_Infarction']}) AS INTEGER) AS infarction
+       FROM stays WHERE los >= 24 AND patientunitstayid IN (
+         SELECT patientunitstayid FROM f_chart_pts WHERE label = 'ABPs' INTERSECT SELECT patientunitstayid FROM f_chart_pts WHERE label = 'ABPd'
+         INTERSECT SELECT patientunitstayid FROM f_lab_pts WHERE label = 'Lactate')""",
+)
+cte("f_grid", "f_stays", "SELECT patientunitstayid, unnest(range(los)) AS hour FROM f_stays WHERE admissionweight <> 0")
+_CHART = {"ABPs": "abps", "ABPd": "abpd", "FIO2 (%)": "cfio2", "Temperature": "temp", "HR": "hr", "Cardiac Output": "co"}
+_LAB = {"Lactate": "lact", "Creatinine": "crea", "FIO2 (%)": "lfio2", "PaO2": "pao2"}
+cte("f_chart_cells", "f_chart_pts", pivot("f_chart_pts", "label", "value", _CHART))
+cte("f_lab_cells", "f_lab_pts", pivot("f_lab_pts", "label", "value", _LAB))
+cte(
+    "f_ff",
+    "f_grid f_chart_cells f_lab_cells",
+    "SELECT g.patientunitstayid, g.hour, "
+    + ", ".join(f"last_value({c} IGNORE NULLS) OVER w AS {c}" for c in [*_CHART.values(), *_LAB.values()])
+    + """ FROM f_grid g LEFT JOIN f_chart_cells c ON c.patientunitstayid = g.patientunitstayid AND c.hour = g.hour
+       LEFT JOIN f_lab_cells l ON l.patientunitstayid = g.patientunitstayid AND l.hour = g.hour
+       WINDOW w AS (PARTITION BY g.patientunitstayid ORDER BY g.hour)""",
+)
+cte(
+    "f_doses",
+    "intake_on drug_on cryst_on",
+    """SELECT patientunitstayid, hour, max(x) FILTER (n = 'c0') AS c0, max(x) FILTER (n = 'c1') AS c1, max(x) FILTER (n = 'c2') AS c2,
+       max(x) FILTER (n = 'c3') AS c3, max(x) FILTER (n = 'Norepinephrine (mcg/min)') AS nore, max(r) FILTER (n = 'Norepinephrine (mcg/min)') AS nore_rate,
+       max(x) FILTER (n = 'Dopamine (ml/hr)') AS dopa, max(r) FILTER (n = 'Dopamine (ml/hr)') AS dopa_rate, max(x) FILTER (n = 'Saline') AS saline,
+       max(x) FILTER (n = 'cryst') AS cryst FROM (
+         SELECT patientunitstayid, hour, celllabel AS n, dose AS x, 0 AS r FROM intake_on
+         UNION ALL SELECT patientunitstayid, hour, drugname, amount, rate FROM drug_on
+         UNION ALL SELECT patientunitstayid, hour, 'cryst', dose, 0 FROM cryst_on) GROUP BY patientunitstayid, hour""",
+)
+cte(
+    "f_marks",
+    "treated intakeOutput output_pts",
+    f"""SELECT patientunitstayid, hour, max(culture) AS culture, max(dialysis) AS dialysis, max(abx) AS abx, avg(urine) AS urine FROM (
+         SELECT patientunitstayid, hour, CAST(treatmentstring = 't1' AS INTEGER) AS culture, CAST(treatmentstring IN ('t2', 't3') AS INTEGER) AS dialysis,
+           0 AS abx, NULL AS urine FROM treated
+         UNION ALL SELECT patientunitstayid, {hour('intakeoutputoffset')}, 0, 0, 1, NULL FROM intakeOutput
+           WHERE cellpath ILIKE '%intake%' AND celllabel = 'c1'
+         UNION ALL SELECT patientunitstayid, hour, 0, 0, 0, value FROM output_pts WHERE celllabel IN ('c0', 'c1'))
+       GROUP BY patientunitstayid, hour""",
+)
+cte(
+    "f_in",
+    "f_ff f_doses f_marks f_stays vent_iv",
+    """SELECT f.patientunitstayid, f.hour, s.* EXCLUDE (patientunitstayid), (2 * coalesce(abpd, 75) + coalesce(abps, 125)) / 3 AS map,
+       coalesce(lact, 1.1) AS lactate, coalesce(crea, 0.7) AS crea, coalesce(lfio2, cfio2, 21) AS fio2,
+       coalesce(CASE WHEN temp <= 50 THEN temp END, 36.5) AS temp, coalesce(hr, 70) AS hr,
+       coalesce(co, 3.5::DOUBLE * 0.007184::DOUBLE * (pow(admissionweight, 0.425::DOUBLE) * pow(admissionheight, 0.725::DOUBLE))) AS co,
+       coalesce(pao2, 75) / (coalesce(lfio2, cfio2, 21) / 100) AS pf,
+       coalesce(d.c0, 0) * 1.4::DOUBLE / 1000 + coalesce(d.nore, 0) / 1000 AS nore_mg, coalesce(d.nore_rate, 0) / admissionweight AS nore,
+       coalesce(d.dopa, 0) * 1.26::DOUBLE / 1000 AS dopa_mg, coalesce(d.dopa_rate, 0) * 60 * 1.26::DOUBLE * 1000 AS dopa, 0 AS epi,
+       coalesce(d.saline, 0) + coalesce(d.c2, 0) + coalesce(d.c1, 0) + coalesce(d.cryst, 0) AS fluids,
+       CAST(coalesce(d.c3, 0) > 0 OR coalesce(m.abx, 0) > 0 AS INTEGER) AS antibiotics, coalesce(m.urine, 0) AS urine,
+       CAST(s.cultured > 0 OR coalesce(m.culture, 0) > 0 AS INTEGER) AS culture, CAST(coalesce(m.dialysis, 0) AS DOUBLE) AS dialysis,
+       CAST(v.patientunitstayid IS NOT NULL AS INTEGER) AS vent, 300 AS plt, 2 AS bili, 15 AS gcs
+       FROM f_ff f JOIN f_stays s ON s.patientunitstayid = f.patientunitstayid
+       LEFT JOIN f_doses d ON d.patientunitstayid = f.patientunitstayid AND d.hour = f.hour
+       LEFT JOIN f_marks m ON m.patientunitstayid = f.patientunitstayid AND m.hour = f.hour
+       LEFT JOIN vent_iv v ON v.patientunitstayid = f.patientunitstayid AND f.hour >= v.start_hour AND f.hour < v.stop_hour""",
+)
+cte("f_vaso", "f_in", "SELECT *, CAST(nore_mg + dopa_mg > 0 AS INTEGER) AS vaso FROM f_in")
+cte("f_sofa", "f_vaso", SOFA.format(source="f_vaso"))
+cte("f_state", "f_sofa", STATE.format(source="f_sofa"))
+cte("f_next", "f_state", NEXT.format(source="f_state"))
+oracle(
+    "final_table",
+    "f_next",
+    """SELECT patientunitstayid, hour, uniquepid, Age, gender, ethnicity, admissionweight AS weight, suspected_infection, infarction,
+       culture AS blood_culture, dialysis, round(urine, 6) AS urine, round(map, 6) AS MAP, 1 AS MAP_fillna, round(lactate, 6) AS Lactate,
+       round(crea, 6) AS Creatinine, round(fio2, 6) AS fio2, round(temp, 6) AS Temperature, round(hr, 6) AS HR, round(co, 6) AS cardiac_output,
+       round(nore_mg, 9) AS norepinephrine_mg, round(nore, 6) AS norepinephrine_rate, round(dopa_mg, 9) AS dopamine_mg, round(dopa, 6) AS dopamine_rate,
+       round(fluids, 6) AS fluids, antibiotics AS Antibiotics, vaso AS vasoactive, vent AS ventilated, Sofa_Respiration, Sofa_Cardiovascular,
+       Sofa_Urine, SoFa_score, Annotation, Shock_next_12h FROM f_next""",
+)
