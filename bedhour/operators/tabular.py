@@ -4,11 +4,13 @@ Shape of the job, whatever the number of families and labels:
 
 1. all families in one stream, averaged per (stay, feature, hour). Rows are
    combined on the map side, so a hot stay or hour shuffles as a few cells;
-2. cells and grid rows shuffled once to (stay, block); pivot, forward fill and
-   masks follow in place, without a join and without another shuffle.
+2. the cells, with one marker row per block, shuffled once to (stay, block).
+   Pivot and forward fill run in place over the hours that have cells;
+3. each filled row is repeated over the hours up to the next one, which gives
+   the full grid without ever shuffling it.
 
-A block starts from what is known before it: the last value of each held
-feature is sent along as a *carry* row. Stays within one block need none.
+A block starts from what is known before it: the last values of earlier blocks
+come from a one-row-per-block summary of the same shuffle.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ from .. import STAY
 from ..functions import col
 from ..sources import write_stage
 from .hours import BLOCK_HOURS, block_of, stay_blocks
-from .joins import balanced_join, lookup_join
+from .joins import lookup_join
 
 MAX_LABELS = 10_000
 SEP = "__"
@@ -125,26 +127,25 @@ def hourly_cells(streams: Mapping[str, Stream]) -> DataFrame:
     return rows.groupBy(STAY, "los", "feature", "hour").agg(F.avg("value").alias("value"))
 
 
-def _carry(cells: DataFrame, held: list[str], block_hours: int, back: int) -> DataFrame:
-    """Last value before the start of each block, as a row just before it."""
-    shifted = block_of(F.col("hour") + back, block_hours)
-    last_block = block_of(F.col("los") - 1, block_hours)
-    lasts = (
-        cells.where(F.col("feature").isin(held))
-        .withColumn("_sb", shifted)
-        .withColumn("_last", last_block)
-        .where(F.col("_sb") < F.col("_last"))
-        .groupBy(STAY, "_last", "feature", "_sb")
-        .agg(F.max_by("value", "hour").alias("value"))
-    )
-    following = F.lead("_sb").over(W.partitionBy(STAY, "feature").orderBy("_sb"))
-    until = F.least(F.coalesce("_next", "_last"), F.col("_last"))
-    return (
-        lasts.withColumn("_next", following)
-        .withColumn("block", F.explode(F.sequence(F.col("_sb") + 1, until)))
-        .select(
-            STAY, "block", (F.col("block") * block_hours - back - 1).alias("hour"), "feature", "value"
-        )
+def _block_starts(
+    rows: DataFrame, columns: list[str], held: list[str], has: Mapping[str, list[str]], block_hours: int, back: int
+) -> DataFrame:
+    """Per (stay, block): each held value as known before the block, and whether
+    the stay has any value of the ``has`` column groups. One row per block, so
+    the window over a stay is short even for a very long stay."""
+    before_next = F.col("hour") < (F.col("block") + 1) * block_hours - back
+    last = F.max_by("value", F.when(before_next, F.col("hour")))
+    tails = rows.groupBy(STAY, "block").pivot("feature", columns).agg(last)
+    earlier = W.partitionBy(STAY).orderBy("block").rowsBetween(W.unboundedPreceding, -1)
+    whole = W.partitionBy(STAY).orderBy("block").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    return tails.select(
+        STAY,
+        "block",
+        *[F.last(col(c), ignorenulls=True).over(earlier).alias(f"_in_{c}") for c in held],
+        *[
+            F.max(F.coalesce(*map(col, group)).isNotNull() if group else F.lit(False)).over(whole).alias(name)
+            for name, group in has.items()
+        ],
     )
 
 
@@ -174,52 +175,53 @@ def tabularize(
         cells = write_stage(cells)
     if labels is None:
         labels = cell_labels(cells, streams)
-    columns, held, outputs = _plan_columns(streams, labels)
-
-    flags = _stay_flags(cells, streams)
-    blocks = stay_blocks(
-        balanced_join(stays.select(STAY, "los", *static), flags, STAY, "left"), block_hours
-    )
+    columns, held, outputs, has = _plan_columns(streams, labels)
 
     lower = F.greatest(F.lit(0), F.col("block") * block_hours - back)
     upper = F.least(F.col("los"), (F.col("block") + 1) * block_hours + ahead) - 1
-    grid = blocks.select(
+    blocks = stay_blocks(stays.select(STAY, "los", *static), block_hours, hash_partitions=False)
+    markers = blocks.select(
         STAY,
         "block",
-        F.explode(F.sequence(lower, upper)).alias("hour"),
+        lower.alias("hour"),
         F.lit(None).cast("string").alias("feature"),
         F.lit(None).cast("double").alias("value"),
     )
-    real = cells.where(F.col("feature").isin(columns) & (F.col("hour") >= 0) & (F.col("hour") < F.col("los")))
     first_block = F.greatest(F.lit(0).cast("bigint"), block_of(F.col("hour") - ahead, block_hours))
     last_block = F.least(block_of(F.col("los") - 1, block_hours), block_of(F.col("hour") + back, block_hours))
-    real = real.withColumn("block", F.explode(F.sequence(first_block, last_block))).select(
-        STAY, "block", "hour", "feature", "value"
-    )
-    rows = grid.unionByName(real).unionByName(_carry(cells, held, block_hours, back))
-
-    # One shuffle for pivot, fill and everything keyed by (stay, block) after it.
-    wide = (
-        rows.repartition(STAY, "block")
-        .groupBy(STAY, "block", "hour")
-        .pivot("feature", columns)
-        .agg(F.first("value"))
-    )
-    over = W.partitionBy(STAY, "block").orderBy("hour").rowsBetween(W.unboundedPreceding, W.currentRow)
+    copies = F.explode(F.sequence(first_block, last_block)) if back or ahead else block_of("hour", block_hours)
+    real = cells.withColumn("block", copies).select(STAY, "block", "hour", "feature", "value")
+
+    # The one shuffle that pivot, fill and everything keyed by (stay, block)
+    # after it share. A fixed number of partitions, as the rows grow afterwards.
+    partitions = int(stays.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = markers.unionByName(real).repartition(partitions, STAY, "block")
+    wide = rows.groupBy(STAY, "block", "hour").pivot("feature", columns).agg(F.first("value"))
+    order = W.partitionBy(STAY, "block").orderBy("hour")
+    so_far = order.rowsBetween(W.unboundedPreceding, W.currentRow)
     held_set = set(held)
     filled = wide.select(
         STAY,
         "block",
-        "hour",
-        *[
-            (F.last(col(c), ignorenulls=True).over(over) if c in held_set else col(c)).alias(c)
-            for c in columns
-        ],
-    ).where(F.col("hour") >= lower)
-    # Both sides are hashed by (stay, block) and no block outgrows its hours.
-    attached = filled.join(blocks, [STAY, "block"], "inner")
+        F.col("hour").alias("_at"),
+        F.lead("hour").over(order).alias("_next"),
+        *[(F.last(col(c), ignorenulls=True).over(so_far) if c in held_set else col(c)).alias(c) for c in columns],
+    )
+    # All three are hashed by (stay, block), and no block outgrows its hours.
+    starts = _block_starts(rows, columns, held, has, block_hours, back)
+    joined = filled.join(starts, [STAY, "block"]).join(blocks, [STAY, "block"])
+    known = joined.select(
+        STAY,
+        "block",
+        "_at",
+        F.explode(F.sequence("_at", F.coalesce(F.col("_next") - 1, upper))).alias("hour"),
+        "los",
+        *static,
+        *has,
+        *[(F.coalesce(col(c), col(f"_in_{c}")) if c in held_set else col(c)).alias(c) for c in columns],
+    )
     is_halo = block_of("hour", block_hours) != F.col("block")
-    return attached.select(
+    return known.select(
         STAY,
         "block",
         "hour",
@@ -232,53 +234,53 @@ def tabularize(
 
 def _plan_columns(
     streams: Mapping[str, Stream], labels: Mapping[str, list[str]]
-) -> tuple[list[str], list[str], dict[str, Column]]:
-    """Pivot columns, those to forward fill, and the output expressions."""
+) -> tuple[list[str], list[str], dict[str, Column], dict[str, list[str]]]:
+    """Pivot columns, those to forward fill, the output expressions, and the
+    column groups whose presence in a stay matters.
+
+    The expressions see a row that starts at ``_at`` and is repeated for each
+    ``hour`` up to the next row; a value that is not filled counts at ``_at``.
+    """
     columns: list[str] = []
     held: list[str] = []
     outputs: dict[str, Column] = {}
+    has: dict[str, list[str]] = {}
+    here = F.col("hour") == F.col("_at")
+    zero = F.lit(0.0)
     for name, s in streams.items():
-        seen = F.coalesce(col(f"_has_{name}"), F.lit(False))
+        main = next(iter(s.values))
+        if s.kind == "hold":
+            has[f"_has_{name}"] = [feature_name(main, lab) for lab in labels[name]]
         for family in s.values:
-            stop_family = next(iter(s.values))
             for lab in labels[name]:
                 out = feature_name(family, lab)
                 columns.append(out)
                 value = col(out)
                 if s.kind == "interval":
-                    stop = f"{feature_name(stop_family, lab)}{SEP}stop"
-                    if family == stop_family:
+                    stop = f"{feature_name(main, lab)}{SEP}stop"
+                    if family == main:
                         columns.append(stop)
                         held.append(stop)
                     held.append(out)
-                    outputs[out] = F.when(col(stop) > F.col("hour"), value).otherwise(F.lit(0.0))
+                    outputs[out] = F.when(col(stop) > F.col("hour"), value).otherwise(zero)
                 elif s.kind in ("hourly", "flag"):
-                    outputs[out] = F.coalesce(value, F.lit(0.0))
+                    outputs[out] = F.when(here & value.isNotNull(), value).otherwise(zero)
                 elif family == "chart" and lab == "ECMO":
-                    charted = F.when(col("_has_ECMO"), value.isNotNull().cast("double"))
-                    outputs[out] = F.when(seen, charted).otherwise(F.lit(0.0))
+                    has["_has_ECMO"] = [out]
+                    charted = F.when(col("_has_ECMO"), (here & value.isNotNull()).cast("double"))
+                    outputs[out] = F.when(col(f"_has_{name}"), charted).otherwise(zero)
                 elif family == "chart" and lab == "MAP":
                     systolic, diastolic = (
                         col(feature_name(family, p)) if p in labels[name] else F.lit(None).cast("double")
                         for p in ("ABPs", "ABPd")
                     )
-                    derived = F.coalesce(value, (systolic + 2 * diastolic) / 3)
-                    outputs[out] = F.when(seen, derived).otherwise(F.lit(0.0))
+                    derived = F.coalesce(F.when(here, value), (systolic + 2 * diastolic) / 3)
+                    outputs[out] = F.when(col(f"_has_{name}"), derived).otherwise(zero)
                 else:
                     held.append(out)
                     # A stay without any row of the family has zeros throughout.
-                    outputs[out] = F.when(seen, value).otherwise(F.lit(0.0))
-    return columns, held, outputs
-
-
-def _stay_flags(cells: DataFrame, streams: Mapping[str, Stream]) -> DataFrame:
-    """Per stay: whether each family, and the ECMO label, occurs at all."""
-    aggs = []
-    for name, s in streams.items():
-        family = next(iter(s.values))
-        aggs.append(F.max(F.startswith(F.col("feature"), F.lit(family + SEP))).alias(f"_has_{name}"))
-    ecmo = F.max(F.col("feature") == feature_name("chart", "ECMO")).alias("_has_ECMO")
-    return cells.groupBy(STAY).agg(*aggs, ecmo)
+                    outputs[out] = F.when(col(f"_has_{name}"), value).otherwise(zero)
+    return columns, held, outputs, has
 
 
 def tabular_output(wide: DataFrame) -> DataFrame:
