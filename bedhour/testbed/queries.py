@@ -83,12 +83,12 @@ def lab_values(s: SparkSession, d: str) -> DataFrame:
     )
 
 
-def intake(s: SparkSession, d: str) -> DataFrame:
-    return extract.extract_intake(raw(s, d, "intakeOutput"), stays(s, d))
+def intake(s: SparkSession, d: str, st: DataFrame) -> DataFrame:
+    return extract.extract_intake(raw(s, d, "intakeOutput"), st)
 
 
-def infusion(s: SparkSession, d: str) -> DataFrame:
-    return extract.extract_infusion(raw(s, d, "infusionDrug"), stays(s, d))
+def infusion(s: SparkSession, d: str, st: DataFrame) -> DataFrame:
+    return extract.extract_infusion(raw(s, d, "infusionDrug"), st)
 
 
 CHART = ["ABPd", "ABPs"]
@@ -104,7 +104,7 @@ def hold_streams(s: SparkSession, d: str, st: DataFrame) -> dict[str, Stream]:
 
 
 def infusion_stream(s: SparkSession, d: str, st: DataFrame) -> Stream:
-    rows = align.align_infusion(infusion(s, d), st, drop_hour_zero=True)
+    rows = align.align_infusion(infusion(s, d, st), st, drop_hour_zero=True)
     return Stream(rows, "interval", {"ing": "amount", "rate": "infusionrate"}, "drugname")
 
 
@@ -280,7 +280,7 @@ def join_left_stay_hour(s, d):
 
 @query
 def extract_infusion(s, d):
-    return infusion(s, d).select(
+    return infusion(s, d, stays(s, d)).select(
         "infusiondrugid", STAY, "uniquepid", "drugname", "drugrate", "unit_time",
         "start_min", "stop_min", r("infusionrate").alias("infusionrate"), r("drugamount").alias("drugamount"),
         r("volumeoffluid").alias("volumeoffluid"),
@@ -305,7 +305,7 @@ def infusion_stop_time(s, d):
 
 @query
 def extract_intake(s, d):
-    return intake(s, d).select(STAY, "uniquepid", "celllabel", r("cellvaluenumeric").alias("value"), "start_min", "stop_min")
+    return intake(s, d, stays(s, d)).select(STAY, "uniquepid", "celllabel", r("cellvaluenumeric").alias("value"), "start_min", "stop_min")
 
 
 @query
@@ -431,14 +431,16 @@ def resample_treatment(s, d):
 
 @query
 def resample_intake(s, d):
-    return align.align_intake(intake(s, d), stays(s, d)).select(
+    st = stays(s, d)
+    return align.align_intake(intake(s, d, st), st).select(
         STAY, "celllabel", "start_hour", "stop_hour", r("cellvaluenumeric").alias("value")
     )
 
 
 @query
 def resample_intervals(s, d):
-    return align.align_infusion(infusion(s, d), stays(s, d), drop_hour_zero=True).select(
+    st = stays(s, d)
+    return align.align_infusion(infusion(s, d, st), st, drop_hour_zero=True).select(
         "infusiondrugid", STAY, "drugname", "start_hour", "stop_hour", "amount", r("infusionrate").alias("infusionrate")
     )
 
@@ -517,7 +519,8 @@ def vent_hourly(s, d):
 
 @query
 def interval_expand(s, d):
-    rows = align.align_intake(intake(s, d), stays(s, d), drop_hour_zero=True)
+    st = stays(s, d)
+    rows = align.align_intake(intake(s, d, st), st, drop_hour_zero=True)
     return hours.expand_intervals(rows, "celllabel", ["cellvaluenumeric"]).select(
         STAY, "celllabel", "hour", r("cellvaluenumeric").alias("dose")
     )
@@ -525,7 +528,8 @@ def interval_expand(s, d):
 
 @query
 def interval_expand_rate(s, d):
-    rows = align.align_infusion(infusion(s, d), stays(s, d), drop_hour_zero=True)
+    st = stays(s, d)
+    rows = align.align_infusion(infusion(s, d, st), st, drop_hour_zero=True)
     return hours.expand_intervals(rows, "drugname", ["amount", "infusionrate"]).select(
         STAY, "drugname", "hour", r("amount").alias("amount"), r("infusionrate").alias("rate")
     )
@@ -706,7 +710,7 @@ def fluids_total(s, d):
     """Order lines as fluids, plus the hourly crystalloids of the intake table."""
     st = stays(s, d)
     added = crystalloid_intervals(raw(s, d, "intakeOutput"), st, "c2")
-    base = align.align_intake(intake(s, d), st, drop_hour_zero=True)
+    base = align.align_intake(intake(s, d, st), st, drop_hour_zero=True)
     streams = {
         "med": Stream(base, "interval", {"med": "cellvaluenumeric"}, "celllabel"),
         "cryst": Stream(added, "interval", {"cryst": "dose"}),
