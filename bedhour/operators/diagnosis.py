@@ -57,11 +57,15 @@ def diagnosis_groups(
 def infection_codes(codes: DataFrame) -> tuple[list[str], list[str]]:
     """ICD-9 and ICD-10 lists from a table ``icd_version, icd_code``; the first
     row of each version holds its codes, joined by comma and space."""
-    rows = codes.where(F.col("icd_version").isin(9, 10)).limit(1000).collect()
-    first: dict[int, list[str]] = {}
-    for r in rows:
-        first.setdefault(int(r["icd_version"]), [c for c in r["icd_code"].split(", ") if c])
-    return first.get(9, []), first.get(10, [])
+    version = F.col("icd_version").cast("int")
+    first = (
+        codes.withColumn("_at", F.monotonically_increasing_id())
+        .where(version.isin(9, 10))
+        .groupBy(version.alias("version"))
+        .agg(F.min_by("icd_code", "_at").alias("joined"))
+    )
+    found = {r["version"]: [c for c in r["joined"].split(", ") if c] for r in first.collect()}
+    return found.get(9, []), found.get(10, [])
 
 
 def matched_codes(codes: DataFrame, groups: Mapping[str, Column]) -> DataFrame:

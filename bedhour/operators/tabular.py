@@ -195,7 +195,10 @@ def tabularize(
     # The one shuffle that pivot, fill and everything keyed by (stay, block)
     # after it share. A fixed number of partitions, as the rows grow afterwards.
     partitions = int(stays.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = markers.unionByName(real).repartition(partitions, STAY, "block")
+    # The join below implies the null test; said here, it holds for both readers
+    # of the shuffle, which lets Spark run it once for the two.
+    rows = markers.unionByName(real).where(F.col(STAY).isNotNull() & F.col("block").isNotNull())
+    rows = rows.repartition(partitions, STAY, "block")
     wide = rows.groupBy(STAY, "block", "hour").pivot("feature", columns).agg(F.first("value"))
     order = W.partitionBy(STAY, "block").orderBy("hour")
     so_far = order.rowsBetween(W.unboundedPreceding, W.currentRow)

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -33,14 +34,16 @@ def write_stage(
     """Write a stage as Parquet and return it as read back, with its lineage cut.
 
     ``cluster_by`` puts rows of the same key side by side in the files (one
-    shuffle), so readers that filter on the key skip row groups. There is never
-    a file per stay.
+    shuffle), so readers that filter on the key skip row groups. A hash of the
+    row breaks ties between range bounds, so a hot key spreads over several
+    neighbouring files. There is never a file per stay.
     """
     spark = df.sparkSession
     out = df.select(*columns) if columns else df
     schema = out.schema
     path = path or f"{shared_folder(spark)}/stage-{uuid.uuid4().hex}"
     if cluster_by:
-        out = out.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
+        spread = F.xxhash64(*[F.col(f"`{c}`") for c in out.columns])
+        out = out.repartitionByRange(*cluster_by, spread).sortWithinPartitions(*cluster_by)
     out.write.mode("errorifexists").parquet(path)
     return spark.read.schema(schema).parquet(path)

@@ -742,7 +742,7 @@ oracle(
        LEFT JOIN cryst_on c ON c.patientunitstayid = g.patientunitstayid AND c.hour = g.hour""",
 )
 oracle(
-    "positive_flags",
+    "positive_flag",
     "",
     """SELECT l_orderkey, l_linenumber, CAST(l_discount - 0.05::DOUBLE > 0 AS INTEGER) AS given,
        CAST(l_linenumber <> 3 AND l_discount + l_tax > 0 AS INTEGER) AS beta_blocker FROM lineitem""",
@@ -799,7 +799,7 @@ oracle(
     "treatment_flag",
     "stays treatment_once",
     """SELECT patientunitstayid, CAST(patientunitstayid IN (SELECT patientunitstayid FROM treatment_once
-       WHERE treatmentstring IN ('t1', 't5') AND treatmentoffset > 36000) AS INTEGER) AS blood_culture FROM stays""",
+       WHERE treatmentstring = 't1') AS INTEGER) AS blood_culture FROM stays""",
 )
 oracle(
     "score_gcs",

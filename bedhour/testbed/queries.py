@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import STAY
-from ..functions import col
+from ..functions import col, contains_text
 from ..operators import (
     align,
     channels,
@@ -271,7 +271,7 @@ def join_salted(s, d):
 @query
 def join_left_stay_hour(s, d):
     grid = hours.hour_grid(stays(s, d).select(STAY, "los"))
-    flags = diagnosis.label_hours(raw(s, d, "intakeOutput").where(F.col("cellpath").contains("Intake")), ["c1", "c3"], "given")
+    flags = diagnosis.label_hours(raw(s, d, "intakeOutput").where(contains_text("cellpath", "intake")), ["c1", "c3"], "given")
     return diagnosis.attach_flags(grid.drop("los"), flags, [STAY, "hour"], ["given"])
 
 
@@ -721,7 +721,7 @@ def fluids_total(s, d):
 
 
 @query
-def positive_flags(s, d):
+def positive_flag(s, d):
     rows = line_columns(
         s, d, {"Labetalol (MG)": "if(l_linenumber = 3, null, l_discount)", "Esmolol (MG)": "l_tax", "dose": "l_discount - 0.05"}
     )
@@ -787,7 +787,7 @@ def dx_flags(s, d):
 
 @query
 def treatment_flag(s, d):
-    found = diagnosis.culture_stays(raw(s, d, "treatment").where(F.col("treatmentoffset") > 36000), ["t1", "t5"])
+    found = diagnosis.culture_stays(raw(s, d, "treatment"), ["t1"])
     return diagnosis.attach_flags(stays(s, d).select(STAY), found, [STAY], ["blood_culture"])
 
 

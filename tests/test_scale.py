@@ -197,3 +197,24 @@ def test_windows_need_no_shuffle_of_their_own(spark, events):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert after == before
+
+
+def test_clustered_write_spreads_a_hot_stay(spark):
+    from bedhour.sources import write_stage
+
+    df = spark.range(20_000).select(F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias(STAY), "id")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # it would merge such small files
+    back = write_stage(df, cluster_by=[STAY])
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    files = back.where(F.col(STAY) == 1).groupBy(F.input_file_name()).count().collect()
+    assert back.count() == 20_000 and len(files) > 1
+
+
+def test_the_shuffle_to_blocks_runs_once(spark, events):
+    """Rows and block summary read the same shuffle."""
+    rows, stays = events
+    wide = tabular.tabularize(stays, streams_of(rows), halo=(1, 12))
+    final = plan_of(wide).split("Initial Plan")[0]
+    to_blocks = [line for line in final.splitlines() if "REPARTITION_BY_NUM" in line]
+    assert sum("ReusedExchange" in line for line in to_blocks) == 1
+    assert sum("ReusedExchange" not in line for line in to_blocks) == 1
