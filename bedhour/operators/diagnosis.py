@@ -99,7 +99,12 @@ def label_hours(intake: DataFrame, labels: list[str], flag: str) -> DataFrame:
     )
 
 
-def attach_flags(table: DataFrame, flags: DataFrame, on: list[str], names: list[str]) -> DataFrame:
-    """Left join of 0/1 columns; rows without a match get 0."""
-    joined = lookup_join(table, flags.select(*on, *map(col, names)), on, "left")
+def attach_flags(
+    table: DataFrame, flags: DataFrame, on: list[str], names: list[str], unique: bool = False
+) -> DataFrame:
+    """Left join of 0/1 columns; rows without a match get 0. ``unique`` says that
+    the key is unique in ``table`` too (stays, or stay hours), so no key is hot
+    and a plain join will do."""
+    keyed = flags.select(*on, *map(col, names))
+    joined = table.join(keyed, on, "left") if unique else lookup_join(table, keyed, on, "left")
     return joined.na.fill(0, names)

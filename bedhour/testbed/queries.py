@@ -272,7 +272,7 @@ def join_salted(s, d):
 def join_left_stay_hour(s, d):
     grid = hours.hour_grid(stays(s, d).select(STAY, "los"))
     flags = diagnosis.label_hours(raw(s, d, "intakeOutput").where(contains_text("cellpath", "intake")), ["c1", "c3"], "given")
-    return diagnosis.attach_flags(grid.drop("los"), flags, [STAY, "hour"], ["given"])
+    return diagnosis.attach_flags(grid.drop("los"), flags, [STAY, "hour"], ["given"], unique=True)
 
 
 # ---- extraction ----------------------------------------------------------
@@ -781,14 +781,14 @@ def dx_flags(s, d):
     flags = diagnosis.stay_flags(diagnosis.split_codes(raw(s, d, "diagnosis")), groups())
     orders = A.table(s, d, "orders").select(F.col("o_orderkey").alias(STAY))
     names = list(groups())
-    out = diagnosis.attach_flags(orders, flags, [STAY], names)
+    out = diagnosis.attach_flags(orders, flags, [STAY], names, unique=True)
     return out.select(STAY, *[col(n).alias(n.replace("-", "_")) for n in names])
 
 
 @query
 def treatment_flag(s, d):
     found = diagnosis.culture_stays(raw(s, d, "treatment"), ["t1"])
-    return diagnosis.attach_flags(stays(s, d).select(STAY), found, [STAY], ["blood_culture"])
+    return diagnosis.attach_flags(stays(s, d).select(STAY), found, [STAY], ["blood_culture"], unique=True)
 
 
 # ---- scores and labels ---------------------------------------------------
