@@ -20,8 +20,12 @@ ADDED_ANTIBIOTIC = "Antibiotics_list"
 TIME = "Time_since_ICU_admission"
 
 
-def event_streams(aligned: Mapping[str, DataFrame]) -> dict[str, Stream]:
-    """Aligned families with the rule each is tabularised by."""
+def event_streams(aligned: Mapping[str, DataFrame], rate_zero: bool = False) -> dict[str, Stream]:
+    """Aligned families with the rule each is tabularised by. ``rate_zero`` gives
+    infusion rates of 0, as in the published table."""
+    aligned = dict(aligned)
+    if rate_zero and "ing" in aligned:
+        aligned["ing"] = aligned["ing"].withColumn("infusionrate", F.lit(0.0))
     kinds = {
         "med": ("interval", {"med": "cellvaluenumeric"}, "celllabel"),
         "ing": ("interval", {"ing": "amount", "rate": "infusionrate"}, "drugname"),
@@ -112,6 +116,7 @@ def final_dataset(
     myocarditis_from_arrhythmia: bool = False,
     si: bool = False,
     strict_cardio: bool = False,
+    rate_zero: bool = False,
     feature_labels: Mapping[str, list[str]] | None = None,
 ) -> DataFrame:
     """Raw tables to one labelled row per stay and hour.
@@ -151,7 +156,7 @@ def final_dataset(
     attributes = write_stage(attributes)
     static = ["uniquepid", "Age", "gender", "ethnicity", "height", "weight", "blood_culture", *groups]
 
-    streams = event_streams(align_events(events, attributes))
+    streams = event_streams(align_events(events, attributes), rate_zero)
     intake = raw["intakeOutput"]
     streams["cryst"] = Stream(
         crystalloid_intervals(intake, attributes, crystalloid_label), "interval", {"cryst": "dose"}

@@ -250,3 +250,16 @@ def test_impute_absent_column(spark):
     df = spark.createDataFrame([(None, 51.0)], "Lactate double, Temperature double")
     row = impute.default_impute(impute.null_above(df)).first()
     assert (row.Lactate, row.Lactate_fillna, row.Temperature, row.Temperature_fillna, row.pH) == (1.1, 1, 36.5, 1, 7.0)
+
+
+@pytest.mark.parametrize("rate_zero, rate", [(False, 7.0), (True, 0.0)])
+def test_infusion_rates(spark, rate_zero, rate):
+    from bedhour.plans.dataset import event_streams
+
+    ing = spark.createDataFrame(
+        [(1, 5, "d", 1, 3, 2.0, 7.0)],
+        f"{STAY} bigint, los bigint, drugname string, start_hour bigint, stop_hour bigint, amount double, infusionrate double",
+    )
+    wide = tabular.tabularize(stay_table(spark, [(1, 5)]), event_streams({"ing": ing}, rate_zero), labels={"ing": ["d"]})
+    got = {r.hour: (r["ing__d"], r["rate__d"]) for r in wide.collect()}
+    assert got == {0: (0.0, 0.0), 1: (2.0, rate), 2: (2.0, rate), 3: (0.0, 0.0), 4: (0.0, 0.0)}
