@@ -7,9 +7,11 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import to_number
+from ..sources import write_stage
 from .joins import lookup_join
 
 ACCURACY = 10_000
+BINS = 4_096
 
 
 def coerce_numeric(events: DataFrame, value: str) -> DataFrame:
@@ -26,39 +28,60 @@ def percentile_bounds(
     low: float = 2,
     high: float = 98,
     accuracy: int = ACCURACY,
-    exact_below: int | None = None,
+    slack: float | None = None,
 ) -> DataFrame:
     """Exact linear-interpolated percentiles per label: ``label, n, lo, hi``.
 
     A label may hold a third of all rows, so its values are never gathered into
     one group. A first pass takes a mergeable quantile sketch per label, which
-    brackets each percentile; a second pass counts the rows under the bracket
-    (combined on the map side) and orders only the distinct values inside it,
-    about ``8 / accuracy`` of the label. Labels with few rows skip the bracket.
+    brackets each percentile by ``slack`` on either side (default
+    ``4 / accuracy``); a second pass counts the rows under the bracket (combined
+    on the map side) and orders distinct values inside it, see
+    ``_within_brackets``. That pass also proves the bracket: the two ranks the
+    interpolation needs must lie in it. Labels where they do not go into another
+    round with a wider bracket; the widest holds all values.
     """
-    slack = 4.0 / accuracy
-    exact_below = 10 * accuracy if exact_below is None else exact_below
     probs = [low / 100.0, high / 100.0]
-    edges = [min(max(p + d, 0.0), 1.0) for p in probs for d in (-slack, slack)]
+    slack = 4.0 / accuracy if slack is None else slack
     rows = events.select(F.col(label).alias("_l"), F.col(value).cast("double").alias("_v")).where(
         F.col("_l").isNotNull() & F.col("_v").isNotNull()
     )
+    done: DataFrame | None = None
+    while True:
+        found = write_stage(_within_brackets(rows, probs, accuracy, slack))
+        proven = found.where("_ok")
+        done = proven if done is None else done.unionByName(proven)
+        left = found.where(~F.col("_ok")).select("_l")
+        if slack >= 1 or left.isEmpty():
+            break
+        rows = lookup_join(rows, left, "_l", "left_semi")
+        slack *= 16
+    if slack >= 1 and not left.isEmpty():
+        raise ArithmeticError("a percentile is not among the values of its label")
+    return done.select(F.col("_l").alias(label), F.col("_n").alias("n"), "lo", "hi")
+
+
+def _within_brackets(rows: DataFrame, probs: list[float], accuracy: int, slack: float) -> DataFrame:
+    """``_l, _n, lo, hi`` and whether both brackets hold their ranks (``_ok``).
+
+    The values in a bracket are counted per bin first; only the bins that hold
+    the ranks have their values put in order.
+    """
+    edges = [min(max(p + d, 0.0), 1.0) for p in probs for d in (-slack, slack)]
     sketch = rows.groupBy("_l").agg(
         F.count(F.lit(1)).alias("_n"),
+        F.min("_v").alias("_min"),
+        F.max("_v").alias("_max"),
         F.percentile_approx("_v", F.array(*[F.lit(e) for e in edges]), accuracy).alias("_e"),
     )
 
     def bracket(i: int):
-        small = F.col("_n") < exact_below
         p = probs[i]
-        floor_edge = F.when(small | F.lit(p <= slack), F.lit(float("-inf"))).otherwise(F.col("_e")[2 * i])
-        ceil_edge = F.when(small | F.lit(p >= 1 - slack), F.lit(float("inf"))).otherwise(F.col("_e")[2 * i + 1])
         return F.struct(
             F.lit(i).alias("i"),
-            (F.col("_n").cast("double") - 1).alias("m"),
-            F.lit(p).alias("p"),
-            floor_edge.alias("from"),
-            ceil_edge.alias("to"),
+            ((F.col("_n").cast("double") - 1) * F.lit(p)).alias("rank"),
+            (F.col("_min") if p <= slack else F.col("_e")[2 * i]).alias("from"),
+            (F.col("_max") if p >= 1 - slack else F.col("_e")[2 * i + 1]).alias("to"),
         )
 
     brackets = sketch.select("_l", "_n", F.array(bracket(0), bracket(1)).alias("_b"))
@@ -69,23 +92,40 @@ def percentile_bounds(
         # Rows under the bracket share the null value, so they only add a count.
         .withColumn("_v", F.when(F.col("_v") >= F.col("from"), F.col("_v")))
     )
-    counted = hit.groupBy("_l", "_n", "i", "m", "p", "_v").agg(F.count(F.lit(1)).alias("_c"))
-    ordered = W.partitionBy("_l", "i").orderBy(F.col("_v").asc_nulls_first())
-    ranked = counted.withColumn(
-        "_cum", F.sum("_c").over(ordered.rowsBetween(W.unboundedPreceding, W.currentRow))
-    ).where(F.col("_v").isNotNull())
-    rank = F.col("m") * F.col("p")
-    below = F.floor(rank)
-    found = ranked.groupBy("_l", "_n", "i", "m", "p").agg(
+    keys = ["_l", "_n", "i", "rank"]
+    counted = hit.groupBy(*keys, "from", "to", "_v").agg(F.count(F.lit(1)).alias("_c"))
+    share = F.try_divide(F.col("_v") - F.col("from"), F.col("to") - F.col("from"))
+    # Where a bracket is empty or has no finite width, one bin holds it all.
+    share = F.when(F.abs(share) <= 1, share).otherwise(F.lit(0.0))
+    place = F.least(F.floor(share * BINS), F.lit(BINS - 1)).cast("int")
+    counted = counted.withColumn("_bin", F.when(F.col("_v").isNull(), F.lit(-1)).otherwise(place))
+    below = F.floor("rank")
+
+    binned = counted.groupBy(*keys, "_bin").agg(F.sum("_c").alias("_c"))
+    upto = F.sum("_c").over(W.partitionBy("_l", "i").orderBy("_bin"))
+    binned = binned.withColumn("_upto", upto)
+    proof = binned.groupBy("_l", "i").agg(
+        F.coalesce(F.max(F.when(F.col("_bin") < 0, F.col("_c"))), F.lit(0)).alias("_under"), F.max("_upto").alias("_all")
+    )
+    wanted = binned.where((F.col("_upto") > below) & (F.col("_upto") - F.col("_c") <= below + 1)).select(
+        "_l", "i", "_bin", (F.col("_upto") - F.col("_c")).alias("_before")
+    )
+    inside = counted.join(wanted, ["_l", "i", "_bin"]).where(F.col("_v").isNotNull())
+    ordered = W.partitionBy("_l", "i", "_bin").orderBy("_v")
+    inside = inside.withColumn("_cum", F.col("_before") + F.sum("_c").over(ordered))
+    ranked = inside.groupBy(*keys).agg(
         F.min(F.when(F.col("_cum") > below, F.col("_v"))).alias("a"),
         F.min(F.when(F.col("_cum") > below + 1, F.col("_v"))).alias("b"),
     )
     # At the last rank there is no next value; its weight is 0 there.
-    at = F.col("a") + (F.coalesce("b", "a") - F.col("a")) * (rank - below)
-    return (
-        found.groupBy("_l", "_n")
-        .agg(F.max(F.when(F.col("i") == 0, at)).alias("lo"), F.max(F.when(F.col("i") == 1, at)).alias("hi"))
-        .select(F.col("_l").alias(label), F.col("_n").alias("n"), "lo", "hi")
+    at = F.col("a") + (F.coalesce("b", "a") - F.col("a")) * (F.col("rank") - below)
+    holds = (F.col("_under") <= below) & (F.col("_all") >= F.least(below + 2, F.col("_n"))) & at.isNotNull()
+    both = proof.join(ranked, ["_l", "i"], "left").select("_l", "_n", "i", at.alias("at"), F.coalesce(holds, F.lit(False)).alias("ok"))
+    return both.groupBy("_l").agg(
+        F.max("_n").alias("_n"),
+        F.max(F.when(F.col("i") == 0, F.col("at"))).alias("lo"),
+        F.max(F.when(F.col("i") == 1, F.col("at"))).alias("hi"),
+        F.min("ok").alias("_ok"),
     )
 
 

@@ -111,6 +111,14 @@ def cohort_summary(cohort: DataFrame) -> DataFrame:
     )
 
 
+SUMMARY_LINES = {
+    "records": "stays in the cohort",
+    "patients": "different patients",
+    "positive": "stays that ended in death",
+    "negative": "stays survived",
+}
+
+
 def summary_text(cohort: DataFrame, title: str = "Mortality") -> DataFrame:
     """The summary as lines of text, ready for ``write.text``."""
     s = cohort_summary(cohort)
@@ -118,10 +126,7 @@ def summary_text(cohort: DataFrame, title: str = "Mortality") -> DataFrame:
         F.concat_ws(
             "\n",
             F.lit(title),
-            F.concat(F.lit("# Admission Records: "), F.col("records")),
-            F.concat(F.lit("# Patients: "), F.col("patients")),
-            F.concat(F.lit("# Positive cases: "), F.col("positive")),
-            F.concat(F.lit("# Negative cases: "), F.col("negative")),
+            *[F.concat(F.lit(f"{name} = "), F.col(c)) for c, name in SUMMARY_LINES.items()],
         ).alias("value")
     )
 

@@ -30,10 +30,23 @@ def split_codes(diagnosis: DataFrame, code: str = "icd9code") -> DataFrame:
     )
 
 
-def starts_with_any(code: Column, prefixes: list[str]) -> Column:
-    """True for a code with any of the prefixes; dots in them are ignored."""
-    plain = [p.replace(".", "") for p in prefixes]
-    return reduce(lambda a, b: a | b, [code.startswith(p) for p in plain], F.lit(False))
+def starts_with_any(code: str, prefixes: list[str]) -> Column:
+    """True where the column ``code`` has any of the prefixes; dots in them are
+    ignored. One list lookup per prefix length, so a list may hold thousands of
+    prefixes; it is parsed in one go, not made of one call per entry."""
+    by_length: dict[int, set[str]] = {}
+    for prefix in prefixes:
+        plain = prefix.replace(".", "")
+        by_length.setdefault(len(plain), set()).add(plain)
+
+    def quoted(text: str) -> str:
+        return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+    found = [
+        F.expr(f"substring(`{code}`, 1, {n}) IN ({', '.join(map(quoted, sorted(of_length)))})")
+        for n, of_length in sorted(by_length.items())
+    ]
+    return reduce(lambda a, b: a | b, found, F.lit(False))
 
 
 def diagnosis_groups(
@@ -44,28 +57,32 @@ def diagnosis_groups(
     """Group name to match condition. The infection codes are the caller's; with
     ``myocarditis_from_arrhythmia`` that column holds the arrhythmia codes, as
     in the published table."""
-    icd9, icd10 = F.col("icd9"), F.col("icd10")
-    groups = {"suspected_infection": starts_with_any(icd10, infection_icd10 or [])
-              | starts_with_any(icd9, infection_icd9 or [])}
+    groups = {"suspected_infection": starts_with_any("icd10", infection_icd10 or [])
+              | starts_with_any("icd9", infection_icd9 or [])}
     for name, prefixes in DIAGNOSIS_PREFIXES.items():
-        groups[name] = starts_with_any(icd10, prefixes)
+        groups[name] = starts_with_any("icd10", prefixes)
     if myocarditis_from_arrhythmia:
         groups["Myocarditis"] = groups.pop("Arrhythmia")
     return groups
 
 
-def infection_codes(codes: DataFrame) -> tuple[list[str], list[str]]:
-    """ICD-9 and ICD-10 lists from a table ``icd_version, icd_code``; the first
-    row of each version holds its codes, joined by comma and space."""
+def infection_codes(codes: DataFrame, first_row_only: bool = False) -> tuple[list[str], list[str]]:
+    """ICD-9 and ICD-10 lists from a table ``icd_version, icd_code``, each row
+    holding one or more codes joined by comma and space. All rows count; with
+    ``first_row_only`` only the first of each version, as published, by the
+    column ``position`` or else the order of a single file. What is collected is
+    the caller's own code list."""
     version = F.col("icd_version").cast("int")
-    first = (
-        codes.withColumn("_at", F.monotonically_increasing_id())
-        .where(version.isin(9, 10))
-        .groupBy(version.alias("version"))
-        .agg(F.min_by("icd_code", "_at").alias("joined"))
-    )
-    found = {r["version"]: [c for c in r["joined"].split(", ") if c] for r in first.collect()}
-    return found.get(9, []), found.get(10, [])
+    rows = codes.where(version.isin(9, 10) & F.col("icd_code").isNotNull())
+    if first_row_only:
+        at = F.col("position") if "position" in codes.columns else F.monotonically_increasing_id()
+        rows = rows.withColumn("_at", at).groupBy(version.alias("version")).agg(F.min_by("icd_code", "_at").alias("icd_code"))
+    else:
+        rows = rows.select(version.alias("version"), "icd_code")
+    found: dict[int, dict[str, None]] = {9: {}, 10: {}}
+    for r in rows.collect():
+        found[r["version"]].update((c.strip(), None) for c in r["icd_code"].split(",") if c.strip())
+    return list(found[9]), list(found[10])
 
 
 def matched_codes(codes: DataFrame, groups: Mapping[str, Column]) -> DataFrame:

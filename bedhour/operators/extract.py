@@ -16,7 +16,7 @@ from .. import PATIENT, STAY
 from ..constants import INFUSION_UNITS
 from ..functions import contains_text, last_parenthesised
 from .cohort import fill_missing
-from .joins import balanced_join
+from .joins import balanced_join, lookup_join
 
 _IDS = [PATIENT, "patienthealthsystemstayid", STAY, "unitadmissionoffset"]
 _IDS_DISCHARGE = [*_IDS, "unitdischargeoffset"]
@@ -102,9 +102,10 @@ def extract_output(intake_output: DataFrame, cohort: DataFrame) -> DataFrame:
 def extract_treatment(
     treatment: DataFrame, cohort: DataFrame, time_col: str = "treatmentoffset"
 ) -> DataFrame:
-    """Repeated rows count once; then as the other families."""
-    once = treatment.select(STAY, time_col, "treatmentid", "treatmentstring").dropDuplicates()
-    rows = with_cohort(once, cohort, _IDS_DISCHARGE).select(
+    """Repeated rows count once. Rows outside the cohort go before repeats are
+    looked for (the cohort has one row per stay), so they are never shuffled."""
+    raw = treatment.select(STAY, time_col, "treatmentid", "treatmentstring")
+    rows = with_cohort(raw, cohort, _IDS_DISCHARGE).dropDuplicates().select(
         *_IDS_DISCHARGE, "treatmentid", time_col, "treatmentstring", F.col(time_col).alias("event_min")
     )
     offsets = ["unitadmissionoffset", "unitdischargeoffset", "event_min"]
@@ -136,10 +137,13 @@ def extract_labs(lab: DataFrame, custom_lab: DataFrame, cohort: DataFrame) -> Da
     )
 
 
-def extract_chart(nurse: DataFrame, respiratory: DataFrame, cohort: DataFrame) -> DataFrame:
+def extract_chart(
+    nurse: DataFrame, respiratory: DataFrame, cohort: DataFrame, labels: DataFrame | None = None
+) -> DataFrame:
     """Bedside and respiratory charting under one set of names, without
-    repeated rows. The repeats are removed before the join, as the join adds
-    only columns that depend on the stay."""
+    repeated rows. Stays outside the cohort (one row per stay) and, given a
+    table of ``labels`` (``itemstring``), labels outside it go first; repeats are
+    looked for among the rest."""
     bedside = nurse.select(
         "nursingchartid",
         STAY,
@@ -154,8 +158,11 @@ def extract_chart(nurse: DataFrame, respiratory: DataFrame, cohort: DataFrame) -
         F.col("respchartvaluelabel").alias("nursingchartcelltypevallabel"),
         F.col("respchartvalue").alias("nursingchartvalue"),
     )
-    rows = bedside.unionByName(resp).na.drop().dropDuplicates()
-    return with_cohort(rows, cohort, [PATIENT, STAY])
+    rows = bedside.unionByName(resp).na.drop()
+    if labels is not None:
+        named = labels.select(F.col("itemstring").alias("nursingchartcelltypevallabel")).distinct()
+        rows = lookup_join(rows, named, "nursingchartcelltypevallabel", "left_semi")
+    return with_cohort(rows, cohort, [PATIENT, STAY]).dropDuplicates()
 
 
 PERIODIC = [

@@ -3,75 +3,98 @@
 A stay or a label may own a third of all rows, so a plain shuffle join on that
 key can put a third of the work into one task. Two ways avoid it:
 
-* the keyed side is small by Catalyst's own size estimate: plain join, which
-  Spark then broadcasts;
-* otherwise both sides get a salt, computed from the row itself (so a re-run
-  task salts the same way), and the keyed side is repeated once per salt.
-
-Adaptive execution may still turn the second into a broadcast, or split a
-partition further, from the real shuffle sizes.
+* the keyed side is under the session's broadcast limit, by Catalyst's estimate
+  or by the bytes of the stage it was written to: it is broadcast;
+* otherwise the fact rows are counted per key (combined on the map side). A key
+  with more rows than one task should have is hot: its rows are dealt to as many
+  salts as it has such portions, and only its row of the keyed side is repeated,
+  once per salt. All other keys are joined as they are.
+
+Adaptive execution may split a partition further, from the real shuffle sizes.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..sources import write_stage
+from ..sources import stored_bytes, write_stage
+
+ROWS_PER_TASK = 1_000_000
 
-DEFAULT_SALTS = 32
-BROADCAST_ROWS = 100_000
+
+def broadcast_limit(df: DataFrame) -> int:
+    return df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
 
 
 def fits_broadcast(df: DataFrame) -> bool:
     """True when Catalyst's estimate is under the session's broadcast limit."""
-    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return size <= limit
+    return stored_bytes(df) <= broadcast_limit(df)
+
+
+def hot_keys(facts: DataFrame, on: list[str], rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Keys with more than ``rows_per_task`` rows, and ``_salts``, the number of
+    portions their rows make. There is at most one per ``rows_per_task`` rows."""
+    counts = facts.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
+    return counts.where(F.col("_n") > rows_per_task).select(
+        *on, F.ceil(F.col("_n") / rows_per_task).cast("int").alias("_salts")
+    )
 
 
 def salted_join(
-    facts: DataFrame, keyed: DataFrame, on: list[str], how: str = "inner", salts: int = DEFAULT_SALTS
+    facts: DataFrame,
+    keyed: DataFrame,
+    on: list[str],
+    how: str = "inner",
+    rows_per_task: int = ROWS_PER_TASK,
+    spread: Column | None = None,
 ) -> DataFrame:
-    """Join spread over ``salts`` sub-keys. ``how``: inner, left, left_semi or
-    left_anti; every fact row meets all keyed rows of its key, as each salt has
-    a full copy of them."""
-    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in facts.columns]), F.lit(salts)).cast("int")
-    left = facts.withColumn("_salt", salt)
-    right = keyed.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    """Join with hot keys spread over salts. ``how``: inner, left, left_semi or
+    left_anti; every fact row meets all keyed rows of its key, as each salt of a
+    hot key has a full copy of them.
+
+    ``spread`` tells rows of a key apart; it must give a row the same value
+    again when a task is repeated. By default it is the row's content, so many
+    equal rows of a key should be counted before such a join.
+    """
+    hot = write_stage(hot_keys(facts, on, rows_per_task))
+    if hot.isEmpty():
+        return facts.join(keyed, on, how)
+    # Names of their own, so that nothing of the caller's is hidden.
+    hot = hot.select(*[F.col(f"`{c}`").alias(f"_hot_{i}") for i, c in enumerate(on)], "_salts")
+    hot = F.broadcast(hot) if fits_broadcast(hot) else hot
+
+    def with_salts(df: DataFrame) -> DataFrame:
+        same = [df[f"`{c}`"] == F.col(f"_hot_{i}") for i, c in enumerate(on)]
+        return df.join(hot, same, "left").drop(*[f"_hot_{i}" for i in range(len(on))])
+
+    spread = F.xxhash64(*[F.col(f"`{c}`") for c in facts.columns]) if spread is None else spread
+    salts = F.coalesce("_salts", F.lit(1))
+    left = with_salts(facts).withColumn("_salt", F.pmod(spread, salts).cast("int")).drop("_salts")
+    right = with_salts(keyed).withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("_salts")
     return left.join(right, [*on, "_salt"], how).drop("_salt")
 
 
 def balanced_join(
-    facts: DataFrame, keyed: DataFrame, on: str | list[str], how: str = "inner", salts: int = DEFAULT_SALTS
+    facts: DataFrame, keyed: DataFrame, on: str | list[str], how: str = "inner", rows_per_task: int = ROWS_PER_TASK
 ) -> DataFrame:
     """Join that keeps hot keys spread, see the module text."""
     on = [on] if isinstance(on, str) else list(on)
     if fits_broadcast(keyed):
         return facts.join(keyed, on, how)
-    return salted_join(facts, keyed, on, how, salts)
+    return salted_join(facts, keyed, on, how, rows_per_task)
 
 
 def lookup_join(
-    facts: DataFrame,
-    derived: DataFrame,
-    on: str | list[str],
-    how: str = "inner",
-    max_rows: int = BROADCAST_ROWS,
+    facts: DataFrame, derived: DataFrame, on: str | list[str], how: str = "inner", rows_per_task: int = ROWS_PER_TASK
 ) -> DataFrame:
     """Join with a keyed table that was itself aggregated from large data (one
-    row per label, say), where Catalyst's estimate says nothing.
-
-    Such a table is written once and its rows counted: up to ``max_rows`` it is
-    broadcast, beyond that the join is salted.
-    """
+    row per label, say), where Catalyst's estimate says nothing. Such a table is
+    written first; the bytes written decide."""
     on = [on] if isinstance(on, str) else list(on)
     if fits_broadcast(derived):
         return facts.join(derived, on, how)
-    stored = write_stage(derived)
-    if stored.count() <= max_rows:
-        return facts.join(F.broadcast(stored), on, how)
-    return salted_join(facts, stored, on, how)
+    return balanced_join(facts, write_stage(derived), on, how, rows_per_task)
 
 
 def stays_without(events: DataFrame, stays: DataFrame, key: str) -> DataFrame:

@@ -24,12 +24,13 @@ from pyspark.sql import functions as F
 
 from .. import STAY
 from ..functions import col
-from ..sources import write_stage
+from ..sources import Stages, stored_bytes, write_stage
 from .hours import BLOCK_HOURS, block_of, stay_blocks
 from .joins import lookup_join
 
-MAX_LABELS = 10_000
 SEP = "__"
+# Bytes of written cells that one task of the wide shuffle should take.
+CELL_BYTES = 16 << 20
 
 
 @dataclass(frozen=True)
@@ -50,26 +51,21 @@ class Stream:
     label: str = "label"
 
 
-def _bounded_list(df: DataFrame, limit: int) -> list[str]:
-    """Sorted distinct names that become columns. Their number is bounded as
-    Spark bounds pivot columns; more than that is an error, never a cut."""
-    found = [r[0] for r in df.distinct().limit(limit + 1).collect()]
-    if len(found) > limit:
-        raise ValueError(f"more than {limit} labels: select features first")
-    return sorted(found)
+def _names(df: DataFrame) -> list[str]:
+    """Sorted distinct names that become columns: what a plan can hold, the
+    driver can. For more names than that there is ``long_table``."""
+    return sorted(r[0] for r in df.distinct().collect())
 
 
-def distinct_labels(df: DataFrame, label: str, limit: int = MAX_LABELS) -> list[str]:
-    return _bounded_list(df.where(col(label).isNotNull()).select(col(label)), limit)
+def distinct_labels(df: DataFrame, label: str) -> list[str]:
+    return _names(df.where(col(label).isNotNull()).select(col(label)))
 
 
-def cell_labels(
-    cells: DataFrame, streams: Mapping[str, Stream], limit: int = MAX_LABELS
-) -> dict[str, list[str]]:
+def cell_labels(cells: DataFrame, streams: Mapping[str, Stream]) -> dict[str, list[str]]:
     """Labels of every stream, looked up in the cells in one job."""
     found: dict[str, list[str]] = {name: [] for name in streams}
     by_family = {next(iter(s.values)): name for name, s in streams.items()}
-    for feature in _bounded_list(cells.select("feature"), limit):
+    for feature in _names(cells.select("feature")):
         family, _, label = feature.partition(SEP)
         if family in by_family and not label.endswith(f"{SEP}stop"):
             found[by_family[family]].append(label)
@@ -127,6 +123,41 @@ def hourly_cells(streams: Mapping[str, Stream]) -> DataFrame:
     return rows.groupBy(STAY, "los", "feature", "hour").agg(F.avg("value").alias("value"))
 
 
+def long_table(streams: Mapping[str, Stream]) -> DataFrame:
+    """The table in long form, for more labels than a table has columns: one row
+    per stay, hour, family and label with a value. Held values and intervals
+    stand once, with the hour up to which they last (``until``, exclusive); the
+    other kinds last one hour."""
+    cells = hourly_cells(streams)
+    family = F.substring_index("feature", SEP, 1)
+    of_kind = {f: s.kind for s in streams.values() for f in s.values}
+    main = {f: next(iter(s.values)) for s in streams.values() for f in s.values}
+    label = F.expr(f"substring(feature, length(substring_index(feature, '{SEP}', 1)) + {1 + len(SEP)})")
+    is_stop = F.lit(False)
+    for f, kind in of_kind.items():
+        if kind == "interval" and main[f] == f:
+            is_stop = is_stop | ((family == f) & F.col("feature").endswith(f"{SEP}stop"))
+    values = cells.where(~is_stop).select(STAY, "los", "hour", family.alias("family"), label.alias("label"), "value")
+    stops = cells.where(is_stop).withColumn("_label", label).select(
+        STAY,
+        "hour",
+        family.alias("_main"),
+        F.expr(f"substring(_label, 1, length(_label) - {len(SEP) + 4})").alias("label"),
+        F.col("value").alias("_stop"),
+    )
+    mains = F.create_map(*[F.lit(x) for pair in main.items() for x in pair])
+    kinds = F.create_map(*[F.lit(x) for pair in of_kind.items() for x in pair])
+    joined = values.withColumn("_main", mains[F.col("family")]).join(stops, [STAY, "hour", "_main", "label"], "left")
+    following = F.lead("hour").over(W.partitionBy(STAY, "family", "label").orderBy("hour"))
+    kind = kinds[F.col("family")]
+    until = (
+        F.when(kind == "hold", F.coalesce(following, F.col("los")))
+        .when(kind == "interval", F.least(F.ceil("_stop"), F.coalesce(following, F.col("los")), F.col("los")))
+        .otherwise(F.col("hour") + 1)
+    )
+    return joined.select(STAY, "family", "label", "hour", until.cast("bigint").alias("until"), "value").where("until > hour")
+
+
 def _block_starts(
     rows: DataFrame, columns: list[str], held: list[str], has: Mapping[str, list[str]], block_hours: int, back: int
 ) -> DataFrame:
@@ -156,13 +187,14 @@ def tabularize(
     static: list[str] | None = None,
     block_hours: int = BLOCK_HOURS,
     halo: tuple[int, int] = (0, 0),
-    store_cells: bool = False,
+    store_cells: bool | Stages = False,
 ) -> DataFrame:
     """Wide hourly table: exactly ``los`` rows per stay, hours ``0 .. los-1``.
 
     ``labels`` names the columns of each stream; without it they are looked up
-    first. ``store_cells`` writes the hourly cells to the shared folder, so the
-    label lookup and the table itself read the raw events once. ``static`` stay
+    first. ``store_cells`` writes the hourly cells to the shared folder (to the
+    run's stages if these are given), so the label lookup and the table itself
+    read the raw events once. ``static`` stay
     columns are repeated on each hour. With a ``halo``
     of (back, ahead) hours each block also holds copies of its neighbours'
     nearest rows, marked ``halo``, for windows that look past its edges; the
@@ -172,7 +204,7 @@ def tabularize(
     static = static or []
     cells = hourly_cells(streams)
     if store_cells:
-        cells = write_stage(cells)
+        cells = store_cells.write(cells, "cells") if isinstance(store_cells, Stages) else write_stage(cells)
     if labels is None:
         labels = cell_labels(cells, streams)
     columns, held, outputs, has = _plan_columns(streams, labels)
@@ -193,8 +225,11 @@ def tabularize(
     real = cells.withColumn("block", copies).select(STAY, "block", "hour", "feature", "value")
 
     # The one shuffle that pivot, fill and everything keyed by (stay, block)
-    # after it share. A fixed number of partitions, as the rows grow afterwards.
+    # after it share. The number of partitions follows the written cells and is
+    # fixed then, as the rows grow afterwards.
     partitions = int(stays.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if store_cells:
+        partitions = max(partitions, -(-stored_bytes(cells) // CELL_BYTES))
     # The join below implies the null test; said here, it holds for both readers
     # of the shuffle, which lets Spark run it once for the two.
     rows = markers.unionByName(real).where(F.col(STAY).isNotNull() & F.col("block").isNotNull())
@@ -296,18 +331,18 @@ def tabular_output(wide: DataFrame) -> DataFrame:
 def label_codes(df: DataFrame, column: str) -> DataFrame:
     """Code of each category: 0.. in sorted order, as ``column, code``.
 
-    Ranks are taken per first character and shifted by the number of categories
-    under the characters before it, so no task orders the whole vocabulary.
+    The categories are dealt to ranges by Spark's own sampling and written with
+    their range; a category's rank is its place in its range plus the sizes of
+    the ranges before, of which there are as many as shuffle partitions.
     """
     values = df.where(F.col(column).isNotNull()).select(column).distinct()
-    values = values.withColumn("_g", F.substring(column, 1, 1))
-    sizes = values.groupBy("_g").agg(F.count(F.lit(1)).alias("_n"))
-    # One row per first character: a bounded alphabet.
+    ranged = write_stage(values.repartitionByRange(column).withColumn("_g", F.spark_partition_id()))
+    sizes = ranged.groupBy("_g").agg(F.count(F.lit(1)).alias("_n"))
     shift = F.sum("_n").over(W.orderBy("_g").rowsBetween(W.unboundedPreceding, -1))
     offsets = sizes.select("_g", F.coalesce(shift, F.lit(0)).alias("_before"))
     within = F.row_number().over(W.partitionBy("_g").orderBy(column)) - 1
     return (
-        values.withColumn("_r", within)
+        ranged.withColumn("_r", within)
         .join(offsets, "_g")
         .select(column, (F.col("_r") + F.col("_before")).cast("int").alias("code"))
     )

@@ -166,7 +166,8 @@ def drug_totals(df: DataFrame, si: bool = False) -> tuple[DataFrame, list[str]]:
 
 def group_sums(df: DataFrame) -> DataFrame:
     """Insulin, nutrition, saline, dextrose and heparin totals, replacing the
-    columns they were made from; ``med_Esmolol`` and ``med_Water`` are renamed."""
+    columns they were made from; ``med_Esmolol`` and ``med_Water`` are renamed.
+    Rates are not volumes: ``_rate`` columns are dropped and never summed."""
     remaining = list(df.columns)
     new: dict[str, Column] = {}
 
@@ -174,12 +175,11 @@ def group_sums(df: DataFrame) -> DataFrame:
         nonlocal remaining
         found = matching(remaining, search)
         remaining = [c for c in remaining if c not in found]
-        return found
+        return [c for c in found if not c.endswith("_rate")]
 
     _, insulin = convert_units(take("insulin"), "insulin")
     new["Insulin (Unit)"] = sum_skip_null(insulin.values())
-    nutrition = [c for c in take("nutrition") if c != "Enteral Nutrition Ingredient_rate"]
-    new["Nutrition (ml)"] = sum_skip_null(nutrition)
+    new["Nutrition (ml)"] = sum_skip_null(take("nutrition"))
     saline = take("nacl")
     strengths = ["3%", "0.9%", "0.45%"]
     wanted = [f"{p}NaCl {s}" for s in strengths for p in ("med_", "")] + ["med_NaCl 1.5%"]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,9 +12,10 @@ from .. import STAY
 from ..constants import ANTIBIOTIC_LABELS, CULTURE_TREATMENTS
 from ..functions import col, contains_text, positive_flag, sum_skip_null, to_number
 from ..operators import align, channels, cohort, diagnosis, impute, labels, scores, tabular, units
+from ..operators.joins import stays_within
 from ..operators.tabular import Stream
-from ..sources import write_stage
-from .stages import align_events, clean_events, extract_events, restrict_cohort, select_events
+from ..sources import Stages
+from .stages import Outliers, align_events, clean_events, extract_events, restrict_cohort, select_events
 
 ADDED_FLUID = "Crystalloids"
 ADDED_ANTIBIOTIC = "Antibiotics_list"
@@ -102,22 +104,49 @@ def finish(labelled: DataFrame) -> DataFrame:
     return labelled.na.fill(0).withColumnRenamed("hour", TIME)
 
 
+@dataclass(frozen=True)
+class Mode:
+    """How far the published computation is followed where it contradicts its
+    own units or names.
+
+    ``rate_zero``: infusion rates are 0. ``si``: unit factors follow the units.
+    ``strict_cardio``: a dopamine rate of 0 scores nothing.
+    ``myocarditis_from_arrhythmia``: that column holds the arrhythmia codes.
+    """
+
+    rate_zero: bool
+    si: bool
+    strict_cardio: bool
+    myocarditis_from_arrhythmia: bool
+
+
+MODES = {
+    "published": Mode(rate_zero=True, si=False, strict_cardio=False, myocarditis_from_arrhythmia=True),
+    "corrected": Mode(rate_zero=False, si=True, strict_cardio=True, myocarditis_from_arrhythmia=False),
+}
+
+# Columns of the raw tables that are read for more than one purpose.
+SHARED = {
+    "intakeOutput": [STAY, "intakeoutputoffset", "cellpath", "celllabel", "cellvaluenumeric"],
+    "respiratoryCharting": [STAY, "respchartid", "respchartoffset", "respchartvaluelabel", "respchartvalue"],
+    "treatment": [STAY, "treatmentid", "treatmentoffset", "treatmentstring"],
+}
+
+
 def final_dataset(
     raw: Mapping[str, DataFrame],
     dictionaries: Mapping[str, DataFrame],
     infection_codes: tuple[list[str], list[str]] = ((), ()),
+    mode: str | Mode = "corrected",
     min_hours: int = 24,
     required: list[str] | None = None,
-    clean_chart: bool = False,
-    clean_lab: bool = True,
+    clean_chart: Outliers | None = None,
+    clean_lab: Outliers | None = Outliers(),
     crystalloid_label: str = ADDED_FLUID,
     antibiotics: list[str] = ANTIBIOTIC_LABELS,
     cultures: list[str] = CULTURE_TREATMENTS,
-    myocarditis_from_arrhythmia: bool = False,
-    si: bool = False,
-    strict_cardio: bool = False,
-    rate_zero: bool = False,
     feature_labels: Mapping[str, list[str]] | None = None,
+    stages: Stages | None = None,
 ) -> DataFrame:
     """Raw tables to one labelled row per stay and hour.
 
@@ -125,23 +154,30 @@ def final_dataset(
     codes) is joined to the stay table; everything that depends on the hour
     travels in the event stream. The wide table itself is shuffled once.
 
-    Tables read more than once (cohort, charted values, labs, final stays,
-    hourly cells) are written to the shared folder in between: a lost executor
-    then costs a stage, and join sizes are known from the files.
+    Raw tables that serve several families are read once, for the cohort's
+    stays, and what is read more than once after that (cohort, charted values,
+    labs, final stays, hourly cells) is written to ``stages`` too: a lost
+    executor then costs a stage, join sizes are known from the files, and a run
+    by the same name goes on where it was.
     """
-    base = write_stage(cohort.los_hours(cohort.build_cohort(raw["patient"])))
-    selected = select_events(extract_events(raw, base), dictionaries)
-    if clean_chart:
-        selected["chart"] = write_stage(selected["chart"])
-    if clean_lab:
-        selected["lab"] = write_stage(selected["lab"])
+    rules = MODES[mode] if isinstance(mode, str) else mode
+    stages = stages or Stages(raw["patient"].sparkSession)
+    raw = dict(raw)
+    base = stages.write(cohort.los_hours(cohort.build_cohort(raw["patient"])), "cohort")
+    for name, columns in SHARED.items():
+        raw[name] = stages.write(stays_within(raw[name].select(*columns), base, STAY), f"raw-{name}")
+    charted = dictionaries["chart"] if "chart" in dictionaries else None
+    selected = select_events(extract_events(raw, base, chart_labels=charted), dictionaries)
+    for family, rule in (("chart", clean_chart), ("lab", clean_lab)):
+        if rule:  # cleaning reads a family's values several times
+            selected[family] = stages.write(selected[family], f"selected-{family}")
     events = clean_events(selected, chart=clean_chart, lab=clean_lab)
     for family in ("chart", "lab"):
-        events[family] = write_stage(events[family])
+        events[family] = stages.write(events[family], f"events-{family}")
     stays = restrict_cohort(base, events, min_hours, required)
 
     groups = diagnosis.diagnosis_groups(
-        myocarditis_from_arrhythmia, list(infection_codes[0]), list(infection_codes[1])
+        rules.myocarditis_from_arrhythmia, list(infection_codes[0]), list(infection_codes[1])
     )
     coded = diagnosis.stay_flags(diagnosis.split_codes(raw["diagnosis"]), groups)
     cultured = diagnosis.culture_stays(raw["treatment"], cultures)
@@ -153,14 +189,14 @@ def final_dataset(
         .join(cultured, STAY, "left")
         .na.fill(0, [*groups, "blood_culture"])
     )
-    attributes = write_stage(attributes)
+    attributes = stages.write(attributes, "stays")
     static = ["uniquepid", "Age", "gender", "ethnicity", "height", "weight", "blood_culture", *groups]
 
-    streams = event_streams(align_events(events, attributes), rate_zero)
+    streams = event_streams(align_events(events, attributes), rules.rate_zero)
     intake = raw["intakeOutput"]
     streams["cryst"] = Stream(
         crystalloid_intervals(intake, attributes, crystalloid_label), "interval", {"cryst": "dose"}
     )
     streams["abx"] = Stream(antibiotic_hours(intake, attributes, antibiotics), "flag", {"abx": "label"})
-    flat = hourly_table(attributes, streams, static, labels=feature_labels, store_cells=True)
-    return finish(labels.label_states(engineer_features(flat, si, strict_cardio)))
+    flat = hourly_table(attributes, streams, static, labels=feature_labels, store_cells=stages)
+    return finish(labels.label_states(engineer_features(flat, rules.si, rules.strict_cardio)))

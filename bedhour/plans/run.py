@@ -1,18 +1,26 @@
 """Command line: raw files to the final table.
 
-    spark-submit -m bedhour.plans.run RAW_FOLDER DICTIONARY_FOLDER OUTPUT
+    spark-submit -m bedhour.plans.run RAW_FOLDER DICTIONARY_FOLDER OUTPUT [options]
+
+Every raw table is converted to Parquet once (a gzipped CSV can only be read by
+one task), then all stages work on that. With ``--run NAME`` a run that was
+stopped goes on after its last complete stage. The stages are removed at the end.
 """
 
 from __future__ import annotations
 
-import sys
+import argparse
+from collections.abc import Mapping
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..operators import cohort, labels
 from ..operators.diagnosis import infection_codes
 from ..session import build_session
-from ..sources import read_dictionary, read_raw
-from .dataset import final_dataset
+from ..sources import Stages, read_dictionary, read_raw
+from .dataset import MODES, TIME, final_dataset
+from .stages import Outliers
 
 # Dictionary file of each family.
 DICTIONARY_FILES = {
@@ -26,12 +34,84 @@ DICTIONARY_FILES = {
 }
 
 
-def run(spark: SparkSession, raw: str, dictionaries: str, output: str, suffix: str = ".csv.gz") -> None:
-    tables = read_raw(spark, raw, suffix)
+def to_parquet(tables: Mapping[str, DataFrame], stages: Stages) -> dict[str, DataFrame]:
+    """Each raw table read once and written with its fixed types."""
+    return {name: stages.write(table, f"source-{name}") for name, table in tables.items()}
+
+
+def write_reports(patient: DataFrame, final: DataFrame, output: str) -> None:
+    """Cohort figures, counts of the final table, and state transitions."""
+    labelled = cohort.mortality_label(cohort.visit_table(patient))
+    cohort.cohort_summary(labelled).write.mode("overwrite").json(f"{output}/cohort")
+    final.agg(F.count("*").alias("rows"), F.countDistinct("patientunitstayid").alias("stays"), F.max(TIME).alias("last_hour")).write.mode(
+        "overwrite"
+    ).json(f"{output}/counts")
+    labels.label_crosstab(final).write.mode("overwrite").json(f"{output}/transitions")
+
+
+def run(
+    spark: SparkSession,
+    raw: str,
+    dictionaries: str,
+    output: str,
+    suffix: str = ".csv.gz",
+    run_name: str | None = None,
+    reports: str | None = None,
+    first_row_only: bool = False,
+    **options,
+) -> None:
+    """``options`` go to ``final_dataset``."""
+    stages = Stages(spark, run_name)
+    tables = to_parquet(read_raw(spark, raw, suffix), stages)
     names = {f: read_dictionary(spark, f"{dictionaries}/{file}") for f, file in DICTIONARY_FILES.items()}
     codes = spark.read.option("header", True).csv(f"{dictionaries}/suspected_infection.csv")
-    final_dataset(tables, names, infection_codes(codes)).write.parquet(output)
+    final_dataset(tables, names, infection_codes(codes, first_row_only), stages=stages, **options).write.parquet(output)
+    if reports:
+        write_reports(tables["patient"], spark.read.parquet(output), reports)
+    stages.remove()
+
+
+def _outliers(low: float, high: float, impute: bool, on: bool) -> Outliers | None:
+    return Outliers(low, high, impute) if on else None
+
+
+def parse(args: list[str] | None = None) -> argparse.Namespace:
+    p = argparse.ArgumentParser(prog="bedhour.plans.run")
+    p.add_argument("raw")
+    p.add_argument("dictionaries")
+    p.add_argument("output")
+    p.add_argument("--suffix", default=".csv.gz")
+    p.add_argument("--run", help="name of the run; a stopped run of that name goes on")
+    p.add_argument("--reports", help="folder for cohort figures, counts and transitions")
+    p.add_argument("--mode", choices=sorted(MODES), default="corrected")
+    p.add_argument("--min-hours", type=int, default=24)
+    p.add_argument("--required", nargs="*", help="labels every stay must have")
+    p.add_argument("--first-infection-row", action="store_true", help="only the first row of each code version counts")
+    for family, on in (("chart", False), ("lab", True)):
+        p.add_argument(f"--clean-{family}", action=argparse.BooleanOptionalAction, default=on)
+        p.add_argument(f"--{family}-percentiles", nargs=2, type=float, default=(2, 98), metavar=("LOW", "HIGH"))
+        p.add_argument(f"--{family}-impute", action="store_true", help="move outliers onto the bound")
+    return p.parse_args(args)
+
+
+def main(args: list[str] | None = None, spark: SparkSession | None = None) -> None:
+    a = parse(args)
+    run(
+        spark or build_session(),
+        a.raw,
+        a.dictionaries,
+        a.output,
+        a.suffix,
+        a.run,
+        a.reports,
+        a.first_infection_row,
+        mode=a.mode,
+        min_hours=a.min_hours,
+        required=a.required,
+        clean_chart=_outliers(*a.chart_percentiles, a.chart_impute, a.clean_chart),
+        clean_lab=_outliers(*a.lab_percentiles, a.lab_impute, a.clean_lab),
+    )
 
 
 if __name__ == "__main__":
-    run(build_session(), *sys.argv[1:4])
+    main()

@@ -7,6 +7,7 @@ Families: ``med`` (intake), ``ing`` (infusion), ``proc`` (treatment), ``micro``,
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,6 +20,16 @@ from ..operators.joins import stays_within
 
 Tables = dict[str, DataFrame]
 
+
+@dataclass(frozen=True)
+class Outliers:
+    """What happens to values beyond a family's percentiles: the rows go, or
+    with ``impute`` the values move onto the bound."""
+
+    low: float = 2
+    high: float = 98
+    impute: bool = False
+
 _HS = "patienthealthsystemstayid"
 
 # Columns each family hands to the next stage.
@@ -46,12 +57,16 @@ LABELS = {
 
 
 def extract_events(
-    raw: Mapping[str, DataFrame], stays: DataFrame, families: Iterable[str] | None = None
+    raw: Mapping[str, DataFrame],
+    stays: DataFrame,
+    families: Iterable[str] | None = None,
+    chart_labels: DataFrame | None = None,
 ) -> Tables:
-    """Long events of the wanted families, with their stage columns."""
+    """Long events of the wanted families, with their stage columns. Charting of
+    labels outside ``chart_labels`` is dropped before repeats are looked for."""
     makers = {
         "out": lambda: extract.extract_output(raw["intakeOutput"], stays),
-        "chart": lambda: extract.extract_chart(raw["nurseCharting"], raw["respiratoryCharting"], stays),
+        "chart": lambda: extract.extract_chart(raw["nurseCharting"], raw["respiratoryCharting"], stays, chart_labels),
         "vitals": lambda: extract.extract_vitals(raw["vitalPeriodic"], raw["vitalAperiodic"], stays),
         "lab": lambda: extract.extract_labs(raw["lab"], raw["customLab"], stays),
         "micro": lambda: extract.extract_micro(raw["microLab"], stays),
@@ -81,23 +96,17 @@ def select_events(events: Mapping[str, DataFrame], dictionaries: Mapping[str, Da
 
 def clean_events(
     events: Mapping[str, DataFrame],
-    chart: bool = False,
-    lab: bool = True,
-    impute_chart: bool = False,
-    impute_lab: bool = False,
-    low: float = 2,
-    high: float = 98,
+    chart: Outliers | None = None,
+    lab: Outliers | None = Outliers(),
 ) -> Tables:
-    """Percentile outlier handling. Values are numbers afterwards either way."""
+    """Percentile outlier handling per family. Values are numbers afterwards
+    either way."""
     out = dict(events)
-    for family, value, on, impute in (
-        ("chart", "nursingchartvalue", chart, impute_chart),
-        ("lab", "labresult", lab, impute_lab),
-    ):
+    for family, value, rule in (("chart", "nursingchartvalue", chart), ("lab", "labresult", lab)):
         if family in out:
             out[family] = (
-                clean.clean_outliers(out[family], LABELS[family], value, low, high, impute)
-                if on
+                clean.clean_outliers(out[family], LABELS[family], value, rule.low, rule.high, rule.impute)
+                if rule
                 else clean.coerce_numeric(out[family], value)
             )
     return out

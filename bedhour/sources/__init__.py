@@ -1,9 +1,12 @@
 from .readers import read_dictionary, read_raw, read_table
 from .schemas import RAW_SCHEMAS
-from .sinks import shared_folder, write_stage
+from .sinks import Stages, hadoop_path, shared_folder, stored_bytes, write_stage
 
 __all__ = [
     "RAW_SCHEMAS",
+    "Stages",
+    "hadoop_path",
+    "stored_bytes",
     "read_dictionary",
     "read_raw",
     "read_table",

@@ -43,9 +43,9 @@ def read_raw(spark: SparkSession, root: str, suffix: str = ".csv.gz") -> dict[st
 
 
 def read_dictionary(spark: SparkSession, path: str) -> DataFrame:
-    """Label dictionary ``itemstring, altername``; ``position`` keeps the file
-    order, because the last entry of a repeated label wins."""
+    """Label dictionary ``itemstring, altername``; ``position`` tells the order,
+    because the last entry of a repeated label wins. It is the column of that
+    name, or else the order of rows, which only a single file has."""
     raw = spark.read.option("header", True).option("escape", '"').csv(path)
-    return raw.select(
-        "itemstring", "altername", F.monotonically_increasing_id().alias("position")
-    )
+    position = F.col("position").cast("bigint") if "position" in raw.columns else F.monotonically_increasing_id()
+    return raw.select("itemstring", "altername", position.alias("position"))

@@ -1,7 +1,7 @@
 """Fixed schemas of the raw tables. Offsets are minutes since unit admission.
 
-Only columns some operator reads are named; a CSV reader given one of these
-schemas with ``enforceSchema=false`` checks the header, see ``readers``.
+Only columns some operator reads are named; ``readers`` takes them by header
+name and casts them, so a file may hold more columns in any order.
 """
 
 RAW_SCHEMAS: dict[str, str] = {

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,8 +10,8 @@ from pyspark.sql import functions as F
 
 def shared_folder(spark: SparkSession) -> str:
     """Folder for stage outputs, as the cluster names it in
-    ``spark.checkpoint.dir``. Only a local session without that setting gets a
-    folder of its own."""
+    ``spark.checkpoint.dir``. A local session without that setting uses its
+    warehouse folder; elsewhere the setting must be there."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir"
     )
@@ -20,9 +19,61 @@ def shared_folder(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    made = tempfile.mkdtemp(prefix="bedhour-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/stages"
+
+
+def hadoop_path(spark: SparkSession, path: str):
+    """The file system of a path, and the path, as Spark itself opens them."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), at
+
+
+def stored_bytes(df: DataFrame) -> int:
+    """Size of a written table as the planner knows it: that of its files."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+class Stages:
+    """The stages of one run, in a folder of their own.
+
+    With a ``run`` name the folder is the same each time, and a stage that is
+    already complete there is read instead of written: a run that was stopped
+    goes on where it was. Without one, every stage is new, and the folder goes
+    when the application ends. ``remove`` deletes it at the end of a run.
+    """
+
+    def __init__(self, spark: SparkSession, run: str | None = None):
+        self.spark = spark
+        self.named = run is not None
+        self.folder = f"{shared_folder(spark)}/bedhour-{run or uuid.uuid4().hex}"
+        if not self.named:
+            files, at = hadoop_path(spark, self.folder)
+            files.deleteOnExit(at)
+
+    def path(self, name: str) -> str:
+        return f"{self.folder}/{name}"
+
+    def complete(self, name: str) -> bool:
+        files, at = hadoop_path(self.spark, f"{self.path(name)}/_SUCCESS")
+        return bool(files.exists(at))
+
+    def write(
+        self,
+        df: DataFrame,
+        name: str | None = None,
+        columns: list[str] | None = None,
+        cluster_by: list[str] | None = None,
+    ) -> DataFrame:
+        """A stage by its name, written unless it is complete already."""
+        name = name or f"stage-{uuid.uuid4().hex}"
+        out = df.select(*columns) if columns else df
+        if self.named and self.complete(name):
+            return self.spark.read.schema(out.schema).parquet(self.path(name))
+        return write_stage(out, self.path(name), None, cluster_by, mode="overwrite" if self.named else "errorifexists")
+
+    def remove(self) -> None:
+        files, at = hadoop_path(self.spark, self.folder)
+        files.delete(at, True)
 
 
 def write_stage(
@@ -30,20 +81,25 @@ def write_stage(
     path: str | None = None,
     columns: list[str] | None = None,
     cluster_by: list[str] | None = None,
+    mode: str = "errorifexists",
 ) -> DataFrame:
     """Write a stage as Parquet and return it as read back, with its lineage cut.
 
     ``cluster_by`` puts rows of the same key side by side in the files (one
     shuffle), so readers that filter on the key skip row groups. A hash of the
     row breaks ties between range bounds, so a hot key spreads over several
-    neighbouring files. There is never a file per stay.
+    neighbouring files. There is never a file per stay. Without a ``path`` the
+    stage goes to the shared folder and is removed when the application ends.
     """
     spark = df.sparkSession
     out = df.select(*columns) if columns else df
     schema = out.schema
-    path = path or f"{shared_folder(spark)}/stage-{uuid.uuid4().hex}"
+    if path is None:
+        path = f"{shared_folder(spark)}/stage-{uuid.uuid4().hex}"
+        files, at = hadoop_path(spark, path)
+        files.deleteOnExit(at)
     if cluster_by:
         spread = F.xxhash64(*[F.col(f"`{c}`") for c in out.columns])
         out = out.repartitionByRange(*cluster_by, spread).sortWithinPartitions(*cluster_by)
-    out.write.mode("errorifexists").parquet(path)
+    out.write.mode(mode).parquet(path)
     return spark.read.schema(schema).parquet(path)

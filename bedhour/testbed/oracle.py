@@ -3,6 +3,7 @@ Spark code. ``CTES`` are named parts; a query lists the parts it needs."""
 
 from __future__ import annotations
 
+from ..constants import DEFAULTS
 from . import adapter as A
 
 CTES: dict[str, tuple[list[str], str]] = {}
@@ -365,6 +366,17 @@ oracle(
     """SELECT patientunitstayid, treatmentid, treatmentstring FROM treatment_once
        UNION ALL SELECT patientunitstayid, treatmentid, treatmentstring FROM treatment_once WHERE treatmentid % 5 = 0""",
 )
+oracle(
+    "read_csv_roundtrip",
+    "infusionDrug",
+    """SELECT infusiondrugid, patientunitstayid, infusionoffset, drugname, drugrate, infusionrate, drugamount, volumeoffluid
+       FROM infusionDrug""",
+)
+oracle(
+    "read_dictionary",
+    "",
+    "SELECT p_brand AS itemstring, arg_max(p_name, p_partkey) AS altername FROM part GROUP BY p_brand",
+)
 oracle(
     "profile_counts",
     "stays",
@@ -548,6 +560,19 @@ oracle(
     """SELECT l_orderkey, l_linenumber, l.l_returnflag, round(greatest(lo, least(hi, l_extendedprice)), 6) AS l_extendedprice
        FROM lineitem l JOIN bounds b ON b.l_returnflag = l.l_returnflag""",
 )
+cte(
+    "nurse_num",
+    "nurseCharting",
+    f"""SELECT nursingchartid, label, v FROM (SELECT nursingchartid, nursingchartcelltypevallabel AS label,
+         {num('nursingchartvalue')} AS v FROM nurseCharting) WHERE v IS NOT NULL""",
+)
+oracle(
+    "clean_chart",
+    "nurse_num",
+    """SELECT nursingchartid, n.label, round(greatest(lo, least(hi, v)), 6) AS value FROM nurse_num n
+       JOIN (SELECT label, quantile_cont(v, 0.05) AS lo, quantile_cont(v, 0.95) AS hi FROM nurse_num GROUP BY label) b
+       ON b.label = n.label""",
+)
 oracle("resample_points", "chart_pts", "SELECT patientunitstayid, label, hour, los, round(value, 6) AS value FROM chart_pts")
 oracle("resample_treatment", "treated", "SELECT treatmentid, patientunitstayid, treatmentstring, hour FROM treated")
 oracle(
@@ -755,6 +780,19 @@ oracle(
        21.0::DOUBLE AS fio2, 1 AS fio2_fillna, 7.0::DOUBLE AS pH, 36.5::DOUBLE AS Temperature
        FROM (SELECT *, CASE WHEN ABPs > 100 THEN NULL ELSE ABPs END AS a FROM chart_ff JOIN lab_ff USING (patientunitstayid, hour))""",
 )
+_SEEN = {"ABPs": "ABPs", "ABPd": "ABPd", "Creatinine": "Creatinine", "Lactate": "Lactate"}
+oracle(
+    "default_impute_all",
+    "chart_ff lab_ff",
+    "SELECT patientunitstayid, hour, "
+    + ", ".join(
+        f'round(coalesce({_SEEN[c]}, {v}), 6) AS "{c}", CAST({_SEEN[c]} IS NULL AS INTEGER) AS "{c}_fillna"'
+        if c in _SEEN
+        else f'CAST({v} AS DOUBLE) AS "{c}", 1 AS "{c}_fillna"'
+        for c, v in DEFAULTS.items()
+    )
+    + " FROM chart_ff JOIN lab_ff USING (patientunitstayid, hour)",
+)
 oracle(
     "derived_impute",
     "chart_ff stays",
@@ -785,6 +823,12 @@ oracle(
         f"SELECT DISTINCT patientunitstayid, '{name}' AS grp FROM dx WHERE {test}" for name, test in GROUP_TESTS.items()
     ),
 )
+oracle(
+    "dx_long_list",
+    "dx",
+    """SELECT DISTINCT patientunitstayid, 'suspected_infection' AS grp FROM dx
+       WHERE regexp_matches(icd10, '^[A-L][0-9][0-9]') OR regexp_matches(icd9, '^[1-3][0-9][0-9]')""",
+)
 oracle(
     "dx_flags",
     "dx",
@@ -888,7 +932,9 @@ cte(
          INTERSECT SELECT patientunitstayid FROM f_lab_pts WHERE label = 'Lactate')""",
 )
 cte("f_grid", "f_stays", "SELECT patientunitstayid, unnest(range(los)) AS hour FROM f_stays WHERE admissionweight <> 0")
-_CHART = {"ABPs": "abps", "ABPd": "abpd", "FIO2 (%)": "cfio2", "Temperature": "temp", "HR": "hr", "Cardiac Output": "co"}
+_CHART = {
+    "ABPs": "abps", "ABPd": "abpd", "FIO2 (%)": "cfio2", "Temperature": "temp", "HR": "hr", "Cardiac Output": "co", "NIBPs": "nibps",
+}
 _LAB = {"Lactate": "lact", "Creatinine": "crea", "FIO2 (%)": "lfio2", "PaO2": "pao2"}
 cte("f_chart_cells", "f_chart_pts", pivot("f_chart_pts", "label", "value", _CHART))
 cte("f_lab_cells", "f_lab_pts", pivot("f_lab_pts", "label", "value", _LAB))
@@ -956,3 +1002,72 @@ oracle(
        round(fluids, 6) AS fluids, antibiotics AS Antibiotics, vaso AS vasoactive, vent AS ventilated, Sofa_Respiration, Sofa_Cardiovascular,
        Sofa_Urine, SoFa_score, Annotation, Shock_next_12h FROM f_next""",
 )
+
+# Every column of it, once with the corrected and once with the published rules.
+cte(
+    "f_culture",
+    "micro_pts",
+    """SELECT patientunitstayid, hour, 1 AS marked FROM micro_pts WHERE labname IN ('s1', 'a1') GROUP BY patientunitstayid, hour""",
+)
+cte(
+    "f_groups",
+    "f_stays dx",
+    "SELECT patientunitstayid, "
+    + ", ".join(
+        f'CAST(patientunitstayid IN (SELECT patientunitstayid FROM dx WHERE {test}) AS INTEGER) AS "{name}"'
+        for name, test in GROUP_TESTS.items()
+    )
+    + " FROM f_stays",
+)
+_STRICT = SOFA.replace("WHEN dopa <= 5 OR dopa_mg > 0", "WHEN (dopa > 0 AND dopa <= 5) OR dopa_mg > 0")
+_FILLED = {
+    "NIBPs": ("nibps", "nibps"), "HR": ("hr", "raw_hr"), "Temperature": ("temp", "raw_temp"), "ABPs": ("abps", "abps"),
+    "ABPd": ("abpd", "abpd"), "Lactate": ("lact", "lact"), "Creatinine": ("crea", "raw_crea"), "PaO2": ("pao2", "pao2"),
+    "FIO2 (%)": ("fio2", "raw_fio2"),
+}
+_NO_DRUG = ["Epinephrine (MG)", "Epinephrine (MCG/KG/MIN)_Rate", "Dobutamine (MG)", "Dobutamine (MCG/KG/MIN)_Rate", "Phenylephrine (MG)",
+            "Phenylephrine (MCG/KG/MIN)_Rate", "Vasopressin (MG)", "Vasopressin (MCG/KG/MIN)_Rate", "Milrinone (MG)"]
+for _query, _mode, _rates, _sofa in (
+    ("pipeline_final", "c", "nore, dopa * admissionweight_share AS dopa", _STRICT),
+    ("pipeline_published", "p", "0.0::DOUBLE AS nore, 0.0::DOUBLE AS dopa", SOFA),
+):
+    cte(
+        f"f_in_{_mode}",
+        "f_in f_ff f_groups f_culture",
+        f"""SELECT i.* EXCLUDE (nore, dopa, admissionweight_share, suspected_infection), {_rates}, g.* EXCLUDE (patientunitstayid),
+           f.abps, f.abpd, f.nibps, f.lact, f.pao2, f.hr AS raw_hr, f.crea AS raw_crea, coalesce(f.lfio2, f.cfio2) AS raw_fio2,
+           CASE WHEN f.temp <= 50 THEN f.temp END AS raw_temp, f.co AS raw_co, coalesce(u.marked, 0) AS micro
+           FROM (SELECT *, 1 / (60.0::DOUBLE * 60 * admissionweight) AS admissionweight_share FROM f_in) i
+           JOIN f_ff f ON f.patientunitstayid = i.patientunitstayid AND f.hour = i.hour
+           JOIN f_groups g ON g.patientunitstayid = i.patientunitstayid
+           LEFT JOIN f_culture u ON u.patientunitstayid = i.patientunitstayid AND u.hour = i.hour""",
+    )
+    cte(f"f_vaso_{_mode}", f"f_in_{_mode}", f"SELECT *, CAST(nore_mg + dopa_mg > 0 AS INTEGER) AS vaso FROM f_in_{_mode}")
+    cte(f"f_sofa_{_mode}", f"f_vaso_{_mode}", _sofa.format(source=f"f_vaso_{_mode}"))
+    cte(f"f_state_{_mode}", f"f_sofa_{_mode}", STATE.format(source=f"f_sofa_{_mode}"))
+    cte(f"f_next_{_mode}", f"f_state_{_mode}", NEXT.format(source=f"f_state_{_mode}"))
+    _groups = {g: g for g in GROUP_TESTS}
+    if _mode == "p":
+        _groups["Myocarditis"] = _groups.pop("Arrhythmia")
+    oracle(
+        _query,
+        f"f_next_{_mode}",
+        "SELECT patientunitstayid, hour AS Time_since_ICU_admission, uniquepid, Age, gender, ethnicity, admissionheight AS height, "
+        "CAST(admissionheight = 0 AS INTEGER) AS height_fillna, admissionweight AS weight, "
+        + ", ".join(f'"{source}" AS "{name}"' for name, source in _groups.items())
+        + ", culture AS \"Blood culture\", CAST(micro AS DOUBLE) AS \"Culture\", dialysis AS \"Dialysis\", round(urine, 6) AS \"Urine output\", "
+        + ", ".join(
+            f'round(coalesce({_FILLED[c][0]}, {v}), 6) AS "{c}", CAST({_FILLED[c][1]} IS NULL AS INTEGER) AS "{c}_fillna"'
+            if c in _FILLED
+            else f'CAST({v} AS DOUBLE) AS "{c}", 1 AS "{c}_fillna"'
+            for c, v in DEFAULTS.items()
+        )
+        + ", CAST(vent AS DOUBLE) AS \"Ventilator\", "
+        + ", ".join(f'0.0::DOUBLE AS "{c}"' for c in _NO_DRUG)
+        + """, round(nore_mg, 9) AS "Norepinephrine (MG)", round(nore, 6) AS "Norepinephrine (MCG/KG/MIN)_Rate",
+           round(dopa_mg, 9) AS "Dopamine (MG)", round(dopa, 6) AS "Dopamine (MCG/KG/MIN)_Rate", antibiotics AS "Antibiotics",
+           round(map, 6) AS "MAP", 1 AS "MAP_fillna", round(co, 6) AS "Cardiac Output", CAST(raw_co IS NULL AS INTEGER) AS "Cardiac Output_fillna",
+           round(pf, 6) AS "PaO2/FiO2", vaso AS "vasoactive/inotropic", round(fluids, 6) AS "Fluids(ml)", 15.0::DOUBLE AS "GCS_score",
+           Sofa_Respiration, Sofa_Coagulation, Sofa_Liver, Sofa_Cardiovascular, Sofa_GCS, Sofa_Urine, SoFa_score, Annotation, Shock_next_12h """
+        + f"FROM f_next_{_mode}",
+    )

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import STAY
+from ..constants import DEFAULTS
 from ..functions import col, contains_text
 from ..operators import (
     align,
@@ -31,8 +32,10 @@ from ..operators import (
     units,
 )
 from ..operators.tabular import Stream
-from ..plans.dataset import ADDED_FLUID, crystalloid_intervals, final_dataset
-from ..sources import write_stage
+from ..plans.dataset import ADDED_FLUID, Mode, crystalloid_intervals, final_dataset
+from ..plans.stages import Outliers, clean_events
+from ..sources import Stages, read_table, write_stage
+from ..sources import read_dictionary as read_names
 from . import adapter as A
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -163,6 +166,24 @@ def sink_roundtrip(s, d):
     return write_stage(rows, columns=[STAY, "treatmentid", "treatmentstring"], cluster_by=[STAY])
 
 
+@query
+def read_csv_roundtrip(s, d):
+    """A raw table written as CSV and read by the library's own reader."""
+    folder = Stages(s)
+    rows = raw(s, d, "infusionDrug")
+    rows.write.option("header", True).csv(folder.path("infusionDrug.csv"))
+    return read_table(s, folder.path("infusionDrug.csv"), "infusionDrug")
+
+
+@query
+def read_dictionary(s, d):
+    """A label dictionary as CSV, of whose repeated labels the last entry counts."""
+    folder = Stages(s)
+    rows = A.table(s, d, "part").selectExpr("p_brand as itemstring", "p_name as altername", "p_partkey as position")
+    rows.write.option("header", True).csv(folder.path("names.csv"))
+    return select.dictionary_map(read_names(s, folder.path("names.csv")))
+
+
 @query
 def profile_counts(s, d):
     return profile.stay_counts(stays(s, d))
@@ -414,6 +435,14 @@ def outlier_winsorize(s, d):
     )
 
 
+@query
+def clean_chart(s, d):
+    """Charted values moved onto their label's 5th and 95th percentile."""
+    rows = raw(s, d, "nurseCharting").select("nursingchartid", "nursingchartcelltypevallabel", "nursingchartvalue")
+    out = clean_events({"chart": rows}, chart=Outliers(5, 95, impute=True))["chart"]
+    return out.select("nursingchartid", F.col("nursingchartcelltypevallabel").alias("label"), r("nursingchartvalue").alias("value"))
+
+
 # ---- alignment -----------------------------------------------------------
 
 
@@ -681,7 +710,9 @@ SUM_COLUMNS = {
     "Insulin (ml)": "l_quantity",
     "Insulin (mcg)": "l_extendedprice",
     "Enteral Nutrition": "l_quantity",
+    "Enteral Nutrition_rate": "l_extendedprice",
     "Enteral Nutrition Ingredient_rate": "l_extendedprice",
+    "med_Nutrition_rate": "l_quantity",
     "med_Nutrition": "if(l_linenumber = 2, null, l_tax)",
     "med_NaCl 0.9%": "l_quantity",
     "NaCl 0.9%": "l_discount",
@@ -689,7 +720,10 @@ SUM_COLUMNS = {
     "med_NaCl 3%": "if(l_linenumber = 1, null, l_tax)",
     "med_Dextrose 5%": "l_quantity",
     "Dextrose 10%": "l_tax",
+    "Dextrose 10%_rate": "l_extendedprice",
     "Heparin (ml)": "l_quantity",
+    "Heparin (ml)_rate": "l_extendedprice",
+    "Insulin (ml)_rate": "l_extendedprice",
     "med_Water": "l_discount",
     "med_Esmolol": "l_tax",
 }
@@ -747,6 +781,14 @@ def default_impute(s, d):
     )
 
 
+@query
+def default_impute_all(s, d):
+    """Every column that gets a constant, and its mark."""
+    out = impute.default_impute(hourly_channels(s, d))
+    names = [n for c in DEFAULTS for n in (c, f"{c}_fillna")]
+    return out.select(STAY, "hour", *[r(n).alias(n) if n in DEFAULTS else col(n) for n in names])
+
+
 @query
 def derived_impute(s, d):
     out = impute.derived_impute(impute.default_impute(hourly_channels(s, d)))
@@ -776,6 +818,18 @@ def dx_prefix_match(s, d):
     return diagnosis.matched_codes(diagnosis.split_codes(raw(s, d, "diagnosis")), groups())
 
 
+LONG_9 = [str(i) for i in range(100, 400)]
+LONG_10 = [f"{letter}{i:02d}" for letter in "ABCDEFGHIJKL" for i in range(100)]
+
+
+@query
+def dx_long_list(s, d):
+    """Matches against a list of 1,500 codes."""
+    listed = diagnosis.diagnosis_groups(infection_icd9=LONG_9, infection_icd10=LONG_10)
+    found = {"suspected_infection": listed["suspected_infection"]}
+    return diagnosis.matched_codes(diagnosis.split_codes(raw(s, d, "diagnosis")), found)
+
+
 @query
 def dx_flags(s, d):
     flags = diagnosis.stay_flags(diagnosis.split_codes(raw(s, d, "diagnosis")), groups())
@@ -851,13 +905,41 @@ def label_crosstab(s, d):
     return labels.label_crosstab(labels.label_states(state_inputs(s, d, (labels.BACK, labels.AHEAD))))
 
 
+def whole_table(s: SparkSession, d: str, mode: str) -> DataFrame:
+    """Raw tables to the final labelled table, every column. Saline goes in as a
+    dextrose infusion, so that the table has a real rate beside a volume."""
+    names = {**A.DICTIONARIES, "ing": [(a, "Dextrose 10%" if a == "Saline" else b) for a, b in A.DICTIONARIES["ing"]]}
+    out = final_dataset(
+        A.raw_tables(s, d),
+        {family: A.dictionary(s, pairs) for family, pairs in names.items()},
+        (INFECTION_9, INFECTION_10),
+        mode,
+        crystalloid_label="c2",
+        antibiotics=["c1"],
+        cultures=["t5"],
+    )
+    digits = {name: 9 if name.endswith("(MG)") else 6 for name, kind in out.dtypes if kind == "double"}
+    return out.select(*[r(name, digits[name]).alias(name) if name in digits else col(name) for name in out.columns])
+
+
+@query
+def pipeline_final(s, d):
+    return whole_table(s, d, "corrected")
+
+
+@query
+def pipeline_published(s, d):
+    return whole_table(s, d, "published")
+
+
 @query
 def final_table(s, d):
-    """Raw tables to the final labelled table: its main columns."""
+    """The main columns, with real rates and the published factors."""
     out = final_dataset(
         A.raw_tables(s, d),
         A.dictionaries(s),
         (INFECTION_9, INFECTION_10),
+        Mode(rate_zero=False, si=False, strict_cardio=False, myocarditis_from_arrhythmia=False),
         crystalloid_label="c2",
         antibiotics=["c1"],
         cultures=["t5"],

@@ -96,7 +96,7 @@ def test_cohort(spark):
     assert [r[STAY] for r in invalid.collect()] == [5]
     # 29 minutes round to 0 hours and the stay is dropped.
     assert sorted((r[STAY], r.los) for r in cohort.los_hours(valid).collect()) == [(1, 25), (2, 10)]
-    assert cohort.summary_text(cohort.build_cohort(df)).first()[0].endswith("# Negative cases: 2")
+    assert cohort.summary_text(cohort.build_cohort(df)).first()[0].endswith("stays survived = 2")
 
 
 STAYS = [(1, 10), (2, 3)]
@@ -263,3 +263,40 @@ def test_infusion_rates(spark, rate_zero, rate):
     wide = tabular.tabularize(stay_table(spark, [(1, 5)]), event_streams({"ing": ing}, rate_zero), labels={"ing": ["d"]})
     got = {r.hour: (r["ing__d"], r["rate__d"]) for r in wide.collect()}
     assert got == {0: (0.0, 0.0), 1: (2.0, rate), 2: (2.0, rate), 3: (0.0, 0.0), 4: (0.0, 0.0)}
+
+
+def test_rates_are_not_volumes(spark):
+    df = spark.createDataFrame(
+        [(1.0, 100.0, 2.0, 50.0, 70.0)],
+        "`Dextrose 10%` double, `Dextrose 10%_rate` double, `Enteral Nutrition` double, `Enteral Nutrition_rate` double, weight double",
+    )
+    sums = units.group_sums(df)
+    row = sums.first()
+    assert (row["Dextrose n% (sum)"], row["Nutrition (ml)"]) == (1.0, 2.0)
+    assert not [c for c in sums.columns if c.endswith("_rate")]
+    assert impute.fluids_total(sums).first()["Fluids(ml)"] == 3.0
+
+
+def test_prefix_lists_of_any_length(spark):
+    import time
+
+    from bedhour.operators import diagnosis
+
+    codes = [f"{a}{i:04d}" for a in "ABCDE" for i in range(1000)]
+    df = spark.createDataFrame([("A0001x",), ("A000",), ("E999",), ("E19999",), ("F0001",)], "icd10 string")
+    start = time.perf_counter()
+    found = df.withColumn("hit", diagnosis.starts_with_any("icd10", [*codes, "E.99", "F'\\"]))
+    found.schema
+    assert time.perf_counter() - start < 2
+    assert {r.icd10: r.hit for r in found.collect()} == {"A0001x": True, "A000": False, "E999": True, "E19999": False, "F0001": False}
+
+
+def test_published_mode(spark):
+    """Rates of 0, and a score of 2 at a mean pressure of 80 without any drug."""
+    from bedhour.operators import scores
+    from bedhour.plans import MODES
+
+    df = spark.createDataFrame([(80.0, 0.0)], "MAP double, `Dopamine (MCG/KG/MIN)_Rate` double")
+    assert MODES["published"].rate_zero and not MODES["corrected"].rate_zero
+    got = {m: scores.sofa_score(df, rules.strict_cardio).first()["Sofa_Cardiovascular"] for m, rules in MODES.items()}
+    assert got == {"published": 2, "corrected": 0}

@@ -118,7 +118,7 @@ def test_salted_join_equals_plain(spark, events, how):
     rows, stays = events
     some = stays.where(F.col(STAY) % 3 != 1).withColumnRenamed("los", "l")
     plain = rows.join(some, [STAY], how)
-    salted = joins.salted_join(rows, some, [STAY], how, salts=5)
+    salted = joins.salted_join(rows, some, [STAY], how, rows_per_task=40)
     assert salted.columns == plain.columns
     assert sorted(map(str, salted.collect())) == sorted(map(str, plain.collect()))
 
@@ -129,7 +129,7 @@ def test_salted_join_splits_a_hot_key(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        joined = joins.balanced_join(hot, keyed, STAY)
+        joined = joins.balanced_join(hot, keyed, STAY, rows_per_task=500)
         sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
@@ -143,19 +143,42 @@ def test_lookup_join_beyond_the_broadcast_size(spark, events):
     try:
         keyed = stays.withColumnRenamed("los", "l")
         few = joins.lookup_join(rows, keyed, STAY, "left").count()
-        many = joins.lookup_join(rows, keyed, STAY, "left", max_rows=3).count()
+        many = joins.lookup_join(rows, keyed, STAY, "left", rows_per_task=100).count()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert few == many == rows.count()
 
 
-@pytest.mark.parametrize("exact_below", [None, 10])
-def test_percentiles_by_bracket(spark, exact_below):
-    """A tiny bracket threshold sends every label down the sketch path."""
+def test_only_hot_keys_are_salted(spark):
+    """Equal rows of a hot key spread too, once something tells them apart."""
+    rows = spark.range(9_000).select(F.when(F.col("id") < 3000, 1).otherwise(F.col("id")).cast("bigint").alias(STAY), F.lit(7).alias("v"), "id")
+    hot = joins.hot_keys(rows, [STAY], 500).collect()
+    assert [(r[STAY], r["_salts"]) for r in hot] == [(1, 6)]
+    keyed = spark.range(9_000).select(F.col("id").alias(STAY), F.lit(1).alias("x"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = joins.salted_join(rows, keyed, [STAY], rows_per_task=500, spread=F.col("id"))
+        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sum(sizes) == 9_000 and max(sizes) < 2 * 9_000 / 4
+
+
+@pytest.mark.parametrize("accuracy, slack", [(1000, None), (1000, 0.9), (7, 1e-6)])
+def test_percentiles_by_bracket(spark, accuracy, slack):
+    """With a coarse sketch and hardly any slack the first bracket misses; the
+    proof finds that, and a wider round gives the exact value."""
     rng = random.Random(11)
     rows = [("hot", round(rng.gauss(50, 20), 1)) for _ in range(6000)] + [("b", float(i)) for i in range(501)] + [("c", 4.0)] * 40
+    rows += [("d", 1.0), ("e", 1.0), ("e", 2.0), ("f", float("inf")), ("f", 1.0), ("f", 3.0)]
     df = spark.createDataFrame(rows, "label string, v double")
-    got = {r.label: (r.n, r.lo, r.hi) for r in clean.percentile_bounds(df, "label", "v", accuracy=1000, exact_below=exact_below).collect()}
+    if slack == 1e-6:
+        assert not clean._within_brackets(df.toDF("_l", "_v"), [0.02, 0.98], accuracy, slack).where("_l = 'hot'").first()["_ok"]
+    got = {r.label: (r.n, r.lo, r.hi) for r in clean.percentile_bounds(df, "label", "v", accuracy=accuracy, slack=slack).collect()}
+    assert got.pop("f")[0] == 3
+    rows = [r for r in rows if r[0] != "f"]
     pdf = pd.DataFrame(rows, columns=["label", "v"])
     for label, g in pdf.groupby("label"):
         n, lo, hi = got[label]
@@ -171,6 +194,53 @@ def test_codes_follow_sorted_order(spark):
     assert got == {w: i for i, w in enumerate(ordered)}
 
 
+def test_codes_that_start_alike_are_not_one_task(spark):
+    df = spark.range(20_000).select(F.concat(F.lit("p123"), F.lpad(F.col("id").cast("string"), 6, "0")).alias("w"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # it would merge such small ranges
+    try:
+        codes = tabular.label_codes(df, "w")
+        ranges = [r["count"] for r in codes.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert codes.where("code <> cast(substring(w, 5) as int)").isEmpty()
+    assert max(ranges) < 2 * 20_000 / 4
+
+
+def test_many_labels(spark):
+    """170 columns, and the same in long form."""
+    rows = [(s, 60, f"l{k:03d}", (k * 7 + s) % 60, float(k)) for s in (1, 2) for k in range(170)]
+    points = spark.createDataFrame(rows, f"{STAY} bigint, los bigint, label string, hour bigint, value double")
+    stays = spark.createDataFrame([(1, 60), (2, 60)], f"{STAY} bigint, los bigint")
+    streams = {"chart": Stream(points, "hold", {"chart": "value"})}
+    wide = tabular.tabularize(stays, streams, store_cells=True)
+    assert len([c for c in wide.columns if c.startswith("chart__")]) == 170 and wide.count() == 120
+    table = wide.toPandas().set_index([STAY, "hour"])
+    for r in tabular.long_table(streams).collect():
+        for h in (r.hour, r.until - 1):
+            assert table.loc[(r[STAY], h), f"chart__{r.label}"] == r.value
+
+
+def test_long_form_of_intervals(spark):
+    rows = [(1, 20, "a", 2, 9, 5.0, 1.0), (1, 20, "a", 6, 30, 7.0, 2.0), (1, 20, "b", 3, 3, 1.0, 1.0)]
+    iv = spark.createDataFrame(rows, f"{STAY} bigint, los bigint, label string, start_hour bigint, stop_hour bigint, amount double, speed double")
+    streams = {"ing": Stream(iv, "interval", {"ing": "amount", "rate": "speed"})}
+    got = {(r.family, r.label, r.hour, r.until, r.value) for r in tabular.long_table(streams).collect()}
+    assert got == {("ing", "a", 2, 6, 5.0), ("rate", "a", 2, 6, 1.0), ("ing", "a", 6, 20, 7.0), ("rate", "a", 6, 20, 2.0)}
+
+
+def test_rows_outside_the_cohort_go_before_repeats_are_looked_for(spark):
+    from bedhour.operators import extract
+
+    nurse = spark.createDataFrame([(1, 1, 5, "ABPs", "3")] * 2 + [(2, 9, 5, "x", "3")], f"nursingchartid bigint, {STAY} bigint, nursingchartoffset bigint, nursingchartcelltypevallabel string, nursingchartvalue string")
+    resp = spark.createDataFrame([], f"respchartid bigint, {STAY} bigint, respchartoffset bigint, respchartvaluelabel string, respchartvalue string")
+    stays = spark.createDataFrame([("p", 1)], f"uniquepid string, {STAY} bigint")
+    names = spark.createDataFrame([("ABPs",)], "itemstring string")
+    out = extract.extract_chart(nurse, resp, stays, names)
+    assert out.count() == 1
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Aggregate") < plan.index("Join")  # the join is below, so it runs first
+
+
 def test_grid_of_a_very_long_stay(spark):
     stays = spark.createDataFrame([(1, 200_000), (2, 1), (3, 0)], f"{STAY} bigint, los bigint")
     grid = hours.hour_grid(stays)
