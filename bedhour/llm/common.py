@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources import shared_folder
+from ..sources import hadoop_path, shared_folder
 
 # White space of the word rules: blank, tab, line feed, vertical tab, form feed, return.
 SPACE_CLASS = r"[^\x20\x09-\x0D]+"
@@ -50,17 +50,15 @@ class Stage:
         self.spark = df.sparkSession
         self.path = f"{shared_folder(self.spark)}/llm-{name}-{uuid.uuid4().hex}"
         schema = df.schema
+        files, at = hadoop_path(self.spark, self.path)
+        files.deleteOnExit(at)
         with shuffles_removed(self.spark):
             df.write.parquet(self.path)
         self.df = self.spark.read.schema(schema).parquet(self.path)
 
-    def _hadoop(self):
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        return path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()), path
-
     def bytes(self) -> int:
-        fs, path = self._hadoop()
-        return int(fs.getContentSummary(path).getLength())
+        files, at = hadoop_path(self.spark, self.path)
+        return int(files.getContentSummary(at).getLength())
 
     def small(self) -> DataFrame:
         """Marked for broadcast if its files are under ``BROADCAST_BYTES``; else
@@ -69,8 +67,8 @@ class Stage:
 
     def drop(self) -> None:
         """Remove the files, once what was made from them is written too."""
-        fs, path = self._hadoop()
-        fs.delete(path, True)
+        files, at = hadoop_path(self.spark, self.path)
+        files.delete(at, True)
 
 
 _shipped: set[str] = set()

@@ -94,4 +94,57 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-ORACLE: dict[str, str] = {}
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def urls_sql() -> str:
+    host = f"translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), '{_UPPER}', '{_LOWER}')"
+    path = "regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1)"
+    longest = sorted(urls.RULES, key=lambda r: (-len(r[0]), -len(r[1])))
+
+    def chosen(what: int) -> str:
+        cases = " ".join(
+            f"WHEN (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}') THEN '{(h + p, says)[what]}'"
+            for h, p, says in longest
+        )
+        return f"CASE {cases} END"
+
+    return f"""WITH parts AS (SELECT page_id, {host} AS host, {path} AS path FROM pages)
+SELECT page_id, host, path, {chosen(0)} AS rule,
+  coalesce({chosen(1)}, CASE WHEN regexp_matches(host, '{"|".join(LISTED_WORDS)}') THEN 'block' ELSE 'allow' END) AS verdict
+FROM parts"""
+
+
+def licenses_sql(least_cover: float = 0.8) -> str:
+    found = licenses.templates()
+    postings = ", ".join(f"({i}, {at}, '{w}')" for i, t in enumerate(found) for at, w in enumerate(t.words))
+    kinds = ", ".join(f"({i}, '{t.label}', {t.base}, {len(t.words)})" for i, t in enumerate(found))
+    phrases = ", ".join(f"({i}, {at}, {size})" for i, t in enumerate(found) for at, size in t.phrases)
+    return f"""WITH postings(template, pos, word) AS (VALUES {postings}),
+kinds(template, label, base, size) AS (VALUES {kinds}),
+phrases(template, begin_at, size) AS (VALUES {phrases}),
+texts AS (SELECT row_number() OVER () AS rid, doc_id,
+  regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{licenses.WORD}') AS w FROM documents),
+hits AS (SELECT * FROM (SELECT rid, unnest(w) AS word, unnest(range(len(w))) AS pos FROM texts)
+  WHERE word IN (SELECT word FROM postings)),
+seen AS (SELECT word, count(DISTINCT rid) AS n FROM hits GROUP BY word),
+keys AS (SELECT template, pos, word FROM (SELECT p.*, row_number() OVER (PARTITION BY template
+  ORDER BY coalesce(n, 0), p.word, p.pos) AS nth FROM postings p LEFT JOIN seen s ON s.word = p.word) WHERE nth = 1),
+shifts AS (SELECT rid, template, h.pos - k.pos AS start_pos FROM hits h JOIN keys k ON k.word = h.word),
+stand AS (SELECT s.rid, s.template, s.start_pos, p.pos FROM shifts s JOIN postings p ON p.template = s.template
+  JOIN hits h ON h.rid = s.rid AND h.word = p.word AND h.pos = s.start_pos + p.pos),
+covers AS (SELECT rid, template, start_pos, count(*) AS n FROM stand GROUP BY rid, template, start_pos),
+whole AS (SELECT DISTINCT rid, template, start_pos FROM (SELECT s.rid, s.template, s.start_pos, f.begin_at, f.size, count(*) AS n
+  FROM stand s JOIN phrases f ON f.template = s.template AND s.pos >= f.begin_at AND s.pos < f.begin_at + f.size
+  GROUP BY ALL) WHERE n = size),
+matches AS (SELECT c.rid, c.start_pos, k.label, k.base, CAST(c.n AS DOUBLE) / k.size AS cover FROM covers c
+  JOIN kinds k ON k.template = c.template LEFT JOIN whole w ON w.rid = c.rid AND w.template = c.template AND w.start_pos = c.start_pos
+  WHERE CASE WHEN k.base THEN c.n = k.size ELSE w.rid IS NOT NULL AND CAST(c.n AS DOUBLE) / k.size >= {least_cover} END)
+SELECT doc_id, CAST(len(any_value(w)) AS BIGINT) AS n_words, count(label) FILTER (base) AS n_base,
+  min(start_pos) FILTER (base) AS first_word, max(start_pos) FILTER (base) AS last_word,
+  coalesce(string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base), '') AS base_labels,
+  coalesce(string_agg(DISTINCT label, ',' ORDER BY label), '') AS labels, coalesce(max(cover), 0) AS score
+FROM texts t LEFT JOIN matches m ON m.rid = t.rid GROUP BY t.rid, doc_id"""
+
+
+ORACLE: dict[str, str] = {"op2_licenses": licenses_sql(), "op4_urls": urls_sql()}
