@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Stage, ascii_lower, in_tasks
+from .common import MIX_1, Stage, ascii_lower, in_tasks, mix
 
 HASHES = 3
 MOST_BYTES = 32 << 20
@@ -75,15 +75,11 @@ class Bloom:
 
 
 def positions(key: np.ndarray, seed: int, bits: int) -> list[np.ndarray]:
-    """Bit positions of 64-bit keys: the steps are h1 + i * h2."""
-    first, second = key & np.uint64(0x7FFFFFFF), (key >> np.uint64(32)) & np.uint64(0x7FFFFFFF)
-    return [((first + second * np.uint64(i + 1 + HASHES * seed)) % np.uint64(bits)).astype(np.int64) for i in range(HASHES)]
-
-
-def position_columns(key: Column, seed: int, bits: int) -> list[Column]:
-    first = key.bitwiseAND(F.lit(0x7FFFFFFF))
-    second = F.shiftrightunsigned(key, 32).bitwiseAND(F.lit(0x7FFFFFFF))
-    return [F.pmod(first + second * F.lit(i + 1 + HASHES * seed), F.lit(bits)) for i in range(HASHES)]
+    """Bit positions of 64-bit keys. Each level mixes the key anew, so two keys
+    that meet at one level part at the next."""
+    own = mix(key + np.uint64((seed + 1) * int(MIX_1) % (1 << 64)))
+    first, second = own & np.uint64(0x7FFFFFFF), own >> np.uint64(33) | np.uint64(1)
+    return [((first + second * np.uint64(i)) % np.uint64(bits)).astype(np.int64) for i in range(HASHES)]
 
 
 def passes(bloom: Bloom, key: np.ndarray) -> np.ndarray:
@@ -94,10 +90,20 @@ def passes(bloom: Bloom, key: np.ndarray) -> np.ndarray:
 
 
 def build_level(keys: DataFrame, seed: int, bits: int) -> Bloom:
-    """Bits of all ``key`` values, or-ed by Spark; one row per 64-bit word comes back."""
-    at = keys.select(F.explode(F.array(*position_columns(F.col("key"), seed, bits))).alias("at"))
-    mask = F.expr("shiftleft(1L, cast(at & 63 as int))")
-    words = at.groupBy(F.shiftright("at", 6).alias("word")).agg(F.bit_or(mask).alias("mask")).toPandas()
+    """Bits of all ``key`` values: a task sets those of its keys, and Spark ors
+    them per 64-bit word. One row per word comes back."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            key = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+            at = np.unique(np.concatenate(positions(key, seed, bits)))
+            word, first = np.unique(at >> 6, return_index=True)
+            mask = np.uint64(1) << (at & 63).astype(np.uint64)
+            ored = np.bitwise_or.reduceat(mask, first) if len(mask) else mask
+            yield pa.RecordBatch.from_arrays([pa.array(word), pa.array(ored.view(np.int64))], ["word", "mask"])
+
+    set_bits = keys.select("key").transform(in_tasks, run, "word long, mask long")
+    words = set_bits.groupBy("word").agg(F.bit_or("mask").alias("mask")).toPandas()
     table = np.zeros((bits + 63) // 64, np.uint64)
     table[words["word"].to_numpy(np.int64)] = words["mask"].to_numpy(np.int64).view(np.uint64)
     return Bloom(seed, bits, table)
