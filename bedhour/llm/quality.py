@@ -324,6 +324,6 @@ def judge(docs: DataFrame, least_words: int = 50, most_repeated: int = 50, fence
 def keep_good(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that are kept. What a row's judgement depends on is
     its text and language, so these tell which rows to drop, whatever the ids."""
-    bad = Stage(judge(docs, **options).where(~F.col("kept")).select("content").distinct(), "quality-rejected")
+    rejected = judge(docs, **options).where(~F.col("kept")).select(F.col("content").alias("_rejected")).distinct()
     content = F.xxhash64(docs["text"], F.lit("/"), docs["lang"])
-    return docs.join(bad.small(), content == F.col("content"), "left_anti")
+    return docs.join(Stage(rejected, "quality-rejected").small(), content == F.col("_rejected"), "left_anti")
