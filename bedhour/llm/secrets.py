@@ -139,7 +139,7 @@ def digest(spans: list[tuple[int, int, int]]) -> str:
 
 
 def find_secrets(
-    docs: DataFrame, logs: np.ndarray | None = None, least_length: int = 20, threshold: float = 0.75
+    docs: DataFrame, logs: np.ndarray | None = None, least_length: int = 20, threshold: float = 0.3
 ) -> DataFrame:
     """``doc_id``, counts of the base kinds, their digest, and all spans."""
     logs = train(docs) if logs is None else logs
@@ -167,7 +167,7 @@ def find_secrets(
 
 
 def redact(
-    docs: DataFrame, logs: np.ndarray | None = None, least_length: int = 20, threshold: float = 0.75, mark: str = "[secret]"
+    docs: DataFrame, logs: np.ndarray | None = None, least_length: int = 20, threshold: float = 0.3, mark: str = "[secret]"
 ) -> DataFrame:
     """The rows of ``docs`` with every span replaced by ``mark``, and ``n_chars``,
     where there is one, set to the new length. Null texts stay null."""
