@@ -9,10 +9,10 @@ hash; the hash has ``HASH_BITS`` bits, so an order never has more than 4 million
 entries however large the corpus, and the arrays can be broadcast.
 
 A text's perplexity is that of its bytes from the fourth on. Per language, an
-exact histogram of the log perplexities of all texts gives the quartiles, and
-texts beyond ``fences`` quartile ranges from them (at least ``least_width``) are
-outside the band and rejected. Texts that fail the base rules are rejected as
-well.
+exact histogram of the log perplexities of all texts gives the quartiles; the
+band reaches ``fences`` quartile ranges beyond them (at least ``least_width``),
+more for short texts and less for long ones. Texts outside the band are rejected,
+and so are those that fail the base rules.
 
 Defined results: a null text is empty; it has no words and fails the base rules;
 a text under 4 bytes has no perplexity and is judged by the rules alone; null is
@@ -53,6 +53,9 @@ HASH_BITS = 22
 SYMBOLS = np.zeros(256, bool)
 SYMBOLS[list(b"#*$%&|<>")] = True
 STEPS = 200  # histogram steps per unit of log2 perplexity
+# Half the width of a band beyond the quartiles, in quartile ranges, for a text
+# of ``TYPICAL_WORDS``; it goes with one over the root of the length, down to a share.
+FENCES, TYPICAL_WORDS, LEAST_SHARE = 4.0, 300, 0.4
 
 
 def repeated(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -286,8 +289,8 @@ def score(docs: DataFrame, levels: list[Level]) -> DataFrame:
     return picked.transform(in_tasks, run, f"doc_id long, lang string, content long, {kinds}, log2_perplexity double")
 
 
-def bands(scores: DataFrame, fences: float = 4.0, least_width: float = 0.25) -> DataFrame:
-    """``lang, low, high`` of the log2 perplexity. Quartiles come from a
+def bands(scores: DataFrame, fences: float = FENCES, least_width: float = 0.1) -> DataFrame:
+    """``lang, q1, q3, width`` of the log2 perplexity. Quartiles come from a
     histogram over all rows, which has few rows per language."""
     step = F.round(F.col("log2_perplexity") * STEPS).cast("int")
     histogram = (
@@ -303,19 +306,22 @@ def bands(scores: DataFrame, fences: float = 4.0, least_width: float = 0.25) ->
     return (
         ranked.groupBy("lang")
         .agg(quartile(0.25).alias("q1"), quartile(0.75).alias("q3"))
-        .select("lang", (F.col("q1") - width).alias("low"), (F.col("q3") + width).alias("high"))
+        .select("lang", "q1", "q3", width.alias("width"))
     )
 
 
-def judge(docs: DataFrame, least_words: int = 50, most_repeated: int = 50, fences: float = 4.0) -> DataFrame:
+def judge(docs: DataFrame, least_words: int = 50, most_repeated: int = 50, fences: float = FENCES) -> DataFrame:
     """The scores of every row with ``base_failed``, ``low``, ``high`` and ``kept``."""
     scores = Stage(score(docs, train(docs)), "quality-scores")
     limits = Stage(bands(scores.df, fences).withColumnRenamed("lang", "_lang"), "quality-bands")
     failed = (F.col("n_words") < least_words) | (100 * F.col("n_repeat_words") > most_repeated * F.col("n_words"))
+    # The mean over a text's letters varies less the longer the text is.
+    share = F.sqrt(F.lit(float(TYPICAL_WORDS)) / F.greatest("n_words", F.lit(1)))
+    width = F.col("width") * F.greatest(share, F.lit(LEAST_SHARE))
     inside = F.coalesce(F.col("log2_perplexity").between(F.col("low"), F.col("high")), F.lit(True))
     return (
         scores.df.join(limits.small(), F.col("lang").eqNullSafe(F.col("_lang")), "left")
-        .drop("_lang")
+        .select(scores.df["*"], (F.col("q1") - width).alias("low"), (F.col("q3") + width).alias("high"))
         .withColumn("base_failed", failed)
         .withColumn("kept", ~F.col("base_failed") & inside)
     )
