@@ -62,12 +62,18 @@ def stays(s: SparkSession, d: str) -> DataFrame:
     return cohort.los_hours(cohort.build_cohort(A.patient(s, d)))
 
 
-def raw(s: SparkSession, d: str, name: str) -> DataFrame:
-    return A.raw_table(s, d, name)
+def raw(s: SparkSession, d: str, name: str, events: DataFrame | None = None) -> DataFrame:
+    return A.raw_table(s, d, name, events)
 
 
-def chart_values(s: SparkSession, d: str) -> DataFrame:
-    rows = clean.coerce_numeric(raw(s, d, "nurseCharting"), "nursingchartvalue")
+def shared(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """The stays, and the events with their offsets, written once for queries
+    that use several families."""
+    return write_stage(stays(s, d)), write_stage(A.offsets(s, d))
+
+
+def chart_values(s: SparkSession, d: str, events: DataFrame | None = None) -> DataFrame:
+    rows = clean.coerce_numeric(raw(s, d, "nurseCharting", events), "nursingchartvalue")
     return rows.select(
         STAY,
         F.col("nursingchartoffset").alias("event_min"),
@@ -76,8 +82,8 @@ def chart_values(s: SparkSession, d: str) -> DataFrame:
     )
 
 
-def lab_values(s: SparkSession, d: str) -> DataFrame:
-    rows = clean.coerce_numeric(raw(s, d, "lab"), "labresult")
+def lab_values(s: SparkSession, d: str, events: DataFrame | None = None) -> DataFrame:
+    rows = clean.coerce_numeric(raw(s, d, "lab", events), "labresult")
     return rows.select(
         STAY,
         F.col("labresultoffset").alias("event_min"),
@@ -90,8 +96,8 @@ def intake(s: SparkSession, d: str, st: DataFrame) -> DataFrame:
     return extract.extract_intake(raw(s, d, "intakeOutput"), st)
 
 
-def infusion(s: SparkSession, d: str, st: DataFrame) -> DataFrame:
-    return extract.extract_infusion(raw(s, d, "infusionDrug"), st)
+def infusion(s: SparkSession, d: str, st: DataFrame, events: DataFrame | None = None) -> DataFrame:
+    return extract.extract_infusion(raw(s, d, "infusionDrug", events), st)
 
 
 CHART = ["ABPd", "ABPs"]
@@ -99,22 +105,22 @@ LAB = ["Creatinine", "Lactate"]
 DRUGS = ["Dopamine (ml/hr)", "Norepinephrine (mcg/min)", "Saline"]
 
 
-def hold_streams(s: SparkSession, d: str, st: DataFrame) -> dict[str, Stream]:
+def hold_streams(s: SparkSession, d: str, st: DataFrame, events: DataFrame | None = None) -> dict[str, Stream]:
     return {
-        "chart": Stream(align.align_points(chart_values(s, d), st), "hold", {"chart": "value"}),
-        "lab": Stream(align.align_points(lab_values(s, d), st), "hold", {"lab": "value"}),
+        "chart": Stream(align.align_points(chart_values(s, d, events), st), "hold", {"chart": "value"}),
+        "lab": Stream(align.align_points(lab_values(s, d, events), st), "hold", {"lab": "value"}),
     }
 
 
-def infusion_stream(s: SparkSession, d: str, st: DataFrame) -> Stream:
-    rows = align.align_infusion(infusion(s, d, st), st, drop_hour_zero=True)
+def infusion_stream(s: SparkSession, d: str, st: DataFrame, events: DataFrame | None = None) -> Stream:
+    rows = align.align_infusion(infusion(s, d, st, events), st, drop_hour_zero=True)
     return Stream(rows, "interval", {"ing": "amount", "rate": "infusionrate"}, "drugname")
 
 
 def state_inputs(s: SparkSession, d: str, halo: tuple[int, int]) -> DataFrame:
     """Hourly mean pressure, lactate and vasoactive flag."""
-    st = stays(s, d)
-    streams = {**hold_streams(s, d, st), "ing": infusion_stream(s, d, st)}
+    st, events = shared(s, d)
+    streams = {**hold_streams(s, d, st, events), "ing": infusion_stream(s, d, st, events)}
     wide = tabular.tabularize(
         st, streams, labels={"chart": CHART, "lab": LAB, "ing": DRUGS}, halo=halo
     )
@@ -499,8 +505,8 @@ def pivot_hourly_mean(s, d):
 
 @query
 def ffill_hourly(s, d):
-    st = stays(s, d)
-    wide = tabular.tabularize(st, hold_streams(s, d, st), labels={"chart": CHART, "lab": LAB}, block_hours=240)
+    st, events = shared(s, d)
+    wide = tabular.tabularize(st, hold_streams(s, d, st, events), labels={"chart": CHART, "lab": LAB}, block_hours=240)
     return tabular.tabular_output(wide).select(
         STAY, "hour", *[r(f"chart__{c}").alias(c) for c in CHART], *[r(f"lab__{c}").alias(c) for c in LAB]
     )
@@ -566,11 +572,11 @@ def interval_expand_rate(s, d):
 
 @query
 def tabular_wide(s, d):
-    st = stays(s, d)
-    treated = align.align_treatment(extract.extract_treatment(raw(s, d, "treatment"), st), st)
+    st, events = shared(s, d)
+    treated = align.align_treatment(extract.extract_treatment(raw(s, d, "treatment", events), st), st)
     streams = {
-        **hold_streams(s, d, st),
-        "ing": infusion_stream(s, d, st),
+        **hold_streams(s, d, st, events),
+        "ing": infusion_stream(s, d, st, events),
         "proc": Stream(treated, "flag", {"proc": "treatmentstring"}, "treatmentstring"),
     }
     names = {"chart": CHART, "lab": LAB, "ing": DRUGS, "proc": ["t1", "t2"]}
