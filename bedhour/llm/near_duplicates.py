@@ -8,8 +8,9 @@
    whose signatures agree enough are confirmed on the full sets. A large group
    of near copies thus costs one pair per member, not all pairs.
 4. Components of the confirmed pairs. In buckets that still hold several
-   components, members of different ones are compared too, by signature, in
-   blocks of bounded size; what agrees is confirmed on the full sets.
+   components, members of different ones are compared too, by signature and then
+   on the full sets, inside the task: blocks of bounded size meet there, and only
+   links that join components leave it.
 5. Components of all confirmed links, by alternating large-star and small-star.
 
 With 40 bands of 5 minima, a pair of similarity 0.8 shares no bucket with
@@ -51,6 +52,7 @@ from .components import components
 
 BANDS, ROWS = 40, 5
 BLOCK = 2_000
+BLOCK_BYTES = 16 << 20
 _random = np.random.default_rng(20240607)
 FACTORS = (_random.integers(0, 1 << 32, BANDS * ROWS, np.uint64) | np.uint64(1)).astype(np.uint32)
 TERMS = _random.integers(0, 1 << 32, BANDS * ROWS, np.uint64).astype(np.uint32)
@@ -92,9 +94,9 @@ def minima(shingles: np.ndarray, block: int = 1 << 14) -> np.ndarray:
 
 
 def sketch(docs: DataFrame, size: int) -> DataFrame:
-    """``doc_id, n_shingles, set_a, set_b, keys, signature`` per row; no keys for
-    an empty set."""
-    names = ["doc_id", "n_shingles", "set_a", "set_b", "keys", "signature"]
+    """``doc_id, n_shingles, set_a, set_b, keys, packed`` per row: ``packed`` is
+    the signature and the band keys as bytes; no keys for an empty set."""
+    names = ["doc_id", "n_shingles", "set_a", "set_b", "keys", "packed"]
     band = mix(np.arange(1, BANDS + 1, dtype=np.uint64))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -119,13 +121,13 @@ def sketch(docs: DataFrame, size: int) -> DataFrame:
                         pa.array(
                             [k if f else [] for k, f in zip(keys.view(np.int64), full, strict=True)], pa.list_(pa.int64())
                         ),
-                        pa.array([row.tobytes() for row in small], pa.binary()),
+                        pa.array([a.tobytes() + b.tobytes() for a, b in zip(small, keys, strict=True)], pa.binary()),
                     ],
                     names,
                 )
 
     picked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    kinds = "doc_id long, n_shingles long, set_a long, set_b long, keys array<long>, signature binary"
+    kinds = "doc_id long, n_shingles long, set_a long, set_b long, keys array<long>, packed binary"
     return picked.transform(in_tasks, run, kinds)
 
 
@@ -162,21 +164,26 @@ def agreeing(pairs: DataFrame, signatures: DataFrame, least_agreement: float) ->
     return pairs.join(a, "u").join(b, "v").select("u", "v", "a", "b").transform(in_tasks, run, "u long, v long")
 
 
+def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    """``100 * common >= percent * all`` for two sorted sets; not for empty ones."""
+    if len(a) > len(b):
+        a, b = b, a
+    if not len(a) or 100 * len(a) < percent * len(b):
+        return False
+    at = np.minimum(np.searchsorted(b, a), len(b) - 1)
+    common = int((b[at] == a).sum())
+    return 100 * common >= percent * (len(a) + len(b) - common)
+
+
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs with ``100 * common >= percent * all`` on the full sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                a, b = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
-                if len(a) > len(b):
-                    a, b = b, a
-                common = 0
-                if len(a):
-                    at = np.minimum(np.searchsorted(b, a), len(b) - 1)
-                    common = int((b[at] == a).sum())
-                keep.append(100 * common >= percent * (len(a) + len(b) - common) > 0)
+            keep = [
+                similar(np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64), percent)
+                for x, y in zip(batch.column(2), batch.column(3), strict=True)
+            ]
             yield pa.RecordBatch.from_arrays(batch.columns[:2], ["u", "v"]).filter(pa.array(keep, pa.bool_()))
 
     a = sets.select(F.col("node").alias("u"), F.col("shingles").alias("a"))
@@ -184,58 +191,90 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(a, "u").join(b, "v").select("u", "v", "a", "b").transform(in_tasks, run, "u long, v long")
 
 
-def across_components(members: DataFrame, least_agreement: float, block: int = BLOCK) -> DataFrame:
-    """Pairs of agreeing members of one bucket that are in different components.
-
-    ``members``: ``key, node, root, signature``. A bucket's rows are dealt to
-    blocks, and every two blocks meet in one cell of at most about ``2 * block``
-    rows; cells are read one after the other from sorted rows.
+class Cell:
+    """Rows of one bucket that meet in one task: two of its blocks."""
+
+    def __init__(self, rows: list[tuple]):
+        key, self.low, self.high = rows[0][0], rows[0][6], rows[0][7]
+        self.node, root, self.own = (np.array([r[i] for r in rows], np.int64) for i in (1, 2, 5))
+        # Local components, joined as links are found.
+        self.label = np.unique(root, return_inverse=True)[1]
+        packed = [np.frombuffer(r[3], np.uint8) for r in rows]
+        self.signature = np.stack([p[: BANDS * ROWS] for p in packed])
+        self.keys = np.stack([p[BANDS * ROWS :].view(np.int64) for p in packed])
+        self.band = (self.keys == key).argmax(axis=1)
+        self.sets = [np.frombuffer(r[4], np.uint64) for r in rows]
+
+    def links(self, least_agreement: float, percent: int) -> list[tuple[int, int]]:
+        """Links that join components, found on the full sets. Pairs that agree
+        by signature are tested, best first, and only in the first band they
+        share; pairs of one component are not."""
+        found = []
+        most = np.bincount(self.label).argmax()
+        other = np.flatnonzero(self.label != most)
+        done = np.zeros(len(self.node), bool)
+        for i in other:
+            meets = self.own == (self.high if self.own[i] == self.low else self.low)
+            meets &= ~done
+            meets[i] = False
+            done[i] = True
+            near = np.flatnonzero(meets & (self.label != self.label[i]))
+            if not len(near):
+                continue
+            agree = (self.signature[near] == self.signature[i]).mean(axis=1)
+            first = (self.keys[near] == self.keys[i]).argmax(axis=1) == self.band[i]
+            keep = (agree >= least_agreement) & first
+            for j in near[keep][np.argsort(-agree[keep], kind="stable")]:
+                if self.label[j] != self.label[i] and similar(self.sets[i], self.sets[j], percent):
+                    found.append((int(self.node[i]), int(self.node[j])))
+                    self.label[self.label == self.label[j]] = self.label[i]
+        return found
+
+
+def links_across(members: DataFrame, least_agreement: float, percent: int, block: int = BLOCK) -> DataFrame:
+    """Links ``u, v`` between members of one bucket that are in different
+    components.
+
+    ``members``: ``key, node, root, packed`` (signature and band keys),
+    ``shingles``. A bucket's rows are dealt to blocks of bounded rows and bytes,
+    and every two blocks meet in one cell; cells are read one after the other
+    from sorted rows. No pair leaves its cell but those that join components.
     """
-    n_blocks = F.ceil(F.col("n") / block).cast("int")
-    sizes = members.groupBy("key").agg(F.count("*").alias("n")).select(apart(F.col("key")).alias("key"), "n")
-    dealt = members.join(sizes, "key").select(
-        "key", "node", "root", "signature", n_blocks.alias("blocks"), F.pmod(F.xxhash64("node"), n_blocks).cast("int").alias("own")
-    )
+    sizes = members.groupBy("key").agg(F.count("*").alias("n"), F.sum(F.length("shingles")).alias("bytes"))
+    n_blocks = F.ceil(F.greatest(F.col("n") / block, F.col("bytes") / BLOCK_BYTES)).cast("int")
+    sizes = sizes.select(apart(F.col("key")).alias("key"), n_blocks.alias("blocks"))
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    cells = dealt.select("key", "node", "root", "signature", "own", other.alias("other")).select(
-        "key", "node", "root", "signature", "own", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high")
-    )
-
-    def compare(node: np.ndarray, root: np.ndarray, sign: np.ndarray, own: np.ndarray, low: int, high: int):
-        us, vs = [], []
-        left, right = np.flatnonzero(own == low), np.flatnonzero(own == high)
-        for i in left:
-            others = right[node[right] > node[i]] if low == high else right
-            others = others[root[others] != root[i]]
-            hit = others[(sign[others] == sign[i]).mean(axis=1) >= least_agreement] if len(others) else others
-            us += [node[i]] * len(hit)
-            vs += node[hit].tolist()
-        return us, vs
+    cells = (
+        members.join(sizes, "key")
+        .select("key", "node", "root", "packed", "shingles", own.alias("own"), other.alias("other"))
+        .select(
+            "key", "node", "root", "packed", "shingles", "own",
+            F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
+        )
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def flush(rows: list):
-            node, root, own = (np.array([r[i] for r in rows], np.int64) for i in (1, 2, 4))
-            sign = np.frombuffer(b"".join(r[3] for r in rows), np.uint8).reshape(len(rows), -1)
-            us, vs = compare(node, root, sign, own, rows[0][5], rows[0][6])
-            return pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], ["u", "v"])
+        def compared(rows: list[tuple]) -> pa.RecordBatch:
+            pairs = Cell(rows).links(least_agreement, percent) if len(rows) > 1 else []
+            return pa.RecordBatch.from_arrays(
+                [pa.array([p[i] for p in pairs], pa.int64()) for i in (0, 1)], ["u", "v"]
+            )
 
         held: list[tuple] = []
         for batch in batches:
             for r in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                if held and (r[0], r[5], r[6]) != (held[0][0], held[0][5], held[0][6]):
-                    if len(held) > 1:
-                        yield flush(held)
+                if held and (r[0], r[6], r[7]) != (held[0][0], held[0][6], held[0][7]):
+                    yield compared(held)
                     held = []
                 held.append(r)
-        if len(held) > 1:
-            yield flush(held)
+        if held:
+            yield compared(held)
 
     return (
         cells.repartition("key", "low", "high")
         .sortWithinPartitions("key", "low", "high")
         .transform(in_tasks, run, "u long, v long")
-        .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-        .distinct()
     )
 
 
@@ -261,8 +300,8 @@ def near_duplicates(
     nodes = named.join(F.broadcast(class_rows) if classes.bytes() <= BROADCAST_BYTES else class_rows, in_class, "left").where(
         F.col("node").isNull() | (F.col("node") == F.col("doc_id"))
     )
-    nodes = Stage(nodes.select(F.col("doc_id").alias("node"), "keys", "signature"), "near-nodes")
-    signatures = nodes.df.select("node", "signature")
+    nodes = Stage(nodes.select(F.col("doc_id").alias("node"), "keys", "packed"), "near-nodes")
+    signatures = nodes.df.select("node", F.substring("packed", 1, BANDS * ROWS).alias("signature"))
     keyed = nodes.df.select("node", F.explode("keys").alias("key"))
     centers = keyed.groupBy("key").agg(F.min("node").alias("center"), F.count("*").alias("n")).where(F.col("n") > 1)
     centers = centers.select(apart(F.col("key")).alias("key"), "center", "n")
@@ -288,19 +327,20 @@ def near_duplicates(
     open_keys = rest.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a < b")
     open_keys = open_keys.select(apart(F.col("key")).alias("key"))
     members = Stage(rest.join(open_keys, "key", "left_semi"), "near-open")
-    near_too = Stage(
-        across_components(members.df.join(signatures, "node"), least_agreement).join(near.df, ["u", "v"], "left_anti"),
-        "near-pairs",
-    )
-    if not near_too.df.isEmpty():
-        links.append(_confirm(docs, near_too, shingle, percent))
+    if not members.df.isEmpty():
+        ends = Stage(members.df.select("node").distinct(), "near-ends")
+        sets = Stage(full_sets(docs, ends, shingle), "near-sets")
+        rows = members.df.join(nodes.df.select("node", "packed"), "node").join(sets.df, "node")
+        links.append(Stage(links_across(rows.select("key", "node", "root", "packed", "shingles"), least_agreement, percent), "near-links"))
+        ends.drop()
+        sets.drop()
         stars_of.drop()
         stars_of = components(links[0].df.union(links[1].df).union(links[2].df))
 
     result = sketches.df.select("doc_id", "n_shingles").join(
         stars_of.df.select(F.col("u").alias("_node"), F.col("v").alias("root")), F.col("doc_id") == F.col("_node"), "left"
     )
-    for stage in (classes, nodes, buckets, near, members, near_too, *links):
+    for stage in (classes, nodes, buckets, near, members, *links):
         stage.drop()
     component = F.coalesce("root", "doc_id")
     return result.select(

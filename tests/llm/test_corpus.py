@@ -77,21 +77,37 @@ def test_chains_and_buckets_of_several_components(spark):
     assert got == {i: groups.find(i) for i in range(60)}
 
 
-def test_blocks_compare_all_members(spark):
+@pytest.mark.parametrize("block", [8, 16, 2000])
+def test_blocks_compare_all_members(spark, block):
+    """One bucket of many components: the links found join what brute force joins."""
     r = np.random.default_rng(2)
-    base = r.integers(0, 256, 200, np.uint8)
-    signs = []
+    base = r.integers(0, 2**62, 60).astype(np.uint64)
+    sets = []
     for _ in range(90):
-        s = base.copy()
-        s[r.choice(200, r.integers(0, 90), replace=False)] = r.integers(0, 256)
-        signs.append(s)
-    rows = [(1, i, i // 3, bytearray(s.tobytes())) for i, s in enumerate(signs)]
-    members = spark.createDataFrame(rows, "key long, node long, root long, signature binary")
-    expected = {
-        (i, j) for i in range(90) for j in range(i) if i // 3 != j // 3 and (signs[i] == signs[j]).mean() >= 0.63
-    }
-    got = near_duplicates.across_components(members, 0.63, block=16).collect()
-    assert {(r.u, r.v) for r in got} == expected
+        own = base.copy()
+        n = int(r.choice([2, 4, 8, 30]))
+        own[r.choice(60, n, replace=False)] = r.integers(0, 2**62, n).astype(np.uint64)
+        sets.append(np.unique(own))
+    rows, groups = [], Groups()
+    for i, x in enumerate(sets):
+        least = near_duplicates.minima(x)
+        keys = np.arange(near_duplicates.BANDS, dtype=np.int64) * 1000 + i
+        keys[3] = 7  # the only band all share
+        packed = (least & 255).astype(np.uint8).tobytes() + keys.tobytes()
+        rows.append((7, i, i // 3, bytearray(packed), bytearray(x.tobytes())))
+        groups.join(i, 3 * (i // 3))
+    members = spark.createDataFrame(rows, "key long, node long, root long, packed binary, shingles binary")
+    joined = Groups(groups)
+    for i in range(90):
+        for j in range(i):
+            if near_duplicates.similar(sets[i], sets[j], 80):
+                joined.join(i, j)
+    found = near_duplicates.links_across(members, 0.5, 80, block).collect()
+    assert len({groups.find(i) for i in range(90)}) > len({joined.find(i) for i in range(90)}) > 1
+    for u, v in found:
+        assert near_duplicates.similar(sets[u], sets[v], 80)
+        groups.join(u, v)
+    assert [groups.find(i) for i in range(90)] == [joined.find(i) for i in range(90)]
 
 
 def test_one_document_of_each_group_stays(odd, no_rows):
