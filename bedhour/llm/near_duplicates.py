@@ -371,6 +371,7 @@ def keep_one(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
     ids = docs.where(F.col("doc_id").isNotNull()).groupBy("doc_id").count()
     if ids.where(F.col("count") > 1).isEmpty():
         return kept
+    # Rows of one id are few; those without an id stay out of the window.
     first = W.partitionBy("doc_id").orderBy(F.xxhash64(*docs.columns))
-    numbered = kept.withColumn("_nth", F.row_number().over(first))
-    return numbered.where(F.col("doc_id").isNull() | (F.col("_nth") == 1)).select(*docs.columns)
+    numbered = kept.where(F.col("doc_id").isNotNull()).withColumn("_nth", F.row_number().over(first))
+    return numbered.where(F.col("_nth") == 1).select(*docs.columns).unionAll(kept.where(F.col("doc_id").isNull()))

@@ -67,7 +67,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 def training_strings(docs: DataFrame, sample: int = SAMPLE) -> tuple[list[str], list[str]]:
     """At most ``sample`` random strings and as many ordinary ones."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = docs.select(text.alias("text"))
+    rows = docs.select("doc_id", text.alias("text"))
     values = F.array_union(
         F.regexp_extract_all("text", F.lit(f"(?i){ASSIGN}"), F.lit(2)),
         F.array_union(
@@ -76,18 +76,17 @@ def training_strings(docs: DataFrame, sample: int = SAMPLE) -> tuple[list[str],
         ),
     )
     random = rows.select(F.explode(values).alias("word")).where(F.length("word") >= LEAST_VALUE)
-    ordinary = rows.select(F.explode(F.regexp_extract_all("text", F.lit(rf"(?<![A-Za-z0-9_-])({IDENTIFIER})(?![A-Za-z0-9_-])"), F.lit(1))).alias("word"))
+    random = random.select(F.substring("word", 1, 64).alias("word"), F.xxhash64("word").alias("at")).distinct()
+    identifiers = F.regexp_extract_all("text", F.lit(rf"(?<![A-Za-z0-9_-])({IDENTIFIER})(?![A-Za-z0-9_-])"), F.lit(1))
+    # Frequent words count by their frequency: places in texts are drawn, not words.
+    ordinary = rows.select("doc_id", F.posexplode(identifiers).alias("place", "word")).select(
+        "word", F.xxhash64("word", "doc_id", "place").alias("at")
+    )
     # Runs of hex digits and access keys are random strings.
     ordinary = ordinary.where(~F.col("word").rlike(r"^(AKIA[A-Z0-9]{14,}|.*[0-9a-f]{16,}.*)$"))
 
     def chosen(words: DataFrame) -> list[str]:
-        picked = words.select(F.substring("word", 1, 64).alias("word"), F.xxhash64("word").alias("at"))
-        if words is random:
-            picked = picked.distinct()
-        else:
-            # Frequent words count by their frequency, so ties are told apart by a drawn place.
-            picked = picked.withColumn("at", F.xxhash64("at", F.monotonically_increasing_id()))
-        return [r["word"] for r in picked.orderBy("at", "word").limit(sample).collect()]
+        return [r["word"] for r in words.orderBy("at", "word").limit(sample).collect()]
 
     return chosen(random), chosen(ordinary)
 
