@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from .common import Stage, apart, in_tasks, prefix_sums, row_chunks, substring_hashes, text_bytes
 
 GRAM = 32
-MOST_MEMBERS = 2_000
+MOST_MEMBERS = 100_000
 LARGEST = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -135,7 +135,7 @@ def surroundings(docs: DataFrame, wanted: Stage, length: int) -> DataFrame:
                 )
 
     # One of a text's copies, the one of smallest id, is enough.
-    picked = wanted.small().select(F.col("key").alias("_key"), "one", "spots")
+    picked = wanted.df.select(F.col("key").alias("_key"), "one", "spots")
     texts = _texts(docs)
     one = texts.join(picked, (texts["key"] == F.col("_key")) & texts["doc_id"].eqNullSafe(F.col("one")))
     return one.select("key", "text", "spots").transform(in_tasks, run, "gram long, before int, around binary, key long, pos int")
@@ -309,7 +309,7 @@ def repeated_spans(docs: DataFrame, length: int = 200, most_members: int = MOST_
         reach.groupBy("gram", "context").agg(F.max("before").alias("before"), F.max("behind").alias("behind")),
         "repeat-reach",
     )
-    inner = around.df.select("gram", "context", "key", "pos").join(reaches.small(), ["gram", "context"]).select(
+    inner = around.df.select("gram", "context", "key", "pos").join(reaches.df, ["gram", "context"]).select(
         "key", F.struct((F.col("pos") - F.col("before")).alias("begin"), (F.col("pos") + F.col("behind")).alias("end")).alias("span")
     )
     copies = (
@@ -360,7 +360,7 @@ def remove_repeats(docs: DataFrame, length: int = 200, most_members: int = MOST_
                 [batch.column(0), *[pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]], names
             )
 
-    found = spans.small().withColumnRenamed("key", "_key")
+    found = spans.df.withColumnRenamed("key", "_key")
     texts = _texts(docs)
     joined = texts.join(found, texts["key"] == F.col("_key"), "left").select("doc_id", "text", "spans")
     kinds = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
