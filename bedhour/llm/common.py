@@ -23,7 +23,10 @@ SPACE_CLASS = r"[^\x20\x09-\x0D]+"
 SPACES = re.compile("[\x20\x09-\x0d]+")
 # A stage whose files are larger than this is joined by a shuffle, not broadcast.
 BROADCAST_BYTES = 8 << 20
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
+# Rows of an Arrow batch: texts are wide, and both sides hold whole batches.
+BATCH_ROWS = 1_000
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -75,9 +78,12 @@ _shipped: set[str] = set()
 
 
 def on_workers(spark: SparkSession) -> None:
-    """Let Python workers import this package, wherever the driver found it."""
+    """Let Python workers import this package, wherever the driver found it, and
+    unless the session says otherwise hand them texts in small batches."""
     application = spark.sparkContext.applicationId
     if application not in _shipped:
+        if spark.conf.get(BATCH) == "10000":
+            spark.conf.set(BATCH, str(BATCH_ROWS))
         package = Path(__file__).resolve().parent.parent
         archive = shutil.make_archive(
             str(Path(tempfile.mkdtemp(prefix="package-")) / package.name), "zip", package.parent, package.name
