@@ -28,9 +28,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_tasks
+from .common import Stage, in_tasks
 
 SAMPLE = 5_000
+SPARE, BYTES_EACH = 8, 16
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 CODE = np.full(128, len(ALPHABET), np.int64)
 for _i, _c in enumerate(ALPHABET):
@@ -85,10 +86,20 @@ def training_strings(docs: DataFrame, sample: int = SAMPLE) -> tuple[list[str],
     # Runs of hex digits and access keys are random strings.
     ordinary = ordinary.where(~F.col("word").rlike(r"^(AKIA[A-Z0-9]{14,}|.*[0-9a-f]{16,}.*)$"))
 
-    def chosen(words: DataFrame) -> list[str]:
-        return [r["word"] for r in words.orderBy("at", "word").limit(sample).collect()]
+    # What reaches the driver must not grow with the corpus, so rows are thinned
+    # by their hash first: a few times as many as wanted stay. Identifiers are
+    # taken to be one in ``BYTES_EACH`` bytes.
+    values_found = Stage(random, "secret-values")
+    n_bytes = rows.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
 
-    return chosen(random), chosen(ordinary)
+    def chosen(words: DataFrame, of: int) -> list[str]:
+        share = min(1.0, SPARE * sample / max(of, 1))
+        thin = words.where(F.pmod("at", F.lit(1 << 30)) < int(share * (1 << 30)))
+        return [r["word"] for r in thin.orderBy("at", "word").limit(sample).collect()]
+
+    picked = chosen(values_found.df, values_found.df.count()), chosen(ordinary, n_bytes // BYTES_EACH)
+    values_found.drop()
+    return picked
 
 
 def pair_logs(strings: list[str], smoothing: float = 0.5) -> np.ndarray:
