@@ -153,19 +153,28 @@ def _discounts(table: DataFrame) -> tuple[float, float, float]:
     return d(1, n1, n2), d(2, n2, n3), d(3, n3, n4)
 
 
-def slot(gram: Column) -> Column:
+HASH_FACTOR = 0x9E3779B1
+
+
+def slot(gram: Column, order: int) -> Column:
     """Hash of a gram, the same in Spark and in tasks (see ``slots``): both
-    multiply by an odd number modulo 2**32 and keep the upper bits."""
+    multiply by an odd number modulo 2**32 and keep the upper bits. Short grams
+    that fit are their own hash."""
+    if 8 * order <= HASH_BITS:
+        return gram
     low = (gram.bitwiseAND(F.lit(0xFFFF)) * F.lit(HASH_FACTOR)).bitwiseAND(F.lit(0xFFFFFFFF))
     high = F.shiftleft((F.shiftright(gram, 16) * F.lit(HASH_FACTOR)).bitwiseAND(F.lit(0xFFFF)), 16)
     return F.shiftright((low + high).bitwiseAND(F.lit(0xFFFFFFFF)), 32 - HASH_BITS)
 
 
-HASH_FACTOR = 0x9E3779B1
+def slots(gram: np.ndarray, order: int) -> np.ndarray:
+    if 8 * order <= HASH_BITS:
+        return gram
+    return (gram.astype(np.uint32) * np.uint32(HASH_FACTOR)) >> np.uint32(32 - HASH_BITS)
 
 
-def slots(gram: np.ndarray) -> np.ndarray:
-    return (gram.astype(np.uint32) * np.uint32(HASH_FACTOR)) >> np.uint32(32 - HASH_BITS)
+def table_size(order: int) -> int:
+    return 1 << min(HASH_BITS, 8 * order)
 
 
 @dataclass
@@ -198,10 +207,10 @@ def train(docs: DataFrame) -> list[Level]:
         shares = (
             table.withColumn("context", context)
             .join(sums, "context")
-            .groupBy(slot(F.col("gram")).cast("int").alias("hash"))
+            .groupBy(slot(F.col("gram"), order).cast("int").alias("hash"))
             .agg(F.sum((n - cut) / F.col("total")).alias("share"))
         )
-        weights = sums.groupBy(slot(F.col("context")).cast("int").alias("hash")).agg(F.avg("weight").alias("weight"))
+        weights = sums.groupBy(slot(F.col("context"), order - 1).cast("int").alias("hash")).agg(F.avg("weight").alias("weight"))
         grams, backs = shares.toPandas().sort_values("hash"), weights.toPandas().sort_values("hash")
         levels.append(
             Level(
@@ -227,8 +236,9 @@ class Scorer:
 
     def __init__(self, levels: list[Level]):
         self.share, self.weight = [], []
-        for level in levels:
-            share, weight = np.zeros(1 << HASH_BITS, np.float32), np.ones(1 << HASH_BITS, np.float32)
+        for i, level in enumerate(levels):
+            share = np.zeros(table_size(ORDER - i), np.float32)
+            weight = np.ones(table_size(ORDER - i - 1), np.float32)
             share[level.gram], weight[level.context] = level.share, level.weight
             self.share.append(share)
             self.weight.append(weight)
@@ -238,7 +248,8 @@ class Scorer:
         for order in range(1, ORDER + 1):
             level = ORDER - order
             part = grams & np.uint32((1 << 8 * order) - 1)
-            chance = self.share[level][slots(part)] + self.weight[level][slots(part >> np.uint32(8))] * chance
+            context = slots(part >> np.uint32(8), order - 1)
+            chance = self.share[level][slots(part, order)] + self.weight[level][context] * chance
         return np.log2(np.clip(chance, 1e-9, 1.0))
 
 

@@ -228,9 +228,11 @@ def test_perplexity_against_brute_force(spark):
 def test_slots_agree_in_spark_and_tasks(spark):
     from pyspark.sql import functions as F
 
-    grams = np.random.default_rng(1).integers(0, 1 << 32, 500, np.uint64)
-    rows = spark.createDataFrame([(int(g),) for g in grams], "gram long").select("gram", quality.slot(F.col("gram")).alias("s"))
-    assert all(r.s == int(quality.slots(np.array([r.gram], np.uint64))[0]) for r in rows.collect())
+    for order in range(5):
+        grams = np.random.default_rng(1).integers(0, 1 << 8 * order, 300, np.uint64)
+        rows = spark.createDataFrame([(int(g),) for g in grams], "gram long")
+        for r in rows.select("gram", quality.slot(F.col("gram"), order).alias("s")).collect():
+            assert r.s == int(quality.slots(np.array([r.gram], np.uint32), order)[0]) < quality.table_size(order)
 
 
 def test_kept_rows_keep_their_columns(odd):
