@@ -35,6 +35,15 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return across.union(least.select(F.col("node").alias("u"), F.col("least").alias("v"))).distinct()
 
 
+def _settled(edges: DataFrame) -> bool:
+    """Whether every node but the smallest has one edge, straight to it."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(
+        edges.select("v", F.lit(0), F.lit(1))
+    )
+    degree = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return degree.where((F.col("up") > 1) | ((F.col("up") > 0) & (F.col("down") > 0))).isEmpty()
+
+
 def components(pairs: DataFrame) -> Stage:
     """``u, v``: every node with edges except the smallest of its component (u),
     and that smallest node (v). ``pairs`` has two long columns; direction,
@@ -44,14 +53,11 @@ def components(pairs: DataFrame) -> Stage:
         pairs.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct(),
         "star",
     )
-    before = None
-    while True:
-        digest = edges.df.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x")).first()
-        if before == tuple(digest) or not digest["n"]:
-            return edges
-        before = tuple(digest)
+    while not _settled(edges.df):
         both = edges.df.union(edges.df.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = _star(both).where(F.col("u") != F.col("v")).distinct()
+        # One row per edge, so repeats are left to the next step.
+        large = _star(both).where(F.col("u") != F.col("v"))
         after = Stage(_small_star(large), "star")
         edges.drop()
         edges = after
+    return edges
