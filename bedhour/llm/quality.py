@@ -3,10 +3,11 @@
 The model is a modified Kneser-Ney model over the bytes of all texts (A-Z
 lower-cased), order 4. Spark counts the 4-grams of every text: a task counts
 its own and the counts are summed by gram. Continuation counts, discounts and
-back-off weights are further aggregations of that table. Each order is kept as
-arrays sorted by hash, the probability and the back-off weight of a gram at its
-hash; the hash has ``HASH_BITS`` bits, so an order never has more than 4 million
-entries however large the corpus, and the arrays can be broadcast.
+back-off weights are further aggregations of that table. Each order is a table
+of grams with their probabilities and one of contexts with their back-off
+weights; joined, they give every gram of the texts its probability. The
+``MODEL_ENTRIES`` most frequent grams are broadcast as sorted arrays, the others
+are joined with the texts' grams.
 
 A text's perplexity is that of its bytes from the fourth on. Per language, an
 exact histogram of the log perplexities of all texts gives the quartiles; the
@@ -22,8 +23,7 @@ included; further columns are ignored; no rows give no rows.
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -49,7 +49,8 @@ from .common import (
 )
 
 ORDER = 4
-HASH_BITS = 22
+# Entries of a table that are broadcast; the others are joined.
+MODEL_ENTRIES = 1 << 22
 SYMBOLS = np.zeros(256, bool)
 SYMBOLS[list(b"#*$%&|<>")] = True
 STEPS = 200  # histogram steps per unit of log2 perplexity
@@ -153,151 +154,208 @@ def _discounts(table: DataFrame) -> tuple[float, float, float]:
     return d(1, n1, n2), d(2, n2, n3), d(3, n3, n4)
 
 
-HASH_FACTOR = 0x9E3779B1
-
-
 def slot(gram: Column, order: int) -> Column:
-    """Hash of a gram, the same in Spark and in tasks (see ``slots``): both
-    multiply by an odd number modulo 2**32 and keep the upper bits. Short grams
-    that fit are their own hash."""
-    if 8 * order <= HASH_BITS:
-        return gram
-    low = (gram.bitwiseAND(F.lit(0xFFFF)) * F.lit(HASH_FACTOR)).bitwiseAND(F.lit(0xFFFFFFFF))
-    high = F.shiftleft((F.shiftright(gram, 16) * F.lit(HASH_FACTOR)).bitwiseAND(F.lit(0xFFFF)), 16)
-    return F.shiftright((low + high).bitwiseAND(F.lit(0xFFFFFFFF)), 32 - HASH_BITS)
+    """Key of a gram in the tables, the same in Spark and in tasks (see
+    ``slots``): the gram itself, so no two grams share one."""
+    return gram
 
 
 def slots(gram: np.ndarray, order: int) -> np.ndarray:
-    if 8 * order <= HASH_BITS:
-        return gram
-    return (gram.astype(np.uint32) * np.uint32(HASH_FACTOR)) >> np.uint32(32 - HASH_BITS)
+    return gram.astype(np.uint32)
 
 
 def table_size(order: int) -> int:
-    return 1 << min(HASH_BITS, 8 * order)
+    return 1 << 8 * order
 
 
 @dataclass
 class Level:
-    """One order: sorted hashes with the discounted probability of a gram, and
-    sorted hashes of contexts with their back-off weight."""
+    """One order: the discounted probability of every gram, and the back-off
+    weight of every context."""
+
+    shares: Stage
+    weights: Stage
 
-    gram: np.ndarray
-    share: np.ndarray
-    context: np.ndarray
-    weight: np.ndarray
 
+@dataclass
+class Model:
+    """Levels of order 4, 3, 2, 1 and the counts of order 4, in the shared folder."""
+
+    levels: list[Level]
+    counted: Stage
 
-def train(docs: DataFrame) -> list[Level]:
-    """Levels of order 4, 3, 2, 1. What reaches the driver has at most
-    2**HASH_BITS entries per array."""
+    def drop(self) -> None:
+        for stage in [self.counted, *[s for level in self.levels for s in (level.shares, level.weights)]]:
+            stage.drop()
+
+
+def train(docs: DataFrame) -> Model:
+    """The model of all texts. Nothing of it reaches the driver."""
     counted = Stage(count_grams(docs), "quality-grams")
     levels: list[Level] = []
-    table = counted.df
     made = [counted]
     for order in range(ORDER, 0, -1):
+        table = made[-1].df
         one, two, more = _discounts(table)
         n = F.col("n")
         cut = F.when(n == 1, F.lit(one)).when(n == 2, F.lit(two)).otherwise(F.lit(more))
         context = F.shiftright("gram", 8)
-        sums = table.groupBy(context.alias("context")).agg(
-            F.sum("n").alias("total"),
-            (F.sum(cut) / F.sum("n")).alias("weight"),
-        )
-        shares = (
-            table.withColumn("context", context)
-            .join(sums, "context")
-            .groupBy(slot(F.col("gram"), order).cast("int").alias("hash"))
-            .agg(F.sum((n - cut) / F.col("total")).alias("share"))
-        )
-        weights = sums.groupBy(slot(F.col("context"), order - 1).cast("int").alias("hash")).agg(F.avg("weight").alias("weight"))
-        grams, backs = shares.toPandas().sort_values("hash"), weights.toPandas().sort_values("hash")
-        levels.append(
-            Level(
-                grams["hash"].to_numpy(np.int32),
-                np.minimum(grams["share"].to_numpy(np.float32), 1.0),
-                backs["hash"].to_numpy(np.int32),
-                np.clip(backs["weight"].to_numpy(np.float32), 1e-6, 1.0),
-            )
+        total = F.sum("n").cast("double")
+        sums = table.groupBy(context.alias("context")).agg(total.alias("total"), (F.sum(cut) / total).alias("weight"))
+        weights = Stage(sums, "quality-weights")
+        share = (table.withColumn("context", context).join(weights.small(), "context")).select(
+            slot(F.col("gram"), order).alias("gram"), ((n - cut) / F.col("total")).alias("share")
         )
+        levels.append(Level(Stage(share, "quality-shares"), weights))
         if order > 1:
             # Continuation count: in how many contexts the shorter gram appears.
-            shorter = F.col("gram").bitwiseAND(F.lit((1 << 8 * (order - 1)) - 1))
+            shorter = F.col("gram").bitwiseAND(F.lit(table_size(order - 1) - 1))
             made.append(Stage(table.groupBy(shorter.alias("gram")).agg(F.count("*").alias("n")), "quality-grams"))
-            table = made[-1].df
-    for stage in made:
+    for stage in made[1:]:
         stage.drop()
-    return levels
+    return Model(levels, counted)
+
+
+def chances(grams: DataFrame, model: Model) -> DataFrame:
+    """``gram, n, log2`` of every gram of ``grams``. One that a level does not
+    hold has no share there, one whose context it does not hold backs off whole."""
+    table = grams.select("gram", "n", F.lit(1.0 / 256).alias("chance"))
+    for order in range(1, ORDER + 1):
+        level = model.levels[ORDER - order]
+        shares = level.shares.small().withColumnRenamed("gram", "_part")
+        weights = level.weights.small().select(F.col("context").alias("_context"), "weight")
+        part = F.col("gram").bitwiseAND(F.lit(table_size(order) - 1))
+        weight = F.least(F.greatest(F.coalesce("weight", F.lit(1.0)), F.lit(1e-6)), F.lit(1.0))
+        table = (
+            table.withColumns({"_part": part, "_context": F.shiftright(part, 8)})
+            .join(shares, "_part", "left")
+            .join(weights, "_context", "left")
+            .select("gram", "n", (F.coalesce("share", F.lit(0.0)) + weight * F.col("chance")).alias("chance"))
+        )
+    return table.select("gram", "n", F.log2(F.least(F.greatest("chance", F.lit(1e-9)), F.lit(1.0))).alias("log2"))
+
+
+class Table:
+    """Grams with their log2 probabilities. The most frequent ones, at most
+    ``MODEL_ENTRIES``, are sorted arrays for a broadcast; the ``rest``, if any,
+    stays in the shared folder and is joined. A gram of the rest is rare, so no
+    task of that join gets many rows of one gram."""
+
+    def __init__(self, chances: DataFrame, name: str):
+        self.stage = Stage(chances, name)
+        df = self.stage.df
+        power = F.floor(F.log2("n")).cast("int")
+        sizes = {r["power"]: r["k"] for r in df.groupBy(power.alias("power")).agg(F.count("*").alias("k")).collect()}
+        least, held = 1 << (max(sizes, default=0) + 1), 0
+        for at in sorted(sizes, reverse=True):
+            held += sizes[at]
+            if held > MODEL_ENTRIES:
+                break
+            least = 1 << at
+        head = df.where(F.col("n") >= least).select("gram", F.col("log2").cast("float").alias("log2")).toPandas()
+        order = np.argsort(head["gram"].to_numpy(np.int64))
+        self.keys = head["gram"].to_numpy(np.int64)[order]
+        self.values = head["log2"].to_numpy(np.float32)[order]
+        self.rest = df.where(F.col("n") < least).select("gram", "log2") if held > len(self.keys) else None
 
 
 class Scorer:
-    """Log2 probabilities by the model; the sorted arrays are spread out once per
-    worker, so a lookup is one index."""
-
-    def __init__(self, levels: list[Level]):
-        self.share, self.weight = [], []
-        for i, level in enumerate(levels):
-            share = np.zeros(table_size(ORDER - i), np.float32)
-            weight = np.ones(table_size(ORDER - i - 1), np.float32)
-            share[level.gram], weight[level.context] = level.share, level.weight
-            self.share.append(share)
-            self.weight.append(weight)
-
-    def log2(self, grams: np.ndarray) -> np.ndarray:
-        chance = np.full(len(grams), 1.0 / 256, np.float32)
-        for order in range(1, ORDER + 1):
-            level = ORDER - order
-            part = grams & np.uint32((1 << 8 * order) - 1)
-            context = slots(part >> np.uint32(8), order - 1)
-            chance = self.share[level][slots(part, order)] + self.weight[level][context] * chance
-        return np.log2(np.clip(chance, 1e-9, 1.0))
-
-
-_scorers: dict[str, Scorer] = {}
+    """Log2 probabilities of the grams a table's arrays hold."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        self.keys, self.values = keys, values
+
+    def log2(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The probability of each gram, 0 if it is not held, and whether it is."""
+        if not len(self.keys):
+            return np.zeros(len(grams), np.float32), np.zeros(len(grams), bool)
+        # Each gram is looked up once, however often it stands in the texts.
+        keys, where = np.unique(grams, return_inverse=True)
+        at = np.minimum(np.searchsorted(self.keys, keys.astype(np.int64)), len(self.keys) - 1)
+        held = self.keys[at] == keys.astype(np.int64)
+        return np.where(held, self.values[at], np.float32(0))[where], held[where]
+
 
 FIGURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
-def score(docs: DataFrame, levels: list[Level]) -> DataFrame:
+def _with_content(docs: DataFrame) -> DataFrame:
+    return docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.col("lang").cast("string").alias("lang"),
+        F.xxhash64(F.col("text"), F.lit("/"), F.col("lang")).alias("content"),
+        F.col("text").cast("string").alias("text"),
+    )
+
+
+def _rest_means(docs: DataFrame, table: Table, grams_of: Callable) -> Stage:
+    """``_content, mean``: the mean log2 probability of the grams of a text that
+    the table's arrays do not hold, by a join with the rest of the table. Equal
+    texts have equal means, so rows are told apart by content only."""
+    shared = docs.sparkSession.sparkContext.broadcast(table.keys)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(shared.value, np.zeros(len(shared.value), np.float32))
+        for batch in batches:
+            data, starts = text_bytes(batch.column(3))
+            content = batch.column(2).to_numpy()
+            for first, last in row_chunks(starts):
+                grams, row = grams_of(data[starts[first] : starts[last]], starts[first : last + 1] - starts[first])
+                missed = ~scorer.log2(grams)[1]
+                columns = [content[first:last][row[missed]], grams[missed].astype(np.int64)]
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["_content", "gram"])
+
+    missed = _with_content(docs).transform(in_tasks, run, "_content long, gram long")
+    return Stage(missed.join(table.rest, "gram").groupBy("_content").agg(F.avg("log2").alias("mean")), "quality-rest")
+
+
+def _perplexity(scores: DataFrame, docs: DataFrame, table: Table, name: str, grams_of: Callable) -> DataFrame:
+    """``name`` in place of the figures ``n_name, missed_name, bits_name``."""
+    bits = F.col(f"bits_{name}")
+    if table.rest is not None:
+        means = _rest_means(docs, table, grams_of).small()
+        scores = scores.join(means, F.col("content") == F.col("_content"), "left").drop("_content")
+        bits = bits + F.col(f"missed_{name}") * F.coalesce("mean", F.lit(0.0))
+    entropy = F.when(F.col(f"n_{name}") > 0, -bits / F.col(f"n_{name}"))
+    return scores.withColumn(name, entropy).drop(f"n_{name}", f"missed_{name}", f"bits_{name}", "mean")
+
+
+def score(docs: DataFrame, model: Model, grams: DataFrame | None = None) -> DataFrame:
     """``doc_id, lang, content`` (hash of text and language), the base figures
-    and ``log2_perplexity`` per row."""
-    shared = docs.sparkSession.sparkContext.broadcast(levels)
-    model = uuid.uuid4().hex
-    names = ["doc_id", "lang", "content", *FIGURES, "log2_perplexity"]
+    and ``log2_perplexity`` per row. ``grams`` are the counted grams of ``docs``,
+    where they are known."""
+    table = Table(chances(count_grams(docs) if grams is None else grams, model), "quality-chances")
+    tables = {"log2_perplexity": (table, byte_grams)}
+    shared = docs.sparkSession.sparkContext.broadcast({k: (t.keys, t.values) for k, (t, _) in tables.items()})
+    parts = {k: g for k, (_, g) in tables.items()}
+    names = ["doc_id", "lang", "content", *FIGURES, *[f"{x}_{k}" for k in tables for x in ("n", "missed", "bits")]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if model not in _scorers:
-            _scorers.clear()
-            _scorers[model] = Scorer(shared.value)
-        scorer = _scorers[model]
+        scorers = {k: Scorer(*arrays) for k, arrays in shared.value.items()}
         for batch in batches:
             data, starts = text_bytes(batch.column(3))
             for first, last in row_chunks(starts):
                 part = data[starts[first] : starts[last]]
                 begins = starts[first : last + 1] - starts[first]
                 figures = rule_metrics(part, begins)
-                grams, row = byte_grams(part, begins)
-                n = np.bincount(row, minlength=last - first)
-                bits = np.bincount(row, scorer.log2(grams).astype(np.float64), last - first)
-                with np.errstate(invalid="ignore", divide="ignore"):
-                    entropy = pa.array(-bits / n, mask=n == 0)
+                columns = [pa.array(figures[f].astype(np.int64)) for f in FIGURES]
+                for k, grams_of in parts.items():
+                    grams, row = grams_of(part, begins)
+                    log2, held = scorers[k].log2(grams)
+                    columns += [
+                        pa.array(np.bincount(row, minlength=last - first)),
+                        pa.array(np.bincount(row[~held], minlength=last - first)),
+                        pa.array(np.bincount(row, log2.astype(np.float64), last - first).astype(np.float64)),
+                    ]
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        *[batch.column(i).slice(first, last - first) for i in range(3)],
-                        *[pa.array(figures[f].astype(np.int64)) for f in FIGURES],
-                        entropy,
-                    ],
-                    names,
+                    [*[batch.column(i).slice(first, last - first) for i in range(3)], *columns], names
                 )
 
-    picked = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        F.col("lang").cast("string").alias("lang"),
-        F.xxhash64(F.col("text"), F.lit("/"), F.col("lang")).alias("content"),
-        F.col("text").cast("string").alias("text"),
-    )
-    kinds = ", ".join(f"{f} long" for f in FIGURES)
-    return picked.transform(in_tasks, run, f"doc_id long, lang string, content long, {kinds}, log2_perplexity double")
+    kinds = ", ".join([*[f"{f} long" for f in FIGURES], *[f"n_{k} long, missed_{k} long, bits_{k} double" for k in tables]])
+    scores = _with_content(docs).transform(in_tasks, run, f"doc_id long, lang string, content long, {kinds}")
+    for k, (t, grams_of) in tables.items():
+        scores = _perplexity(scores, docs, t, k, grams_of)
+    return scores
 
 
 def bands(scores: DataFrame, fences: float = FENCES, least_width: float = 0.1) -> DataFrame:
@@ -323,7 +381,9 @@ def bands(scores: DataFrame, fences: float = FENCES, least_width: float = 0.1) -
 
 def judge(docs: DataFrame, least_words: int = 50, most_repeated: int = 50, fences: float = FENCES) -> DataFrame:
     """The scores of every row with ``base_failed``, ``low``, ``high`` and ``kept``."""
-    scores = Stage(score(docs, train(docs)), "quality-scores")
+    model = train(docs)
+    scores = Stage(score(docs, model, model.counted.df), "quality-scores")
+    model.drop()
     limits = Stage(bands(scores.df, fences).withColumnRenamed("lang", "_lang"), "quality-bands")
     failed = (F.col("n_words") < least_words) | (100 * F.col("n_repeat_words") > most_repeated * F.col("n_words"))
     # The mean over a text's letters varies less the longer the text is.

@@ -303,3 +303,25 @@ def test_redaction(odd):
             assert not brute_spans(after[i].text) and after[i].n_chars == len(after[i].text)
             if not brute_spans(text) and "9fQ2z" not in text:
                 assert after[i].text == text
+
+
+def test_unseen_grams_back_off_and_large_tables_are_joined(spark, monkeypatch):
+    schema = "doc_id long, text string, lang string"
+    # Multiplied by 0x9E3779B1 modulo 2**32, these two have the same upper 22 bits.
+    pair, word = "vjh4", "l=^8"
+    docs = spark.createDataFrame([(0, pair * 9, "en")], schema)
+    strange = spark.createDataFrame([(0, word, "en")], schema)
+    model = quality.train(docs)
+    # Nothing of it was seen; only the lowest order has a (back-off) weight.
+    [weight] = [r.weight for r in model.levels[-1].weights.df.collect()]
+    [got] = quality.score(strange, model).collect()
+    assert got.log2_perplexity == pytest.approx(-np.log2(max(weight / 256, 1e-9)), rel=1e-3)
+
+    texts = [(i, " ".join(f"w{(i * k) % 37}x{k % 11}" for k in range(60)), "en") for i in range(20)] + [(None, None, None)]
+    docs = spark.createDataFrame(texts, schema)
+    figures = lambda: sorted((str(r.doc_id), r.log2_perplexity) for r in quality.judge(docs).collect())
+    whole = figures()
+    monkeypatch.setattr(quality, "MODEL_ENTRIES", 50)
+    joined = figures()
+    assert [x[0] for x in joined] == [x[0] for x in whole]
+    assert [x[1] for x in joined[:-1]] == pytest.approx([x[1] for x in whole[:-1]], rel=1e-4) and joined[-1][1] is None
