@@ -9,14 +9,23 @@ weights; joined, they give every gram of the texts its probability. The
 ``MODEL_ENTRIES`` most frequent grams are broadcast as sorted arrays, the others
 are joined with the texts' grams.
 
+A second model goes by words (see ``word_spans_of``): pairs of neighbouring
+words, counted by the texts that hold them. The discount is one text and
+``PAIR_DISCOUNT``, so a pair that only the scored text itself holds gives it
+nothing; the rest of the probability goes by the contexts a word was seen in.
+Its tables grow with the corpus, and it sees the order of words.
+
 A text's perplexity is that of its bytes from the fourth on. Per language, an
 exact histogram of the log perplexities of all texts gives the quartiles; the
 band reaches ``fences`` quartile ranges beyond them (at least ``least_width``),
 more for short texts and less for long ones. Texts outside the band are rejected,
+and so are those above the band of the word model (its lower end is not used:
+copies make a text likely without fault of its own),
 and so are those that fail the base rules.
 
 Defined results: a null text is empty; it has no words and fails the base rules;
-a text under 4 bytes has no perplexity and is judged by the rules alone; null is
+a text under 4 bytes, or for the word model of one word, has no perplexity and
+is judged by the rules alone; null is
 a language of its own; rows stay as they are, repeated rows and null ids
 included; further columns are ignored; no rows give no rows.
 """
@@ -49,6 +58,7 @@ from .common import (
 )
 
 ORDER = 4
+PAIR_DISCOUNT = 0.75
 # Entries of a table that are broadcast; the others are joined.
 MODEL_ENTRIES = 1 << 22
 SYMBOLS = np.zeros(256, bool)
@@ -279,6 +289,88 @@ class Scorer:
 FIGURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
+# Parts words for the word model: every ASCII byte that is no letter or digit.
+BETWEEN = np.array([i < 128 and not chr(i).isalnum() for i in range(256)])
+
+
+def word_spans_of(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Begin, end and row of every word of the word model. A letter of three or
+    four bytes is a word of its own, since scripts of such letters often have no
+    blanks."""
+    if not len(data):
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
+    first = (data & 0xC0) != 0x80
+    first[starts[:-1][starts[:-1] < len(data)]] = True
+    lead = np.maximum.accumulate(np.where(first, np.arange(len(data)), 0))
+    wide, parts = data[lead] >= 0xE0, BETWEEN[data]
+    fresh = np.ones(len(data), bool)  # no word goes on from the byte before
+    fresh[1:] = parts[:-1] | (first[1:] & (wide[1:] | wide[:-1]))
+    fresh[starts[:-1][starts[:-1] < len(data)]] = True
+    ends = np.append(fresh[1:], True)
+    ends[:-1] |= parts[1:]
+    begin = np.flatnonzero(~parts & fresh)
+    return begin, np.flatnonzero(~parts & ends) + 1, np.searchsorted(starts, begin, side="right") - 1
+
+
+def _word_pairs(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of both words of every pair, once per text, and the row."""
+    begin, end, row = word_spans_of(data, starts)
+    word = substring_hashes(prefix_sums(LOWER[data]), begin, end)
+    inside = np.flatnonzero(row[:-1] == row[1:])
+    one, two, row = word[inside], word[inside + 1], row[inside]
+    _, once = np.unique(mix(pair_key(one, two) ^ mix(row.astype(np.uint64) + np.uint64(1))), return_index=True)
+    return one[once].view(np.int64), two[once].view(np.int64), row[once]
+
+
+def pair_key(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    one, two = one.view(np.uint64), two.view(np.uint64)
+    return one ^ (two << np.uint64(1) | two >> np.uint64(63))
+
+
+def word_grams(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different word pairs of each text as 64-bit keys, and their rows."""
+    one, two, row = _word_pairs(data, starts)
+    return pair_key(one, two).view(np.int64), row
+
+
+def count_pairs(docs: DataFrame) -> DataFrame:
+    """``one, two, n``: in how many texts a word pair stands."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, starts = text_bytes(batch.column(0))
+            for first, last in row_chunks(starts):
+                one, two, _ = _word_pairs(data[starts[first] : starts[last]], starts[first : last + 1] - starts[first])
+                _, at, n = np.unique(pair_key(one, two), return_index=True, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (one[at], two[at], n)], ["one", "two", "n"])
+
+    return (
+        docs.select(F.col("text").cast("string").alias("text"))
+        .transform(in_tasks, run, "one long, two long, n long")
+        .groupBy("one", "two")
+        .agg(F.sum("n").alias("n"))
+    )
+
+
+def pair_chances(docs: DataFrame) -> tuple[DataFrame, list[Stage]]:
+    """``gram, n, log2`` of every word pair of ``docs``, and the stages it reads."""
+    pairs = Stage(count_pairs(docs), "quality-pairs")
+    left = F.greatest(F.col("n") - F.lit(1 + PAIR_DISCOUNT), F.lit(0.0))
+    contexts = Stage(
+        pairs.df.groupBy(F.col("one").alias("_one")).agg(
+            F.sum("n").cast("double").alias("total"), (1 - F.sum(left) / F.sum("n")).alias("weight")
+        ),
+        "quality-contexts",
+    )
+    seen = Stage(pairs.df.groupBy(F.col("two").alias("_two")).agg(F.count("*").alias("before")), "quality-seen")
+    every = F.lit(float(max(pairs.df.count(), 1)))
+    two = F.col("two")
+    key = F.col("one").bitwiseXOR(F.shiftleft(two, 1).bitwiseOR(F.shiftrightunsigned(two, 63)))
+    chance = left / F.col("total") + F.col("weight") * F.col("before") / every
+    joined = pairs.df.join(contexts.small(), F.col("one") == F.col("_one")).join(seen.small(), two == F.col("_two"))
+    return joined.select(key.alias("gram"), "n", F.log2(chance).alias("log2")), [pairs, contexts, seen]
+
+
 def _with_content(docs: DataFrame) -> DataFrame:
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
@@ -322,10 +414,13 @@ def _perplexity(scores: DataFrame, docs: DataFrame, table: Table, name: str, gra
 
 def score(docs: DataFrame, model: Model, grams: DataFrame | None = None) -> DataFrame:
     """``doc_id, lang, content`` (hash of text and language), the base figures
-    and ``log2_perplexity`` per row. ``grams`` are the counted grams of ``docs``,
+    ``log2_perplexity`` and ``log2_word_perplexity`` per row. ``grams`` are the counted grams of ``docs``,
     where they are known."""
     table = Table(chances(count_grams(docs) if grams is None else grams, model), "quality-chances")
-    tables = {"log2_perplexity": (table, byte_grams)}
+    pairs, made = pair_chances(docs)
+    tables = {"log2_perplexity": (table, byte_grams), "log2_word_perplexity": (Table(pairs, "quality-pair-chances"), word_grams)}
+    for stage in made:
+        stage.drop()
     shared = docs.sparkSession.sparkContext.broadcast({k: (t.keys, t.values) for k, (t, _) in tables.items()})
     parts = {k: g for k, (_, g) in tables.items()}
     names = ["doc_id", "lang", "content", *FIGURES, *[f"{x}_{k}" for k in tables for x in ("n", "missed", "bits")]]
@@ -358,12 +453,14 @@ def score(docs: DataFrame, model: Model, grams: DataFrame | None = None) -> Data
     return scores
 
 
-def bands(scores: DataFrame, fences: float = FENCES, least_width: float = 0.1) -> DataFrame:
-    """``lang, q1, q3, width`` of the log2 perplexity. Quartiles come from a
+def bands(
+    scores: DataFrame, fences: float = FENCES, least_width: float = 0.1, of: str = "log2_perplexity"
+) -> DataFrame:
+    """``lang, q1, q3, width`` of the log2 perplexity in column ``of``. Quartiles come from a
     histogram over all rows, which has few rows per language."""
-    step = F.round(F.col("log2_perplexity") * STEPS).cast("int")
+    step = F.round(F.col(of) * STEPS).cast("int")
     histogram = (
-        scores.where(F.col("log2_perplexity").isNotNull())
+        scores.where(F.col(of).isNotNull())
         .groupBy("lang", step.alias("step"))
         .agg(F.count("*").alias("n"))
     )
@@ -380,21 +477,32 @@ def bands(scores: DataFrame, fences: float = FENCES, least_width: float = 0.1) -
 
 
 def judge(docs: DataFrame, least_words: int = 50, most_repeated: int = 50, fences: float = FENCES) -> DataFrame:
-    """The scores of every row with ``base_failed``, ``low``, ``high`` and ``kept``."""
+    """The scores of every row with ``base_failed``, ``low``, ``high``, ``word_high`` and ``kept``."""
     model = train(docs)
     scores = Stage(score(docs, model, model.counted.df), "quality-scores")
     model.drop()
-    limits = Stage(bands(scores.df, fences).withColumnRenamed("lang", "_lang"), "quality-bands")
+    of_bytes = bands(scores.df, fences).withColumnRenamed("lang", "_lang")
+    of_words = bands(scores.df, fences, of="log2_word_perplexity").select(
+        F.col("lang").alias("_word_lang"), F.col("q3").alias("word_q3"), F.col("width").alias("word_width")
+    )
+    limits = Stage(of_bytes.join(of_words, F.col("_lang").eqNullSafe(F.col("_word_lang")), "left"), "quality-bands")
     failed = (F.col("n_words") < least_words) | (100 * F.col("n_repeat_words") > most_repeated * F.col("n_words"))
     # The mean over a text's letters varies less the longer the text is.
     share = F.sqrt(F.lit(float(TYPICAL_WORDS)) / F.greatest("n_words", F.lit(1)))
-    width = F.col("width") * F.greatest(share, F.lit(LEAST_SHARE))
+    share = F.greatest(share, F.lit(LEAST_SHARE))
+    width = F.col("width") * share
     inside = F.coalesce(F.col("log2_perplexity").between(F.col("low"), F.col("high")), F.lit(True))
+    ordered = F.coalesce(F.col("log2_word_perplexity") <= F.col("word_high"), F.lit(True))
     return (
         scores.df.join(limits.small(), F.col("lang").eqNullSafe(F.col("_lang")), "left")
-        .select(scores.df["*"], (F.col("q1") - width).alias("low"), (F.col("q3") + width).alias("high"))
+        .select(
+            scores.df["*"],
+            (F.col("q1") - width).alias("low"),
+            (F.col("q3") + width).alias("high"),
+            (F.col("word_q3") + F.col("word_width") * share).alias("word_high"),
+        )
         .withColumn("base_failed", failed)
-        .withColumn("kept", ~F.col("base_failed") & inside)
+        .withColumn("kept", ~F.col("base_failed") & inside & ordered)
     )
 
 

@@ -56,7 +56,7 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(read(spark, sf_dir, "documents")).select(
-        "doc_id", *quality.FIGURES, "base_failed", "kept", "log2_perplexity", "low", "high"
+        "doc_id", *quality.FIGURES, "base_failed", "kept", "log2_perplexity", "low", "high", "log2_word_perplexity", "word_high"
     )
 
 

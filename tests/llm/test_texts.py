@@ -6,6 +6,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer, models
 
@@ -325,3 +326,45 @@ def test_unseen_grams_back_off_and_large_tables_are_joined(spark, monkeypatch):
     joined = figures()
     assert [x[0] for x in joined] == [x[0] for x in whole]
     assert [x[1] for x in joined[:-1]] == pytest.approx([x[1] for x in whole[:-1]], rel=1e-4) and joined[-1][1] is None
+
+
+def ordered_texts(n, seed=7, length=200):
+    """Texts whose words follow one another by a rule: each word has few followers."""
+    r = np.random.default_rng(seed)
+    vocabulary = ["".join(r.choice(list("bdklmnrst")) + r.choice(list("aeiou")) for _ in range(3)) for _ in range(800)]
+    follow = r.integers(0, 800, (800, 4))
+    texts = []
+    for _ in range(n):
+        at, said = int(r.integers(800)), []
+        for _ in range(length):
+            said.append(vocabulary[at])
+            at = int(follow[at, r.integers(4)]) if r.random() < 0.9 else int(r.integers(800))
+        texts.append(said)
+    return texts
+
+
+def test_shuffled_words_leave_the_band(spark):
+    texts = ordered_texts(400)
+    r = np.random.default_rng(9)
+    rows = [(i, " ".join(t), "en") for i, t in enumerate(texts)]
+    rows += [(1000 + i, " ".join(r.permutation(t)), "en") for i, t in enumerate(texts[:20])]
+    # The same in a script of three-byte letters without blanks.
+    letters = {w: chr(0x4E00 + i) for i, w in enumerate(sorted({w for t in texts for w in t}))}
+    wide = [[letters[w] for w in t] for t in texts]
+    blanks = lambda t: " ".join("".join(t[i : i + 3]) for i in range(0, len(t), 3))
+    rows += [(2000 + i, blanks(t), "zh") for i, t in enumerate(wide)]
+    rows += [(3000 + i, blanks(r.permutation(t)), "zh") for i, t in enumerate(wide[:20])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = {x.doc_id: x.kept for x in quality.judge(docs).collect()}
+    assert not any(kept[k + i] for k in (1000, 3000) for i in range(20))
+    assert sum(kept[k + i] for k in (0, 2000) for i in range(400)) >= 790
+
+
+def test_words_of_the_word_model():
+    texts = ["It's a_b, 12", "", "été漢字x", "漢", None, "x’y"]
+    column = pa.array(texts)
+    data, starts = quality.text_bytes(column)
+    begin, end, row = quality.word_spans_of(data, starts)
+    got = [(int(k), bytes(data[a:b]).decode()) for a, b, k in zip(begin, end, row, strict=True)]
+    said = [(0, "It"), (0, "s"), (0, "a"), (0, "b"), (0, "12"), (2, "été"), (2, "漢"), (2, "字"), (2, "x"), (3, "漢")]
+    assert got == [*said, (5, "x"), (5, "’"), (5, "y")]
