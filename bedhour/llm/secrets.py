@@ -7,10 +7,13 @@ identifiers: the log-likelihood ratio is summed over its letter pairs, and a run
 whose ratio per letter reaches ``threshold`` is a span of kind ``markov`` unless
 it touches a base span.
 
-The models are trained on labelled samples taken from the same corpus: values in
-base spans are random strings, other identifiers are ordinary. Each sample is
-bounded by ``sample`` strings, chosen by hash from all of them; pair counts are
-smoothed, so without any sample the models are even and nothing is added.
+The models are trained on labelled samples. Identifiers of the corpus are
+ordinary, ``sample`` of them. Random are as many strings: half are seeded base62
+and base64 strings, and up to a quarter each the corpus's own assigned values and
+access keys, so no kind, however common, decides alone. Runs of hex digits (and
+of digits) are left out: they are base spans, and would teach that other letters
+are not random. Strings of the corpus are chosen by hash from all of them; pair
+counts are smoothed, so without identifiers nothing is added.
 
 Defined results: a null or empty text has no spans; positions are code points,
 the end exclusive; rows stay as they are, repeated rows and null ids included;
@@ -25,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import Stage, in_tasks
@@ -48,6 +51,7 @@ _ASSIGN = re.compile(ASSIGN, re.IGNORECASE | re.ASCII)
 _ACCESS = re.compile(ACCESS)
 _HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{%d,}" % LEAST_HEX)
 _NAMES = ("password", "passwd", "secret", "token", "api")
+LIKE_HEX = r"^[0-9a-fA-F+/_.=-]+$"
 IDENTIFIER = r"[A-Za-z][A-Za-z0-9_-]{7,63}"
 
 
@@ -69,15 +73,15 @@ def training_strings(docs: DataFrame, sample: int = SAMPLE) -> tuple[list[str],
     """At most ``sample`` random strings and as many ordinary ones."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select("doc_id", text.alias("text"))
-    values = F.array_union(
-        F.regexp_extract_all("text", F.lit(f"(?i){ASSIGN}"), F.lit(2)),
-        F.array_union(
-            F.regexp_extract_all("text", F.lit(f"({ACCESS})"), F.lit(1)),
-            F.regexp_extract_all("text", F.lit(r"(?<![0-9a-f])([0-9a-f]{%d,})" % LEAST_HEX), F.lit(1)),
-        ),
-    )
-    random = rows.select(F.explode(values).alias("word")).where(F.length("word") >= LEAST_VALUE)
-    random = random.select(F.substring("word", 1, 64).alias("word"), F.xxhash64("word").alias("at")).distinct()
+
+    def of_kind(pattern: str, group: int, kind: int) -> Column:
+        found = F.array_distinct(F.regexp_extract_all("text", F.lit(pattern), F.lit(group)))
+        return F.transform(found, lambda w: F.struct(F.lit(kind).alias("kind"), w.alias("word")))
+
+    values = F.concat(of_kind(f"(?i){ASSIGN}", 2, 0), of_kind(f"({ACCESS})", 1, 1))
+    random = rows.select(F.explode(values).alias("value")).select("value.kind", "value.word")
+    random = random.where((F.length("word") >= LEAST_VALUE) & ~F.col("word").rlike(LIKE_HEX))
+    random = random.select("kind", F.substring("word", 1, 64).alias("word"), F.xxhash64("word").alias("at")).distinct()
     identifiers = F.regexp_extract_all("text", F.lit(rf"(?<![A-Za-z0-9_-])({IDENTIFIER})(?![A-Za-z0-9_-])"), F.lit(1))
     # Frequent words count by their frequency: places in texts are drawn, not words.
     ordinary = rows.select("doc_id", F.posexplode(identifiers).alias("place", "word")).select(
@@ -92,14 +96,24 @@ def training_strings(docs: DataFrame, sample: int = SAMPLE) -> tuple[list[str],
     values_found = Stage(random, "secret-values")
     n_bytes = rows.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
 
-    def chosen(words: DataFrame, of: int) -> list[str]:
-        share = min(1.0, SPARE * sample / max(of, 1))
+    def chosen(words: DataFrame, of: int, most: int = sample) -> list[str]:
+        share = min(1.0, SPARE * most / max(of, 1))
         thin = words.where(F.pmod("at", F.lit(1 << 30)) < int(share * (1 << 30)))
-        return [r["word"] for r in thin.orderBy("at", "word").limit(sample).collect()]
+        return [r["word"] for r in thin.orderBy("at", "word").limit(most).collect()]
 
-    picked = chosen(values_found.df, values_found.df.count()), chosen(ordinary, n_bytes // BYTES_EACH)
+    own = []
+    for kind in (0, 1):
+        of_this = values_found.df.where(F.col("kind") == kind)
+        own += chosen(of_this, of_this.count(), sample // 4)
     values_found.drop()
-    return picked
+    return seeded_strings(sample // 2) + own, chosen(ordinary, n_bytes // BYTES_EACH)
+
+
+def seeded_strings(n: int) -> list[str]:
+    """The same base62 and base64 strings at every call, of 20 to 64 letters."""
+    draw = np.random.default_rng(9)
+    alphabets = [ALPHABET[:62], ALPHABET[:64], ALPHABET[:62] + "-_"]
+    return ["".join(draw.choice(list(alphabets[max(i % 4 - 1, 0)]), draw.integers(20, 65))) for i in range(n)]
 
 
 def pair_logs(strings: list[str], smoothing: float = 0.5) -> np.ndarray:

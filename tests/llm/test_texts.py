@@ -293,6 +293,23 @@ def test_models_part_random_strings_from_identifiers():
     assert np.mean([secrets.ratio(w, logs) >= 0.3 for w in ordinary[400:]]) < 0.02
 
 
+def test_commonest_kind_does_not_decide_what_is_random(spark):
+    """Held-out strings of each kind, with pools of nearly one kind."""
+    r = np.random.default_rng(8)
+    lower, upper, digits = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+    string = lambda letters, n: "".join(r.choice(list(letters), n))
+    parts = "get set user name file path open close read write index value table count reader config server".split()
+    ordinary = lambda: "_".join(r.choice(parts, 4))
+    pools = [lambda: string("0123456789abcdef", 40), lambda: string(digits, 16), lambda: "AKIA" + string(upper + digits, 16)]
+    for pool in pools:
+        texts = [f"{pool() if i % 100 else 'token=' + string(lower + upper + digits, 28)} {ordinary()} {ordinary()}" for i in range(2000)]
+        docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+        logs = secrets.train(docs)
+        for letters in (lower + upper + digits, lower + upper + digits + "+/", lower + upper + digits + "-_"):
+            assert np.mean([secrets.ratio(string(letters, 28), logs) >= 0.3 for _ in range(300)]) > 0.95
+        assert np.mean([secrets.ratio(ordinary(), logs) >= 0.3 for _ in range(300)]) < 0.02
+
+
 def test_redaction(odd):
     assert secrets.redact(odd).columns == odd.columns
     before = {r.doc_id: r.text for r in odd.collect() if r.doc_id is not None}
