@@ -2,12 +2,15 @@
 functions only.
 
 Templates are phrases and licence headers, as words. The index holds one posting
-(template, position) for every word of every template; a template's key is its
-word of highest inverse document frequency over the scanned texts. In each text
+(template, position) for every word of every template. A template's keys are the
+words of highest inverse document frequency over the scanned texts, chosen so
+that every match holds one: a word of each mandatory phrase, or, without such
+phrases, as many words as leave too few others for the cover. So what is found
+does not depend on the counts. In each text
 the licence words are picked with their positions in one pass. Then, per text:
 
 1. the keys found are looked up, which gives (template, shift) pairs, shift
-   being the key's place in the text less its place in the template;
+   being the key's place in the text less its place in the template, each once;
 2. the other postings of these templates are intersected at that shift: the
    share of a template's words that stand where they should is its cover;
 3. a header counts if its cover reaches ``least_cover`` and one of its
@@ -89,8 +92,10 @@ def licence_words(docs: DataFrame, vocabulary: list[str]) -> DataFrame:
     )
 
 
-def rarest_words(hits: DataFrame, found: list[Template]) -> dict[Template, int]:
-    """Position of each template's key: its word in the fewest texts. What is
+def rarest_words(hits: DataFrame, found: list[Template], least_cover: float) -> dict[Template, tuple[int, ...]]:
+    """Positions of each template's keys, words in the fewest texts first. A
+    match needs a mandatory phrase in full, so any word of each phrase will do;
+    a template without phrases takes one word more than a match may lack. What is
     collected is one count per vocabulary word."""
     counts = (
         hits.select(F.explode(F.array_distinct(F.transform("hits", lambda h: h["word"]))).alias("word"))
@@ -98,9 +103,16 @@ def rarest_words(hits: DataFrame, found: list[Template]) -> dict[Template, int]:
         .count()
     )
     seen = {r["word"]: r["count"] for r in counts.collect()}
-    return {
-        t: min(range(len(t.words)), key=lambda i: (seen.get(t.words[i], 0), t.words[i], i)) for t in found
-    }
+
+    def keys(t: Template) -> tuple[int, ...]:
+        rank = lambda i: (seen.get(t.words[i], 0), t.words[i], i)
+        if t.phrases and not t.base:
+            return tuple(sorted({min(range(start, start + size), key=rank) for start, size in t.phrases}))
+        cover = 1.0 if t.base else least_cover
+        may_lack = sum(n / len(t.words) >= cover for n in range(len(t.words)))
+        return tuple(sorted(range(len(t.words)), key=rank)[: may_lack + 1])
+
+    return {t: keys(t) for t in found}
 
 
 def _places_of(word: str) -> Column:
@@ -108,14 +120,16 @@ def _places_of(word: str) -> Column:
     return F.transform(F.filter("hits", lambda h: h["word"] == word), lambda h: h["at"])
 
 
-def _judged(number: int, t: Template, key: int) -> Column:
-    """One entry per place of the template's key: the other postings intersected
-    at that shift."""
+def _judged(number: int, t: Template, keys: tuple[int, ...]) -> Column:
+    """One entry per shift that a place of one of the template's keys gives: the
+    other postings intersected at that shift."""
 
     words = F.array(*[F.lit(w) for w in t.words])
 
-    def at_place(at: Column) -> Column:
-        first = at - F.lit(key)
+    def shifts(key: int) -> Column:
+        return F.transform(_places_of(t.words[key]), lambda at: at - F.lit(key))
+
+    def at_shift(first: Column) -> Column:
         hit = F.transform(words, lambda w, i: F.coalesce(F.array_contains(F.col("_places")[w], first + i), F.lit(False)))
         return F.struct(F.lit(number).alias("template"), first.alias("first"), hit.alias("hit"))
 
@@ -127,7 +141,8 @@ def _judged(number: int, t: Template, key: int) -> Column:
             m["template"].alias("template"), m["first"].alias("first"), cover.alias("cover"), whole.alias("whole")
         )
 
-    return F.transform(F.transform(_places_of(t.words[key]), at_place), weighed)
+    first = F.array_distinct(F.flatten(F.array(*[shifts(key) for key in keys])))
+    return F.transform(F.transform(first, at_shift), weighed)
 
 
 def scan_licenses(docs: DataFrame, found: list[Template] | None = None, least_cover: float = 0.8) -> DataFrame:
@@ -135,11 +150,11 @@ def scan_licenses(docs: DataFrame, found: list[Template] | None = None, least_co
     found = templates() if found is None else found
     vocabulary = sorted({w for t in found for w in t.words})
     stage = Stage(licence_words(docs, vocabulary), "licence-words")
-    keys = rarest_words(stage.df, found)
+    keys = rarest_words(stage.df, found, least_cover)
     places = F.map_from_entries(F.array(*[F.struct(F.lit(w), _places_of(w)) for w in vocabulary]))
     labels = F.array(*[F.lit(t.label) for t in found])
     is_base = F.array(*[F.lit(t.base) for t in found])
-    key_words = sorted({t.words[i] for t, i in keys.items()})
+    key_words = sorted({t.words[i] for t, at in keys.items() for i in at})
     relevant = F.exists("hits", lambda h: h["word"].isin(key_words))
     none = F.array().cast("array<struct<template:int,first:bigint,cover:double,whole:boolean>>")
     judged = stage.df.withColumn("_places", F.when(relevant, places)).withColumn(

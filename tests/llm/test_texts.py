@@ -158,6 +158,38 @@ def test_headers_need_their_phrase(spark):
     assert got == {0: "apache-2.0", 1: "apache-2.0", 2: "", 3: ""}
 
 
+def test_headers_lacking_a_word_are_found_whatever_the_corpus_holds(spark):
+    texts = [
+        "Licensed under the Apache License, Version 1.0",
+        "Licensed under CC BY-NC 3.0",
+        "Redistribution and use in source and binary forms, with or without modification, are allowed",
+        "licensed under the cc by",
+    ]
+    expected = {0: "apache-2.0", 1: "cc-by,cc-by-nc", 2: "bsd", 3: "cc-by"}
+    for more in ([], ["version 2 0 and 4 0 are permitted"], ["apache"] * 9 + ["by nc source"] * 9):
+        docs = spark.createDataFrame(list(enumerate(texts + more)), "doc_id long, text string")
+        got = {r.doc_id: r.labels for r in licenses.license_digest(licenses.scan_licenses(docs)).collect()}
+        assert {i: got[i] for i in expected} == expected
+
+
+def test_templates_without_phrases_against_brute_force(spark):
+    header = "a b c d e a b f g h".split()
+    found = licenses.templates({}, ((" ".join(header), (), "x"),))
+    r = np.random.default_rng(4)
+    texts = []
+    for _ in range(60):
+        w = list(header)
+        for at in r.choice(10, r.integers(0, 5), replace=False):
+            w[at] = str(r.choice(list("abcdz")))
+        texts.append(["z"] * int(r.integers(3)) + w)
+    rows = [(i, " ".join(w)) for i, w in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for row in licenses.scan_licenses(docs, found).collect():
+        w = texts[row.doc_id]
+        covers = {s: sum(0 <= s + i < len(w) and w[s + i] == h for i, h in enumerate(header)) for s in range(-9, len(w))}
+        assert sorted((m["first"], m["cover"]) for m in row.matches) == [(s, n / 10) for s, n in covers.items() if n >= 8]
+
+
 # Quality
 
 
