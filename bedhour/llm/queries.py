@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import counts, licenses, mixing, near_duplicates, neighbours, packing, quality, repeats, secrets, urls
+from . import (
+    alignment,
+    counts,
+    licenses,
+    mixing,
+    near_duplicates,
+    neighbours,
+    packing,
+    personal,
+    quality,
+    repeats,
+    search,
+    secrets,
+    urls,
+)
 
 # Fixed value: hosts whose name holds one of these words are on the list.
 LISTED_WORDS = ("spam", "casino", "malware")
@@ -78,6 +92,20 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.token_counts(read(spark, sf_dir, "documents"), pieces)
 
 
+def op11_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), k=50)
+
+
+def op12_personal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal.personal_digest(personal.find_personal(read(spark, sf_dir, "documents")))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with open(tokenizer_file("piece_bpe_32k.model"), "rb") as f:
+        pieces = f.read()
+    return alignment.alignment_figures(read(spark, sf_dir, "documents"), tokenizer_definition(), pieces)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -91,6 +119,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_repeats,
         op9_secrets,
         op10_token_counts,
+        op11_search,
+        op12_personal,
+        op13_alignment,
     )
 }
 
@@ -147,4 +178,22 @@ SELECT doc_id, CAST(len(any_value(w)) AS BIGINT) AS n_words, count(label) FILTER
 FROM texts t LEFT JOIN matches m ON m.rid = t.rid GROUP BY t.rid, doc_id"""
 
 
-ORACLE: dict[str, str] = {"op2_licenses": licenses_sql(), "op4_urls": urls_sql()}
+def search_sql(k: int = 50) -> str:
+    words = f"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{search.TERM}')"
+    return f"""WITH texts AS (SELECT row_number() OVER () AS rid, doc_id, {words} AS w FROM documents),
+wanted AS (SELECT row_number() OVER () AS iid, item_id, list_distinct({words}) AS w FROM benchmark),
+asked AS (SELECT iid, item_id, unnest(w) AS term FROM wanted),
+totals AS (SELECT CAST(count(*) FILTER (len(w) > 0) AS BIGINT) AS nn, CAST(sum(len(w)) AS BIGINT) AS ll FROM texts),
+held AS (SELECT rid, term, CAST(count(*) AS BIGINT) AS tf FROM (SELECT rid, unnest(w) AS term FROM texts)
+  WHERE term IN (SELECT term FROM asked) GROUP BY rid, term),
+weights AS (SELECT term, CAST(floor(1000 * ln((2 * any_value(nn) + 2) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS weight
+  FROM held, totals GROUP BY term),
+sizes AS (SELECT rid, doc_id, CAST(50 + (50 * CAST(len(w) AS BIGINT) * nn) // ll AS BIGINT) AS m FROM texts, totals),
+scores AS (SELECT a.iid, a.item_id, h.rid, CAST(sum(weight * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+  FROM asked a JOIN held h ON h.term = a.term JOIN weights x ON x.term = a.term JOIN sizes s ON s.rid = h.rid GROUP BY ALL)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (SELECT c.*, s.doc_id,
+  row_number() OVER (PARTITION BY iid ORDER BY score DESC, s.doc_id NULLS LAST) AS rank
+  FROM scores c JOIN sizes s ON s.rid = c.rid WHERE score > 0) WHERE rank <= {k}"""
+
+
+ORACLE: dict[str, str] = {"op2_licenses": licenses_sql(), "op4_urls": urls_sql(), "op11_search": search_sql()}
