@@ -17,10 +17,11 @@ Defined results: a text that is null, empty, or not given back byte by byte by
 both tokenizers (one that holds U+2581, say) has no tokens: zeros and an empty
 digest. Names of special tokens in a text are ordinary text. Rows stay as they
 are, repeated rows and null ids included; further columns are ignored; no rows
-give no rows. A text is cut at single blanks between word letters into parts of
+give no rows. A text is cut at single blanks between other letters into parts of
 about ``PART`` letters, where no token of either kind reaches across; ends are
 put into dictionaries ``STRETCH`` ids at a time. So a very long text needs its
-ids as arrays, but no dictionary of its size.
+ids as arrays, but no dictionary of its size. For the figures, texts are cut at
+all such blanks, and a word that came before is not aligned again.
 """
 
 from __future__ import annotations
@@ -35,13 +36,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Stage, in_tasks
+from .common import Stage, in_tasks, row_chunks, text_bytes
 from .packing import Encoder, byte_of_letter
 
 SPACE_MARK = "▁"
 PART = 1 << 20
 STRETCH = 1 << 16
-BREAK = re.compile(r"(?<=\w) (?=\w)")
+# Words remembered, and the letters of the longest such word.
+CACHED, KEPT = 250_000, 64
+BREAK = re.compile(r"(?<=\S) (?=\S)")
 
 
 class PlainEncoder(Encoder):
@@ -106,6 +109,10 @@ def common_cuts(ends_a: np.ndarray, ends_b: np.ndarray, stretch: int = STRETCH)
     return np.array(cuts_a, np.int64), np.array(cuts_b, np.int64)
 
 
+# Ids of A and of B, their groups as text, the links as 64-bit numbers.
+Word = tuple[int, int, bytes, bytes]
+
+
 class Aligner:
     """Both tokenizers, and what their ids stand for."""
 
@@ -120,6 +127,7 @@ class Aligner:
         self.parts = not any(SPACE_MARK in self.b.id_to_piece(i).lstrip(SPACE_MARK) for i in range(len(self.entries[1])))
         a, b = ([str(i).encode() for i in range(len(e))] for e in self.entries)
         # An id as written inside its side of a group, and at the end of it.
+        self.known: dict[str, Word | None] = {}
         self.written = [i + sep for ids, seps in ((a, b",|"), (b, b",;")) for sep in (seps[:1], seps[1:]) for i in ids]
 
     def ids(self, text: str) -> tuple[np.ndarray, np.ndarray]:
@@ -166,6 +174,48 @@ class Aligner:
         return a[cuts_a - 1] * len(self.entries[1]) + b[cuts_b - 1]
 
 
+    def figures(self, texts: list[str | None]) -> list[list[Word]]:
+        """The words of each text in order; none if the text has no tokens."""
+        words = [(BREAK.split(t) if self.parts else [t]) if t else [] for t in texts]
+        new = {w for of in words for w in of} - self.known.keys()
+        if len(self.known) + len(new) > CACHED:
+            self.known.clear()
+            new = {w for of in words for w in of}
+        self.learn(sorted(w for w in new if len(w) <= KEPT))
+        for w in new:
+            if len(w) > KEPT:
+                self.learn([w])
+        found = [[self.known[w] for w in of] for of in words]
+        for w in new:
+            if len(w) > KEPT:
+                del self.known[w]
+        return [[] if None in of else of for of in found]
+
+    def learn(self, words: list[str]) -> None:
+        """Align words, all at once with blanks between them."""
+        apart = [w for w in words if len(words) > 1 and (w[:1].isspace() or w[-1:].isspace())]
+        for word in apart:
+            self.learn([word])
+        together = [w for w in words if not apart or not (w[:1].isspace() or w[-1:].isspace())]
+        if not together:
+            return
+        found = a, b, cuts_a, cuts_b = self.align(" ".join(together))
+        if not len(a):
+            for word in together if len(together) > 1 else []:
+                self.learn([word])
+            if len(together) == 1:
+                self.known[together[0]] = None
+            return
+        ends = np.cumsum(self.sizes[0][a])[cuts_a - 1]
+        last = np.searchsorted(ends, np.cumsum([1 + len(w.encode()) for w in together]), side="right")
+        groups, links = self.groups_text(*found).split(b";"), self.links(*found)
+        ids_a, ids_b = np.diff(cuts_a[last - 1], prepend=0), np.diff(cuts_b[last - 1], prepend=0)
+        first = 0
+        for word, to, n_a, n_b in zip(together, last.tolist(), ids_a.tolist(), ids_b.tolist(), strict=True):
+            self.known[word] = (n_a, n_b, b";".join(groups[first:to]), links[first:to].tobytes())
+            first = to
+
+
 _aligners: dict[int, Aligner] = {}
 
 
@@ -215,14 +265,16 @@ def _links_of_documents(docs: DataFrame, definition: str, model: bytes) -> DataF
         work = aligner(*shared.value)
         for batch in batches:
             figures, digests, links, times = [], [], [], []
-            for text in batch.column(1):
-                found = work.align(text.as_py())
-                linked = work.links(*found)
-                figures.append((len(found[0]), len(found[1]), len(found[2]), len(linked)))
-                digests.append(hashlib.sha256(work.groups_text(*found)).hexdigest() if len(found[0]) else "")
-                different, n = np.unique(linked, return_counts=True)
-                links.append(different)
-                times.append(n)
+            texts = batch.column(1)
+            for first, last in row_chunks(text_bytes(texts)[1]):
+                for words in work.figures(texts[first:last].to_pylist()):
+                    linked = np.frombuffer(b"".join([w[3] for w in words]), np.int64)
+                    # Every group ends with one link.
+                    figures.append((sum(w[0] for w in words), sum(w[1] for w in words), len(linked), len(linked)))
+                    digests.append(hashlib.sha256(b";".join([w[2] for w in words])).hexdigest() if words else "")
+                    different, n = np.unique(linked, return_counts=True)
+                    links.append(different)
+                    times.append(n)
             counts = [pa.array(column, pa.int64()) for column in (zip(*figures, strict=True) if figures else ((),) * 4)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *counts, pa.array(digests, pa.string()), _lists(links, pa.int64()), _lists(times, pa.int32())],

@@ -237,7 +237,7 @@ def test_alignment_equals_brute_force(spark, odd, documents, files):
 
 def test_alignment_by_parts_and_stretches(monkeypatch, files):
     work = alignment.Aligner(*files)
-    text = prose(3, 4000) + " été 日本 <|endoftext|>\n x  y " + prose(4, 3000)
+    text = prose(3, 4000) + " été 日本 <|endoftext|>\n x  y \x1d z it's  'll \u2009 . ,a " + prose(4, 3000)
     whole = work.align(text)
     monkeypatch.setattr(alignment, "PART", 300)
     for one, other in zip(whole, work.align(text), strict=True):
@@ -247,6 +247,20 @@ def test_alignment_by_parts_and_stretches(monkeypatch, files):
         assert np.array_equal(one, other)
 
 
+@pytest.mark.parametrize("cached", [400_000, 3])
+def test_remembered_words_give_the_whole(monkeypatch, files, cached):
+    monkeypatch.setattr(alignment, "CACHED", cached)
+    work = alignment.Aligner(*files)
+    texts = [t for _, t, *_ in odd_rows()] + ["a▁b c", "x a▁b", " lead x ", "日本語é" * 900 + " x", "x y\x85z \u3000 q  r "]
+    for _ in range(2):
+        for text, words in zip(texts, work.figures(texts), strict=True):
+            found = work.align(text)
+            assert b";".join(w[2] for w in words) == work.groups_text(*found)
+            assert b"".join(w[3] for w in words) == work.links(*found).tobytes()
+            assert (sum(w[0] for w in words), sum(w[1] for w in words)) == (len(found[0]), len(found[1]))
+    assert all(len(w) <= alignment.KEPT for w in work.known)
+
+
 def test_alignment_of_nothing_and_groups(spark, no_rows, odd, files):
     assert alignment.alignment_figures(no_rows, *files).count() == 0
     for r in alignment.align(odd, *files).collect():
