@@ -1,38 +1,35 @@
 """Operator 6: quality rules and n-gram perplexity.
 
 The model is a modified Kneser-Ney model over the bytes of all texts (A-Z
-lower-cased), order 4. Spark counts the 4-grams of every text: a task counts
-its own and the counts are summed by gram. Continuation counts, discounts and
-back-off weights are further aggregations of that table. Each order is a table
-of grams with their probabilities and one of contexts with their back-off
-weights; joined, they give every gram of the texts its probability. The
-``MODEL_ENTRIES`` most frequent grams are broadcast as sorted arrays, the others
-are joined with the texts' grams.
-
-A second model goes by words (see ``word_spans_of``): pairs of neighbouring
-words, counted by the texts that hold them. The discount is one text and
-``PAIR_DISCOUNT``, so a pair that only the scored text itself holds gives it
-nothing; the rest of the probability goes by the contexts a word was seen in.
-Its tables grow with the corpus, and it sees the order of words.
-
-A text's perplexity is that of its bytes from the fourth on. Per language, an
-exact histogram of the log perplexities of all texts gives the quartiles; the
-band reaches ``fences`` quartile ranges beyond them (at least ``least_width``),
-more for short texts and less for long ones. Texts outside the band are rejected,
-and so are those above the band of the word model (its lower end is not used:
-copies make a text likely without fault of its own),
-and so are those that fail the base rules.
+lower-cased), order ``ORDER``: two letters of any script, or the end of a word
+and the beginning of the next, so it grows with the corpus and sees some word
+order. Spark counts in how many texts each gram stands; a task counts its own
+and the counts are summed by gram. Continuation counts, discounts and back-off
+weights are further aggregations of that table. Each order is a table of grams
+with their counts and one of contexts with their totals; joined, they give every
+gram of the texts its probability. A text must not vouch for itself, so a gram's
+probability is that of the model without one text that holds it: its count is
+less one, and so is a continuation count that rests on that text alone.
+
+The gram table with its probabilities is written once. Its ``MODEL_ENTRIES`` most
+frequent grams are broadcast as sorted arrays; if there are more, the others are
+joined with the texts' grams, as the same 32-bit numbers.
+
+A text's perplexity is that of its bytes from the last of the first gram on. Per
+language, an exact histogram of the log perplexities of all texts gives the
+quartiles; the band reaches ``fences`` quartile ranges beyond them (at least
+``least_width``), more for short texts and less for long ones. Texts outside the
+band are rejected, and so are those that fail the base rules.
 
 Defined results: a null text is empty; it has no words and fails the base rules;
-a text under 4 bytes, or for the word model of one word, has no perplexity and
-is judged by the rules alone; null is
-a language of its own; rows stay as they are, repeated rows and null ids
+a text shorter than a gram has no perplexity and is judged by the rules alone; a
+text of any length is scored whole; null is a language of its own; rows stay as they are, repeated rows and null ids
 included; further columns are ignored; no rows give no rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -57,8 +54,7 @@ from .common import (
     word_spans,
 )
 
-ORDER = 4
-PAIR_DISCOUNT = 0.75
+ORDER = 6
 # Entries of a table that are broadcast; the others are joined.
 MODEL_ENTRIES = 1 << 22
 SYMBOLS = np.zeros(256, bool)
@@ -118,31 +114,49 @@ def rule_metrics(data: np.ndarray, starts: np.ndarray) -> dict[str, np.ndarray]:
 
 
 def byte_grams(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """All 4-grams of texts as integers, and the row of each."""
-    if len(data) < ORDER:
-        return np.empty(0, np.uint32), np.empty(0, np.int64)
-    low = LOWER[data].astype(np.uint32)
-    grams = low[:-3] << 24 | low[1:-2] << 16 | low[2:-1] << 8 | low[3:]
+    """All grams of texts as integers, and the row of each."""
+    size = len(data) - ORDER + 1
+    if size < 1:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    low = LOWER[data].astype(np.int64)
+    grams = np.zeros(size, np.int64)
+    for at in range(ORDER):
+        grams = grams << 8 | low[at : at + size]
     row = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
-    inside = row[:-3] == row[3:]
-    return grams[inside], row[:-3][inside]
+    inside = row[:size] == row[ORDER - 1 :]
+    return grams[inside], row[:size][inside]
+
+
+def _texts_per_gram(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Grams of some texts, and in how many of them each stands."""
+    grams, row = byte_grams(data, starts)
+    if len(starts) - 1 <= 1 << 64 - 8 * ORDER:
+        # Gram and row fit one number.
+        once = np.unique(grams.astype(np.uint64) << np.uint64(64 - 8 * ORDER) | row.astype(np.uint64))
+        once = (once >> np.uint64(64 - 8 * ORDER)).astype(np.int64)
+    else:
+        order = np.lexsort((row, grams))
+        grams, row = grams[order], row[order]
+        new = np.ones(len(grams), bool)
+        new[1:] = (grams[1:] != grams[:-1]) | (row[1:] != row[:-1])
+        once = grams[new]
+    return np.unique(once, return_counts=True)
 
 
 def count_grams(docs: DataFrame) -> DataFrame:
-    """``gram, n`` over all texts."""
+    """``gram, n``: in how many texts each gram stands."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            column = batch.column(0)
             held: list[tuple[np.ndarray, np.ndarray]] = []
-            data, starts = text_bytes(column)
+            data, starts = text_bytes(batch.column(0))
             for first, last in row_chunks(starts):
                 part = data[starts[first] : starts[last]]
-                held.append(np.unique(byte_grams(part, starts[first : last + 1] - starts[first])[0], return_counts=True))
+                held.append(_texts_per_gram(part, starts[first : last + 1] - starts[first]))
             if held:
                 keys, where = np.unique(np.concatenate([k for k, _ in held]), return_inverse=True)
                 n = np.bincount(where, np.concatenate([c for _, c in held]), len(keys)).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(keys.astype(np.int64)), pa.array(n)], ["gram", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n)], ["gram", "n"])
 
     return (
         docs.select(F.col("text").cast("string").alias("text"))
@@ -164,85 +178,90 @@ def _discounts(table: DataFrame) -> tuple[float, float, float]:
     return d(1, n1, n2), d(2, n2, n3), d(3, n3, n4)
 
 
-def slot(gram: Column, order: int) -> Column:
-    """Key of a gram in the tables, the same in Spark and in tasks (see
-    ``slots``): the gram itself, so no two grams share one."""
-    return gram
-
-
-def slots(gram: np.ndarray, order: int) -> np.ndarray:
-    return gram.astype(np.uint32)
+def cut(n: Column, discounts: tuple[float, float, float]) -> Column:
+    """The discount of a count."""
+    one, two, more = map(F.lit, discounts)
+    return F.when(n <= 0, F.lit(0.0)).when(n == 1, one).when(n == 2, two).otherwise(more)
 
 
-def table_size(order: int) -> int:
-    return 1 << 8 * order
+def low_bytes(gram: Column, order: int) -> Column:
+    return gram.bitwiseAND(F.lit((1 << 8 * order) - 1))
 
 
 @dataclass
 class Level:
-    """One order: the discounted probability of every gram, and the back-off
-    weight of every context."""
+    """One order: ``gram, n`` of its grams, ``context, total, mass`` (the sums of
+    counts and of discounts) of their contexts, and the discounts."""
 
-    shares: Stage
-    weights: Stage
+    counts: Stage
+    contexts: Stage
+    discounts: tuple[float, float, float]
 
 
 @dataclass
 class Model:
-    """Levels of order 4, 3, 2, 1 and the counts of order 4, in the shared folder."""
+    """Levels of order 1 to ``ORDER``, in the shared folder."""
 
     levels: list[Level]
-    counted: Stage
 
     def drop(self) -> None:
-        for stage in [self.counted, *[s for level in self.levels for s in (level.shares, level.weights)]]:
-            stage.drop()
+        for level in self.levels:
+            level.counts.drop()
+            level.contexts.drop()
 
 
 def train(docs: DataFrame) -> Model:
     """The model of all texts. Nothing of it reaches the driver."""
-    counted = Stage(count_grams(docs), "quality-grams")
     levels: list[Level] = []
-    made = [counted]
+    counts = Stage(count_grams(docs), "quality-grams")
     for order in range(ORDER, 0, -1):
-        table = made[-1].df
-        one, two, more = _discounts(table)
-        n = F.col("n")
-        cut = F.when(n == 1, F.lit(one)).when(n == 2, F.lit(two)).otherwise(F.lit(more))
-        context = F.shiftright("gram", 8)
-        total = F.sum("n").cast("double")
-        sums = table.groupBy(context.alias("context")).agg(total.alias("total"), (F.sum(cut) / total).alias("weight"))
-        weights = Stage(sums, "quality-weights")
-        share = (table.withColumn("context", context).join(weights.small(), "context")).select(
-            slot(F.col("gram"), order).alias("gram"), ((n - cut) / F.col("total")).alias("share")
+        table = counts.df
+        discounts = _discounts(table)
+        sums = table.groupBy(F.shiftright("gram", 8).alias("context")).agg(
+            F.sum("n").alias("total"), F.sum(cut(F.col("n"), discounts)).alias("mass")
         )
-        levels.append(Level(Stage(share, "quality-shares"), weights))
+        levels.insert(0, Level(counts, Stage(sums, "quality-contexts"), discounts))
         if order > 1:
-            # Continuation count: in how many contexts the shorter gram appears.
-            shorter = F.col("gram").bitwiseAND(F.lit(table_size(order - 1) - 1))
-            made.append(Stage(table.groupBy(shorter.alias("gram")).agg(F.count("*").alias("n")), "quality-grams"))
-    for stage in made[1:]:
-        stage.drop()
-    return Model(levels, counted)
-
-
-def chances(grams: DataFrame, model: Model) -> DataFrame:
-    """``gram, n, log2`` of every gram of ``grams``. One that a level does not
-    hold has no share there, one whose context it does not hold backs off whole."""
-    table = grams.select("gram", "n", F.lit(1.0 / 256).alias("chance"))
-    for order in range(1, ORDER + 1):
-        level = model.levels[ORDER - order]
-        shares = level.shares.small().withColumnRenamed("gram", "_part")
-        weights = level.weights.small().select(F.col("context").alias("_context"), "weight")
-        part = F.col("gram").bitwiseAND(F.lit(table_size(order) - 1))
-        weight = F.least(F.greatest(F.coalesce("weight", F.lit(1.0)), F.lit(1e-6)), F.lit(1.0))
-        table = (
-            table.withColumns({"_part": part, "_context": F.shiftright(part, 8)})
-            .join(shares, "_part", "left")
-            .join(weights, "_context", "left")
-            .select("gram", "n", (F.coalesce("share", F.lit(0.0)) + weight * F.col("chance")).alias("chance"))
+            # Continuation count: after how many bytes the shorter gram stands.
+            shorter = low_bytes(F.col("gram"), order - 1).alias("gram")
+            counts = Stage(table.groupBy(shorter).agg(F.count("*").alias("n")), "quality-grams")
+    return Model(levels)
+
+
+def chances(grams: DataFrame, model: Model, own: bool) -> DataFrame:
+    """``gram, n, log2`` of every gram of ``grams``; ``own`` says that they are
+    those of the model's texts, one of which is left out. A gram that a level
+    does not hold has no share there, one whose context it does not hold backs
+    off whole."""
+    table = grams.select("gram", "n")
+    for order, level in enumerate(model.levels, 1):
+        part = low_bytes(F.col("gram"), order)
+        counts = level.counts.small().select(F.col("gram").alias("_part"), F.col("n").alias(f"_n{order}"))
+        contexts = level.contexts.small().select(
+            F.col("context").alias("_context"), F.col("total").alias(f"_total{order}"), F.col("mass").alias(f"_mass{order}")
         )
-    return table.select("gram", "n", F.log2(F.least(F.greatest("chance", F.lit(1e-9)), F.lit(1.0))).alias("log2"))
+        table = table.withColumns({"_part": part, "_context": F.shiftright(part, 8)})
+        if own and order == ORDER:
+            table = table.withColumn(f"_n{order}", F.col("n")).drop("_part")
+        else:
+            table = table.join(counts, "_part", "left").drop("_part")
+        table = table.join(contexts, "_context", "left").drop("_context")
+    # From the longest down: what is left of the counts without one text.
+    gone = F.lit(int(own))
+    for order in range(ORDER, 0, -1):
+        n = F.coalesce(f"_n{order}", F.lit(0))
+        table = table.withColumns({f"_left{order}": n - gone, f"_gone{order}": gone})
+        gone = F.when(F.col(f"_left{order}") <= 0, F.col(f"_gone{order}")).otherwise(F.lit(0))
+    chance = F.lit(1.0 / 256)
+    for order, level in enumerate(model.levels, 1):
+        left, before = F.col(f"_left{order}"), F.coalesce(f"_n{order}", F.lit(0))
+        total = F.coalesce(f"_total{order}", F.lit(0)) - F.col(f"_gone{order}")
+        mass = F.col(f"_mass{order}") - cut(before, level.discounts) + cut(left, level.discounts)
+        share = F.when(total > 0, (left - cut(left, level.discounts)) / total).otherwise(F.lit(0.0))
+        weight = F.when(total > 0, F.least(F.greatest(mass / total, F.lit(1e-6)), F.lit(1.0))).otherwise(F.lit(1.0))
+        table = table.withColumn(f"_chance{order}", share + weight * chance)
+        chance = F.col(f"_chance{order}")
+    return table.select("gram", "n", F.log2(F.least(F.greatest(chance, F.lit(1e-9)), F.lit(1.0))).cast("float").alias("log2"))
 
 
 class Table:
@@ -262,10 +281,10 @@ class Table:
             if held > MODEL_ENTRIES:
                 break
             least = 1 << at
-        head = df.where(F.col("n") >= least).select("gram", F.col("log2").cast("float").alias("log2")).toPandas()
-        order = np.argsort(head["gram"].to_numpy(np.int64))
-        self.keys = head["gram"].to_numpy(np.int64)[order]
-        self.values = head["log2"].to_numpy(np.float32)[order]
+        head = df.where(F.col("n") >= least).select("gram", "log2").toArrow()
+        keys, values = (head.column(i).to_numpy() for i in range(2))
+        order = np.argsort(keys)
+        self.keys, self.values = keys[order], values[order]
         self.rest = df.where(F.col("n") < least).select("gram", "log2") if held > len(self.keys) else None
 
 
@@ -289,88 +308,6 @@ class Scorer:
 FIGURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
-# Parts words for the word model: every ASCII byte that is no letter or digit.
-BETWEEN = np.array([i < 128 and not chr(i).isalnum() for i in range(256)])
-
-
-def word_spans_of(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Begin, end and row of every word of the word model. A letter of three or
-    four bytes is a word of its own, since scripts of such letters often have no
-    blanks."""
-    if not len(data):
-        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
-    first = (data & 0xC0) != 0x80
-    first[starts[:-1][starts[:-1] < len(data)]] = True
-    lead = np.maximum.accumulate(np.where(first, np.arange(len(data)), 0))
-    wide, parts = data[lead] >= 0xE0, BETWEEN[data]
-    fresh = np.ones(len(data), bool)  # no word goes on from the byte before
-    fresh[1:] = parts[:-1] | (first[1:] & (wide[1:] | wide[:-1]))
-    fresh[starts[:-1][starts[:-1] < len(data)]] = True
-    ends = np.append(fresh[1:], True)
-    ends[:-1] |= parts[1:]
-    begin = np.flatnonzero(~parts & fresh)
-    return begin, np.flatnonzero(~parts & ends) + 1, np.searchsorted(starts, begin, side="right") - 1
-
-
-def _word_pairs(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes of both words of every pair, once per text, and the row."""
-    begin, end, row = word_spans_of(data, starts)
-    word = substring_hashes(prefix_sums(LOWER[data]), begin, end)
-    inside = np.flatnonzero(row[:-1] == row[1:])
-    one, two, row = word[inside], word[inside + 1], row[inside]
-    _, once = np.unique(mix(pair_key(one, two) ^ mix(row.astype(np.uint64) + np.uint64(1))), return_index=True)
-    return one[once].view(np.int64), two[once].view(np.int64), row[once]
-
-
-def pair_key(one: np.ndarray, two: np.ndarray) -> np.ndarray:
-    one, two = one.view(np.uint64), two.view(np.uint64)
-    return one ^ (two << np.uint64(1) | two >> np.uint64(63))
-
-
-def word_grams(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The different word pairs of each text as 64-bit keys, and their rows."""
-    one, two, row = _word_pairs(data, starts)
-    return pair_key(one, two).view(np.int64), row
-
-
-def count_pairs(docs: DataFrame) -> DataFrame:
-    """``one, two, n``: in how many texts a word pair stands."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            data, starts = text_bytes(batch.column(0))
-            for first, last in row_chunks(starts):
-                one, two, _ = _word_pairs(data[starts[first] : starts[last]], starts[first : last + 1] - starts[first])
-                _, at, n = np.unique(pair_key(one, two), return_index=True, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (one[at], two[at], n)], ["one", "two", "n"])
-
-    return (
-        docs.select(F.col("text").cast("string").alias("text"))
-        .transform(in_tasks, run, "one long, two long, n long")
-        .groupBy("one", "two")
-        .agg(F.sum("n").alias("n"))
-    )
-
-
-def pair_chances(docs: DataFrame) -> tuple[DataFrame, list[Stage]]:
-    """``gram, n, log2`` of every word pair of ``docs``, and the stages it reads."""
-    pairs = Stage(count_pairs(docs), "quality-pairs")
-    left = F.greatest(F.col("n") - F.lit(1 + PAIR_DISCOUNT), F.lit(0.0))
-    contexts = Stage(
-        pairs.df.groupBy(F.col("one").alias("_one")).agg(
-            F.sum("n").cast("double").alias("total"), (1 - F.sum(left) / F.sum("n")).alias("weight")
-        ),
-        "quality-contexts",
-    )
-    seen = Stage(pairs.df.groupBy(F.col("two").alias("_two")).agg(F.count("*").alias("before")), "quality-seen")
-    every = F.lit(float(max(pairs.df.count(), 1)))
-    two = F.col("two")
-    key = F.col("one").bitwiseXOR(F.shiftleft(two, 1).bitwiseOR(F.shiftrightunsigned(two, 63)))
-    chance = left / F.col("total") + F.col("weight") * F.col("before") / every
-    joined = pairs.df.join(contexts.small(), F.col("one") == F.col("_one")).join(seen.small(), two == F.col("_two"))
-    return joined.select(key.alias("gram"), "n", F.log2(chance).alias("log2")), [pairs, contexts, seen]
-
-
 def _with_content(docs: DataFrame) -> DataFrame:
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
@@ -380,7 +317,7 @@ def _with_content(docs: DataFrame) -> DataFrame:
     )
 
 
-def _rest_means(docs: DataFrame, table: Table, grams_of: Callable) -> Stage:
+def _rest_means(docs: DataFrame, table: Table) -> Stage:
     """``_content, mean``: the mean log2 probability of the grams of a text that
     the table's arrays do not hold, by a join with the rest of the table. Equal
     texts have equal means, so rows are told apart by content only."""
@@ -392,41 +329,25 @@ def _rest_means(docs: DataFrame, table: Table, grams_of: Callable) -> Stage:
             data, starts = text_bytes(batch.column(3))
             content = batch.column(2).to_numpy()
             for first, last in row_chunks(starts):
-                grams, row = grams_of(data[starts[first] : starts[last]], starts[first : last + 1] - starts[first])
+                grams, row = byte_grams(data[starts[first] : starts[last]], starts[first : last + 1] - starts[first])
                 missed = ~scorer.log2(grams)[1]
-                columns = [content[first:last][row[missed]], grams[missed].astype(np.int64)]
+                columns = [content[first:last][row[missed]], grams[missed]]
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["_content", "gram"])
 
     missed = _with_content(docs).transform(in_tasks, run, "_content long, gram long")
     return Stage(missed.join(table.rest, "gram").groupBy("_content").agg(F.avg("log2").alias("mean")), "quality-rest")
 
 
-def _perplexity(scores: DataFrame, docs: DataFrame, table: Table, name: str, grams_of: Callable) -> DataFrame:
-    """``name`` in place of the figures ``n_name, missed_name, bits_name``."""
-    bits = F.col(f"bits_{name}")
-    if table.rest is not None:
-        means = _rest_means(docs, table, grams_of).small()
-        scores = scores.join(means, F.col("content") == F.col("_content"), "left").drop("_content")
-        bits = bits + F.col(f"missed_{name}") * F.coalesce("mean", F.lit(0.0))
-    entropy = F.when(F.col(f"n_{name}") > 0, -bits / F.col(f"n_{name}"))
-    return scores.withColumn(name, entropy).drop(f"n_{name}", f"missed_{name}", f"bits_{name}", "mean")
-
-
-def score(docs: DataFrame, model: Model, grams: DataFrame | None = None) -> DataFrame:
+def score(docs: DataFrame, model: Model, own: bool = False) -> DataFrame:
     """``doc_id, lang, content`` (hash of text and language), the base figures
-    ``log2_perplexity`` and ``log2_word_perplexity`` per row. ``grams`` are the counted grams of ``docs``,
-    where they are known."""
-    table = Table(chances(count_grams(docs) if grams is None else grams, model), "quality-chances")
-    pairs, made = pair_chances(docs)
-    tables = {"log2_perplexity": (table, byte_grams), "log2_word_perplexity": (Table(pairs, "quality-pair-chances"), word_grams)}
-    for stage in made:
-        stage.drop()
-    shared = docs.sparkSession.sparkContext.broadcast({k: (t.keys, t.values) for k, (t, _) in tables.items()})
-    parts = {k: g for k, (_, g) in tables.items()}
-    names = ["doc_id", "lang", "content", *FIGURES, *[f"{x}_{k}" for k in tables for x in ("n", "missed", "bits")]]
+    and ``log2_perplexity`` per row. ``own``: ``docs`` are the model's texts."""
+    grams = model.levels[-1].counts.df if own else count_grams(docs)
+    table = Table(chances(grams, model, own), "quality-chances")
+    shared = docs.sparkSession.sparkContext.broadcast((table.keys, table.values))
+    names = ["doc_id", "lang", "content", *FIGURES, "grams", "missed", "bits"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorers = {k: Scorer(*arrays) for k, arrays in shared.value.items()}
+        scorer = Scorer(*shared.value)
         for batch in batches:
             data, starts = text_bytes(batch.column(3))
             for first, last in row_chunks(starts):
@@ -434,33 +355,34 @@ def score(docs: DataFrame, model: Model, grams: DataFrame | None = None) -> Data
                 begins = starts[first : last + 1] - starts[first]
                 figures = rule_metrics(part, begins)
                 columns = [pa.array(figures[f].astype(np.int64)) for f in FIGURES]
-                for k, grams_of in parts.items():
-                    grams, row = grams_of(part, begins)
-                    log2, held = scorers[k].log2(grams)
-                    columns += [
-                        pa.array(np.bincount(row, minlength=last - first)),
-                        pa.array(np.bincount(row[~held], minlength=last - first)),
-                        pa.array(np.bincount(row, log2.astype(np.float64), last - first).astype(np.float64)),
-                    ]
+                grams, row = byte_grams(part, begins)
+                log2, held = scorer.log2(grams)
+                columns += [
+                    pa.array(np.bincount(row, minlength=last - first)),
+                    pa.array(np.bincount(row[~held], minlength=last - first)),
+                    pa.array(np.bincount(row, log2.astype(np.float64), last - first).astype(np.float64)),
+                ]
                 yield pa.RecordBatch.from_arrays(
                     [*[batch.column(i).slice(first, last - first) for i in range(3)], *columns], names
                 )
 
-    kinds = ", ".join([*[f"{f} long" for f in FIGURES], *[f"n_{k} long, missed_{k} long, bits_{k} double" for k in tables]])
+    kinds = ", ".join([*[f"{f} long" for f in FIGURES], "grams long, missed long, bits double"])
     scores = _with_content(docs).transform(in_tasks, run, f"doc_id long, lang string, content long, {kinds}")
-    for k, (t, grams_of) in tables.items():
-        scores = _perplexity(scores, docs, t, k, grams_of)
-    return scores
+    bits = F.col("bits")
+    if table.rest is not None:
+        means = _rest_means(docs, table).small()
+        scores = scores.join(means, F.col("content") == F.col("_content"), "left").drop("_content")
+        bits = bits + F.col("missed") * F.coalesce("mean", F.lit(0.0))
+    entropy = F.when(F.col("grams") > 0, -bits / F.col("grams"))
+    return scores.withColumn("log2_perplexity", entropy).drop("grams", "missed", "bits", "mean")
 
 
-def bands(
-    scores: DataFrame, fences: float = FENCES, least_width: float = 0.1, of: str = "log2_perplexity"
-) -> DataFrame:
-    """``lang, q1, q3, width`` of the log2 perplexity in column ``of``. Quartiles come from a
+def bands(scores: DataFrame, fences: float = FENCES, least_width: float = 0.1) -> DataFrame:
+    """``lang, q1, q3, width`` of the log2 perplexity. Quartiles come from a
     histogram over all rows, which has few rows per language."""
-    step = F.round(F.col(of) * STEPS).cast("int")
+    step = F.round(F.col("log2_perplexity") * STEPS).cast("int")
     histogram = (
-        scores.where(F.col(of).isNotNull())
+        scores.where(F.col("log2_perplexity").isNotNull())
         .groupBy("lang", step.alias("step"))
         .agg(F.count("*").alias("n"))
     )
@@ -477,38 +399,29 @@ def bands(
 
 
 def judge(docs: DataFrame, least_words: int = 50, most_repeated: int = 50, fences: float = FENCES) -> DataFrame:
-    """The scores of every row with ``base_failed``, ``low``, ``high``, ``word_high`` and ``kept``."""
+    """The scores of every row with ``base_failed``, ``low``, ``high`` and ``kept``."""
     model = train(docs)
-    scores = Stage(score(docs, model, model.counted.df), "quality-scores")
+    scores = Stage(score(docs, model, own=True), "quality-scores")
     model.drop()
-    of_bytes = bands(scores.df, fences).withColumnRenamed("lang", "_lang")
-    of_words = bands(scores.df, fences, of="log2_word_perplexity").select(
-        F.col("lang").alias("_word_lang"), F.col("q3").alias("word_q3"), F.col("width").alias("word_width")
-    )
-    limits = Stage(of_bytes.join(of_words, F.col("_lang").eqNullSafe(F.col("_word_lang")), "left"), "quality-bands")
+    limits = Stage(bands(scores.df, fences).withColumnRenamed("lang", "_lang"), "quality-bands")
     failed = (F.col("n_words") < least_words) | (100 * F.col("n_repeat_words") > most_repeated * F.col("n_words"))
     # The mean over a text's letters varies less the longer the text is.
     share = F.sqrt(F.lit(float(TYPICAL_WORDS)) / F.greatest("n_words", F.lit(1)))
-    share = F.greatest(share, F.lit(LEAST_SHARE))
-    width = F.col("width") * share
+    width = F.col("width") * F.greatest(share, F.lit(LEAST_SHARE))
     inside = F.coalesce(F.col("log2_perplexity").between(F.col("low"), F.col("high")), F.lit(True))
-    ordered = F.coalesce(F.col("log2_word_perplexity") <= F.col("word_high"), F.lit(True))
     return (
         scores.df.join(limits.small(), F.col("lang").eqNullSafe(F.col("_lang")), "left")
-        .select(
-            scores.df["*"],
-            (F.col("q1") - width).alias("low"),
-            (F.col("q3") + width).alias("high"),
-            (F.col("word_q3") + F.col("word_width") * share).alias("word_high"),
-        )
+        .select(scores.df["*"], (F.col("q1") - width).alias("low"), (F.col("q3") + width).alias("high"))
         .withColumn("base_failed", failed)
-        .withColumn("kept", ~F.col("base_failed") & inside & ordered)
+        .withColumn("kept", ~F.col("base_failed") & inside)
     )
 
 
 def keep_good(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that are kept. What a row's judgement depends on is
-    its text and language, so these tell which rows to drop, whatever the ids."""
-    rejected = judge(docs, **options).where(~F.col("kept")).select(F.col("content").alias("_rejected")).distinct()
+    its text and language, so these tell which rows to drop, whatever the ids.
+    The helping column has a name that ``docs`` does not have."""
+    name = "_rejected" + "_".join(["", *(c for c in docs.columns if c.startswith("_rejected"))])
+    rejected = judge(docs, **options).where(~F.col("kept")).select(F.col("content").alias(name)).distinct()
     content = F.xxhash64(docs["text"], F.lit("/"), docs["lang"])
-    return docs.join(Stage(rejected, "quality-rejected").small(), content == F.col("_rejected"), "left_anti")
+    return docs.join(Stage(rejected, "quality-rejected").small(), content == F.col(name), "left_anti")

@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer, models
 
 from bedhour.llm import counts, licenses, packing, quality, queries, secrets
@@ -220,12 +221,14 @@ def test_rules_against_brute_force(odd, documents):
         assert not any(r.kept and r.base_failed for r in got)
 
 
-def test_perplexity_against_brute_force(spark):
-    texts = ["abracadabra abracadabra", "abcabcabd", "", None, "xyz", "ABRA cadabra " * 5]
+@pytest.mark.parametrize("own", [True, False])
+def test_perplexity_against_brute_force(spark, own):
+    size = quality.ORDER
+    texts = ["abracadabra abracadabra", "abcabcabd", "", None, "xyz", "ABRA cadabra " * 5, "abracadabra abracadabra", "cadabr"]
     docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
     data = [lower(t).encode() for t in texts]
-    tables = [Counter(d[i : i + 4] for d in data for i in range(len(d) - 3))]
-    for n in (3, 2, 1):
+    tables = [Counter(g for d in data for g in {d[i : i + size] for i in range(len(d) - size + 1)})]
+    for n in range(size - 1, 0, -1):
         tables.append(Counter(g[-n:] for g in tables[-1]))
 
     def discounts(table):
@@ -236,36 +239,45 @@ def test_perplexity_against_brute_force(spark):
 
     cuts = [discounts(t) for t in tables]
 
-    def chance(gram):
+    def chance(gram, gone):
+        """``gone`` is 1 where the count rests on the text that is left out."""
         if not gram:
             return 1 / 256
-        table, cut = tables[4 - len(gram)], cuts[4 - len(gram)]
-        d = lambda c: cut[min(c, 3) - 1] if c else 0.0
-        near = {g: c for g, c in table.items() if g[:-1] == gram[:-1]}
+        table, cut = tables[size - len(gram)], cuts[size - len(gram)]
+        d = lambda c: cut[min(c, 3) - 1] if c > 0 else 0.0
+        near = {g: c - gone * (g == gram) for g, c in table.items() if g[:-1] == gram[:-1]}
         total = sum(near.values())
-        if not total:
-            return chance(gram[1:])
-        weight = max(sum(map(d, near.values())) / total, 1e-6)
-        c = table.get(gram, 0)
-        return (c - d(c)) / total + weight * chance(gram[1:])
-
-    got = {r.doc_id: r.log2_perplexity for r in quality.score(docs, quality.train(docs)).collect()}
+        c = near.get(gram, 0)
+        below = chance(gram[1:], gone if c <= 0 else 0)
+        if total <= 0:
+            return below
+        weight = min(max(sum(map(d, near.values())) / total, 1e-6), 1.0)
+        return (c - d(c)) / total + weight * below
+
+    got = {r.doc_id: r.log2_perplexity for r in quality.score(docs, quality.train(docs), own).collect()}
     for i, d in enumerate(data):
-        if len(d) < 4:
+        if len(d) < size:
             assert got[i] is None
         else:
-            bits = [-np.log2(chance(d[j : j + 4])) for j in range(len(d) - 3)]
+            bits = [-np.log2(max(chance(d[j : j + size], int(own)), 1e-9)) for j in range(len(d) - size + 1)]
             assert got[i] == pytest.approx(np.mean(bits), rel=1e-3)
 
 
-def test_slots_agree_in_spark_and_tasks(spark):
-    from pyspark.sql import functions as F
+def test_texts_are_counted_once_per_gram():
+    r = np.random.default_rng(2)
+    texts = ["".join(r.choice(list("ab"), 12)) for _ in range(500)]
+    data, starts = quality.text_bytes(pa.array(texts))
+    grams, n = quality._texts_per_gram(data, starts)
+    want = Counter(g for t in texts for g in {t[i : i + quality.ORDER] for i in range(12 - quality.ORDER + 1)})
+    assert dict(zip(grams.tolist(), n.tolist(), strict=True)) == {int.from_bytes(g.encode(), "big"): c for g, c in want.items()}
+    many = quality.text_bytes(pa.array(["", "xyzxyzxyz"] * 40_000))
+    grams, n = quality._texts_per_gram(*many)
+    assert n.tolist() == [40_000] * 3
+
 
-    for order in range(5):
-        grams = np.random.default_rng(1).integers(0, 1 << 8 * order, 300, np.uint64)
-        rows = spark.createDataFrame([(int(g),) for g in grams], "gram long")
-        for r in rows.select("gram", quality.slot(F.col("gram"), order).alias("s")).collect():
-            assert r.s == int(quality.slots(np.array([r.gram], np.uint32), order)[0]) < quality.table_size(order)
+def test_extra_columns_do_not_clash(spark, documents):
+    wide = documents.limit(60).withColumn("_rejected", F.lit(1)).withColumn("_rejected_", F.lit(2))
+    assert quality.keep_good(wide).columns == wide.columns
 
 
 def test_kept_rows_keep_their_columns(odd):
@@ -357,13 +369,12 @@ def test_redaction(odd):
 
 def test_unseen_grams_back_off_and_large_tables_are_joined(spark, monkeypatch):
     schema = "doc_id long, text string, lang string"
-    # Multiplied by 0x9E3779B1 modulo 2**32, these two have the same upper 22 bits.
-    pair, word = "vjh4", "l=^8"
+    pair, word = "vjh4", "l=^8l=^8"
     docs = spark.createDataFrame([(0, pair * 9, "en")], schema)
     strange = spark.createDataFrame([(0, word, "en")], schema)
     model = quality.train(docs)
     # Nothing of it was seen; only the lowest order has a (back-off) weight.
-    [weight] = [r.weight for r in model.levels[-1].weights.df.collect()]
+    [weight] = [r.mass / r.total for r in model.levels[0].contexts.df.collect()]
     [got] = quality.score(strange, model).collect()
     assert got.log2_perplexity == pytest.approx(-np.log2(max(weight / 256, 1e-9)), rel=1e-3)
 
@@ -407,13 +418,3 @@ def test_shuffled_words_leave_the_band(spark):
     kept = {x.doc_id: x.kept for x in quality.judge(docs).collect()}
     assert not any(kept[k + i] for k in (1000, 3000) for i in range(20))
     assert sum(kept[k + i] for k in (0, 2000) for i in range(400)) >= 790
-
-
-def test_words_of_the_word_model():
-    texts = ["It's a_b, 12", "", "été漢字x", "漢", None, "x’y"]
-    column = pa.array(texts)
-    data, starts = quality.text_bytes(column)
-    begin, end, row = quality.word_spans_of(data, starts)
-    got = [(int(k), bytes(data[a:b]).decode()) for a, b, k in zip(begin, end, row, strict=True)]
-    said = [(0, "It"), (0, "s"), (0, "a"), (0, "b"), (0, "12"), (2, "été"), (2, "漢"), (2, "字"), (2, "x"), (3, "漢")]
-    assert got == [*said, (5, "x"), (5, "’"), (5, "y")]
