@@ -18,8 +18,10 @@ joined with the texts' grams, as the same 32-bit numbers.
 A text's perplexity is that of its bytes from the last of the first gram on. Per
 language, an exact histogram of the log perplexities of all texts gives the
 quartiles; the band reaches ``fences`` quartile ranges beyond them (at least
-``least_width``), more for short texts and less for long ones. Texts outside the
-band are rejected, and so are those that fail the base rules.
+``least_width``), more for short texts and less for long ones. Copies and near
+copies make a text likely without fault of its own, so the lower end is at most
+``LOW_SHARE`` of the lower quartile: text that says one thing over and over.
+Texts outside the band are rejected, and so are those that fail the base rules.
 
 Defined results: a null text is empty; it has no words and fails the base rules;
 a text shorter than a gram has no perplexity and is judged by the rules alone; a
@@ -62,7 +64,9 @@ SYMBOLS[list(b"#*$%&|<>")] = True
 STEPS = 200  # histogram steps per unit of log2 perplexity
 # Half the width of a band beyond the quartiles, in quartile ranges, for a text
 # of ``TYPICAL_WORDS``; it goes with one over the root of the length, down to a share.
-FENCES, TYPICAL_WORDS, LEAST_SHARE = 4.0, 300, 0.4
+FENCES, TYPICAL_WORDS, LEAST_SHARE = 5.0, 300, 0.4
+# The lower end of a band is this share of the lower quartile, if that is less.
+LOW_SHARE = 0.25
 
 
 def repeated(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -411,7 +415,7 @@ def judge(docs: DataFrame, least_words: int = 50, most_repeated: int = 50, fence
     inside = F.coalesce(F.col("log2_perplexity").between(F.col("low"), F.col("high")), F.lit(True))
     return (
         scores.df.join(limits.small(), F.col("lang").eqNullSafe(F.col("_lang")), "left")
-        .select(scores.df["*"], (F.col("q1") - width).alias("low"), (F.col("q3") + width).alias("high"))
+        .select(scores.df["*"], F.least(F.col("q1") - width, F.col("q1") * LOW_SHARE).alias("low"), (F.col("q3") + width).alias("high"))
         .withColumn("base_failed", failed)
         .withColumn("kept", ~F.col("base_failed") & inside)
     )
