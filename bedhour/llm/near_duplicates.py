@@ -30,7 +30,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import (
@@ -361,17 +360,32 @@ def _confirm(docs: DataFrame, near: Stage, shingle: int, percent: int) -> Stage:
 
 
 def keep_one(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` that are kept: one document of each component. Rows
-    that share an id keep one row as well; null ids stay."""
+    """The rows of ``docs`` that are kept: those of one document of each
+    component. Rows that share id and text keep one row as well; rows of one id
+    with different texts, and null ids, stay."""
+    # Helping columns have names that docs does not have.
+    gone_id, again_id, row = (unused(docs, name) for name in ("_gone", "_again", "_row"))
     gone = Stage(
-        near_duplicates(docs, shingle, percent).where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct(),
+        near_duplicates(docs, shingle, percent).where(~F.col("kept")).select(F.col("doc_id").alias(gone_id)).distinct(),
         "near-gone",
     )
-    kept = docs.join(gone.small(), F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
-    ids = docs.where(F.col("doc_id").isNotNull()).groupBy("doc_id").count()
-    if ids.where(F.col("count") > 1).isEmpty():
+    kept = docs.join(gone.small(), docs["doc_id"].cast("long") == F.col(gone_id), "left_anti")
+    again = Stage(
+        docs.where(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias(again_id)).agg(F.count("*").alias(row)).where(F.col(row) > 1),
+        "near-again",
+    )
+    if again.df.isEmpty():
         return kept
-    # Rows of one id are few; those without an id stay out of the window.
-    first = W.partitionBy("doc_id").orderBy(F.xxhash64(*docs.columns))
-    numbered = kept.where(F.col("doc_id").isNotNull()).withColumn("_nth", F.row_number().over(first))
-    return numbered.where(F.col("_nth") == 1).select(*docs.columns).unionAll(kept.where(F.col("doc_id").isNull()))
+    same = F.col("doc_id") == F.col(again_id)
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    # Combined on the map side, so any number of equal rows is one per task.
+    one = kept.join(again.small(), same, "left_semi").groupBy("doc_id", "text").agg(
+        F.min_by(F.struct(*columns), F.xxhash64(*columns)).alias(row)
+    )
+    return kept.join(again.small(), same, "left_anti").unionAll(one.select(f"{row}.*"))
+
+
+def unused(docs: DataFrame, name: str) -> str:
+    while name in docs.columns:
+        name += "_"
+    return name

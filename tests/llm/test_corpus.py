@@ -121,6 +121,16 @@ def test_one_document_of_each_group_stays(odd, no_rows):
     assert near_duplicates.near_duplicates(no_rows).count() == 0
 
 
+def test_rows_of_one_id_and_names_that_clash(spark):
+    rows = [(1, "one two three four five six", 77, 5), (1, "one two three four five six", 77, 6), (1, "another text of the same id", 77, 7),
+            (2, "something quite different from the rest", 77, 8), (None, "one two three four five six", 77, 9), (None, None, 77, 9), (3, None, 77, 1), (3, None, 77, 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _nth int, _gone int").withColumn("_row", F.lit(1)).withColumn("_again", F.lit(2))
+    kept = near_duplicates.keep_one(docs)
+    assert kept.columns == docs.columns and {r._nth for r in kept.collect()} == {77}
+    got = Counter((r.doc_id, r.text) for r in kept.collect())
+    assert got == Counter({(i, t): 1 for i, t, *_ in rows})
+
+
 def test_components(spark):
     r = random.Random(8)
     pairs = [(r.randrange(300), r.randrange(300)) for _ in range(160)] + [(i, i + 1) for i in range(400, 460)] + [(5, 5)]
