@@ -5,10 +5,14 @@ key can put a third of the work into one task. Two ways avoid it:
 
 * the keyed side is under the session's broadcast limit, by Catalyst's estimate
   or by the bytes of the stage it was written to: it is broadcast;
-* otherwise the fact rows are counted per key (combined on the map side). A key
-  with more rows than one task should have is hot: its rows are dealt to as many
-  salts as it has such portions, and only its row of the keyed side is repeated,
-  once per salt. All other keys are joined as they are.
+* otherwise the rows of hot keys (more than one task should have) are dealt to
+  as many salts as they make portions, and only their rows of the keyed side are
+  repeated, once per salt. All other keys are joined as they are.
+
+Which keys are hot is known from the stages the fact rows come from: each was
+given a mergeable sketch of its frequent keys while it was written, so one pass
+serves every join. Rows of other origin are sketched by a subquery of the join
+itself. No job runs while a plan is built, but for writing small keyed tables.
 
 Adaptive execution may split a partition further, from the real shuffle sizes.
 """
@@ -18,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..sources import stored_bytes, write_stage
+from ..sources import frequent_keys, frequent_keys_of, stored_bytes, write_stage
 
 ROWS_PER_TASK = 1_000_000
 
@@ -32,13 +36,27 @@ def fits_broadcast(df: DataFrame) -> bool:
     return stored_bytes(df) <= broadcast_limit(df)
 
 
-def hot_keys(facts: DataFrame, on: list[str], rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    """Keys with more than ``rows_per_task`` rows, and ``_salts``, the number of
-    portions their rows make. There is at most one per ``rows_per_task`` rows."""
-    counts = facts.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-    return counts.where(F.col("_n") > rows_per_task).select(
-        *on, F.ceil(F.col("_n") / rows_per_task).cast("int").alias("_salts")
+def _portions(rows: int, rows_per_task: int) -> int:
+    return -(-rows // rows_per_task)
+
+
+def hot_keys(facts: DataFrame, on: list[str], rows_per_task: int = ROWS_PER_TASK) -> Column | None:
+    """Map from the hash of each hot key to the number of portions its rows make,
+    or None if it is known that no key is hot."""
+    known = frequent_keys_of(facts, on)
+    if known is not None:
+        hot = {k: _portions(n, rows_per_task) for k, n in known.items() if n > rows_per_task}
+        entries = [F.lit(x) for k, n in hot.items() for x in (F.lit(k).cast("long"), F.lit(n))]
+        return F.create_map(*entries) if hot else None
+    sketch = facts.agg(frequent_keys(on).alias("top")).select(
+        F.map_from_entries(
+            F.transform(
+                F.filter("top", lambda t: t["count"] > rows_per_task),
+                lambda t: F.struct(t["item"], F.ceil(t["count"] / rows_per_task).cast("int")),
+            )
+        )
     )
+    return sketch.scalar()
 
 
 def salted_join(
@@ -48,53 +66,63 @@ def salted_join(
     how: str = "inner",
     rows_per_task: int = ROWS_PER_TASK,
     spread: Column | None = None,
+    equal_rows: bool = False,
 ) -> DataFrame:
     """Join with hot keys spread over salts. ``how``: inner, left, left_semi or
     left_anti; every fact row meets all keyed rows of its key, as each salt of a
     hot key has a full copy of them.
 
     ``spread`` tells rows of a key apart; it must give a row the same value
-    again when a task is repeated. By default it is the row's content, so many
-    equal rows of a key should be counted before such a join.
+    again when a task is repeated. By default it is the row's content; where many
+    rows may be equal in all columns, ``equal_rows`` counts them first and gives
+    them back after the join, so they are one row in between.
     """
-    hot = write_stage(hot_keys(facts, on, rows_per_task))
-    if hot.isEmpty():
+    if equal_rows:
+        counted = facts.groupBy(*[F.col(f"`{c}`") for c in facts.columns]).agg(F.count(F.lit(1)).alias("_copies"))
+        joined = salted_join(counted, keyed, on, how, rows_per_task, spread)
+        return joined.withColumn("_copies", F.explode(F.sequence(F.lit(1).cast("long"), "_copies"))).drop("_copies")
+    hot = hot_keys(facts, on, rows_per_task)
+    if hot is None:
         return facts.join(keyed, on, how)
-    # Names of their own, so that nothing of the caller's is hidden.
-    hot = hot.select(*[F.col(f"`{c}`").alias(f"_hot_{i}") for i, c in enumerate(on)], "_salts")
-    hot = F.broadcast(hot) if fits_broadcast(hot) else hot
-
-    def with_salts(df: DataFrame) -> DataFrame:
-        same = [df[f"`{c}`"] == F.col(f"_hot_{i}") for i, c in enumerate(on)]
-        return df.join(hot, same, "left").drop(*[f"_hot_{i}" for i in range(len(on))])
-
+    key = F.xxhash64(*[F.col(f"`{c}`").cast(facts.schema[c].dataType) for c in on])
+    salts = F.coalesce(F.element_at(hot, key), F.lit(1))
     spread = F.xxhash64(*[F.col(f"`{c}`") for c in facts.columns]) if spread is None else spread
-    salts = F.coalesce("_salts", F.lit(1))
-    left = with_salts(facts).withColumn("_salt", F.pmod(spread, salts).cast("int")).drop("_salts")
-    right = with_salts(keyed).withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("_salts")
+    left = facts.withColumn("_salt", F.pmod(spread, salts).cast("int"))
+    right = keyed.withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1)))
     return left.join(right, [*on, "_salt"], how).drop("_salt")
 
 
 def balanced_join(
-    facts: DataFrame, keyed: DataFrame, on: str | list[str], how: str = "inner", rows_per_task: int = ROWS_PER_TASK
+    facts: DataFrame,
+    keyed: DataFrame,
+    on: str | list[str],
+    how: str = "inner",
+    rows_per_task: int = ROWS_PER_TASK,
+    equal_rows: bool = False,
 ) -> DataFrame:
     """Join that keeps hot keys spread, see the module text."""
     on = [on] if isinstance(on, str) else list(on)
     if fits_broadcast(keyed):
-        return facts.join(keyed, on, how)
-    return salted_join(facts, keyed, on, how, rows_per_task)
+        # Said, so that a small fact table is not the one that is broadcast.
+        return facts.join(F.broadcast(keyed), on, how)
+    return salted_join(facts, keyed, on, how, rows_per_task, equal_rows=equal_rows)
 
 
 def lookup_join(
-    facts: DataFrame, derived: DataFrame, on: str | list[str], how: str = "inner", rows_per_task: int = ROWS_PER_TASK
+    facts: DataFrame,
+    derived: DataFrame,
+    on: str | list[str],
+    how: str = "inner",
+    rows_per_task: int = ROWS_PER_TASK,
+    equal_rows: bool = False,
 ) -> DataFrame:
     """Join with a keyed table that was itself aggregated from large data (one
     row per label, say), where Catalyst's estimate says nothing. Such a table is
     written first; the bytes written decide."""
     on = [on] if isinstance(on, str) else list(on)
     if fits_broadcast(derived):
-        return facts.join(derived, on, how)
-    return balanced_join(facts, write_stage(derived), on, how, rows_per_task)
+        return facts.join(F.broadcast(derived), on, how)
+    return balanced_join(facts, write_stage(derived), on, how, rows_per_task, equal_rows)
 
 
 def stays_without(events: DataFrame, stays: DataFrame, key: str) -> DataFrame:

@@ -12,6 +12,7 @@ from .hours import BLOCK_HOURS, block_of
 
 BACK = 1
 AHEAD = 12
+STATES = ("no_circ", "circ", "ambiguous")
 
 
 def with_halo(

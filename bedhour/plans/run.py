@@ -4,7 +4,8 @@
 
 Every raw table is converted to Parquet once (a gzipped CSV can only be read by
 one task), then all stages work on that. With ``--run NAME`` a run that was
-stopped goes on after its last complete stage. The stages are removed at the end.
+stopped goes on after its last complete stage, as far as inputs, options and code
+are the same. The stages are removed at the end, unless ``--keep-stages``.
 """
 
 from __future__ import annotations
@@ -12,13 +13,13 @@ from __future__ import annotations
 import argparse
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import cohort, labels
-from ..operators.diagnosis import infection_codes
+from ..operators.diagnosis import infection_prefixes
 from ..session import build_session
-from ..sources import Stages, read_dictionary, read_raw
+from ..sources import Stages, file_position, read_dictionary, read_raw_observed
 from .dataset import MODES, TIME, final_dataset
 from .stages import Outliers
 
@@ -34,19 +35,52 @@ DICTIONARY_FILES = {
 }
 
 
-def to_parquet(tables: Mapping[str, DataFrame], stages: Stages) -> dict[str, DataFrame]:
-    """Each raw table read once and written with its fixed types."""
-    return {name: stages.write(table, f"source-{name}") for name, table in tables.items()}
+def to_parquet(tables: Mapping[str, tuple[DataFrame, Observation]], stages: Stages) -> dict[str, DataFrame]:
+    """Each raw table read once and written with its fixed types. The write
+    counts rows and unreadable values, and sketches frequent keys for the joins."""
+    return {name: stages.write(table, f"source-{name}", observations=[seen]) for name, (table, seen) in tables.items()}
 
 
-def write_reports(patient: DataFrame, final: DataFrame, output: str) -> None:
-    """Cohort figures, counts of the final table, and state transitions."""
+def source_report(spark: SparkSession, stages: Stages) -> DataFrame:
+    """``table, counter, value``: what was counted while the sources were read."""
+    rows = [
+        (name.removeprefix("source-"), counter, value)
+        for name, seen in stages.observed.items()
+        if name.startswith("source-")
+        for counter, value in seen.items()
+        if isinstance(value, int)
+    ]
+    return spark.createDataFrame(rows, "table string, counter string, value bigint")
+
+
+COUNTS = ("rows", "stays", "last_hour")
+
+
+def observe_final(final: DataFrame) -> tuple[DataFrame, Observation]:
+    """The final table with the counts that its reports need, taken as it is
+    written. Every stay has one row of hour 0."""
+    seen = Observation("final")
+    pairs = [
+        F.count_if((F.col("Annotation") == state) & (F.col("Shock_next_12h") == shock)).alias(f"{state} {shock}")
+        for state in labels.STATES
+        for shock in (0, 1)
+    ]
+    counts = [F.count(F.lit(1)).alias("rows"), F.count_if(F.col(TIME) == 0).alias("stays"), F.max(TIME).alias("last_hour")]
+    return final.observe(seen, *counts, *pairs), seen
+
+
+def write_reports(patient: DataFrame, seen: Mapping[str, int | None], sources: DataFrame, output: str) -> None:
+    """Cohort figures (from the patient table alone), what was counted while the
+    sources were read and the final table written: no scan of either."""
+    spark = patient.sparkSession
     labelled = cohort.mortality_label(cohort.visit_table(patient))
     cohort.cohort_summary(labelled).write.mode("overwrite").json(f"{output}/cohort")
-    final.agg(F.count("*").alias("rows"), F.countDistinct("patientunitstayid").alias("stays"), F.max(TIME).alias("last_hour")).write.mode(
-        "overwrite"
-    ).json(f"{output}/counts")
-    labels.label_crosstab(final).write.mode("overwrite").json(f"{output}/transitions")
+    counts = spark.createDataFrame([tuple(seen[k] for k in COUNTS)], ", ".join(f"{k} bigint" for k in COUNTS))
+    counts.write.mode("overwrite").json(f"{output}/counts")
+    pairs = [(state, shock, seen[f"{state} {shock}"]) for state in labels.STATES for shock in (0, 1)]
+    transitions = spark.createDataFrame([p for p in pairs if p[2]], "Annotation string, Shock_next_12h int, rows bigint")
+    transitions.write.mode("overwrite").json(f"{output}/transitions")
+    sources.write.mode("overwrite").json(f"{output}/sources")
 
 
 def run(
@@ -58,17 +92,24 @@ def run(
     run_name: str | None = None,
     reports: str | None = None,
     first_row_only: bool = False,
+    keep_stages: bool = False,
     **options,
-) -> None:
-    """``options`` go to ``final_dataset``."""
+) -> Stages:
+    """``options`` go to ``final_dataset``. With ``keep_stages`` the stages of a
+    named run stay, so that a later run by that name does over only what its
+    options or inputs change."""
     stages = Stages(spark, run_name)
-    tables = to_parquet(read_raw(spark, raw, suffix), stages)
+    tables = to_parquet(read_raw_observed(spark, raw, suffix), stages)
     names = {f: read_dictionary(spark, f"{dictionaries}/{file}") for f, file in DICTIONARY_FILES.items()}
-    codes = spark.read.option("header", True).csv(f"{dictionaries}/suspected_infection.csv")
-    final_dataset(tables, names, infection_codes(codes, first_row_only), stages=stages, **options).write.parquet(output)
+    listed = spark.read.option("header", True).csv(f"{dictionaries}/suspected_infection.csv")
+    codes = infection_prefixes(listed.withColumn("position", file_position()), first_row_only)
+    final, seen = observe_final(final_dataset(tables, names, codes, stages=stages, **options))
+    final.write.mode("overwrite" if keep_stages else "errorifexists").parquet(output)
     if reports:
-        write_reports(tables["patient"], spark.read.parquet(output), reports)
-    stages.remove()
+        write_reports(tables["patient"], seen.get, source_report(spark, stages), reports)
+    if not keep_stages:
+        stages.remove()
+    return stages
 
 
 def _outliers(low: float, high: float, impute: bool, on: bool) -> Outliers | None:
@@ -82,6 +123,7 @@ def parse(args: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("output")
     p.add_argument("--suffix", default=".csv.gz")
     p.add_argument("--run", help="name of the run; a stopped run of that name goes on")
+    p.add_argument("--keep-stages", action="store_true", help="keep the stages of a named run for the next one, and write OUTPUT over")
     p.add_argument("--reports", help="folder for cohort figures, counts and transitions")
     p.add_argument("--mode", choices=sorted(MODES), default="corrected")
     p.add_argument("--min-hours", type=int, default=24)
@@ -105,6 +147,7 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> No
         a.run,
         a.reports,
         a.first_infection_row,
+        a.keep_stages,
         mode=a.mode,
         min_hours=a.min_hours,
         required=a.required,

@@ -47,23 +47,6 @@ def test_infection_list_of_several_rows(spark):
     assert infection_codes(codes, first_row_only=True) == (["38", "4"], ["I44"])
 
 
-def test_a_run_goes_on_and_leaves_nothing(spark):
-    calls = []
-
-    def made(n):
-        calls.append(n)
-        return spark.range(n)
-
-    stages = Stages(spark, "resume-test")
-    assert stages.write(made(5), "a").count() == 5
-    again = Stages(spark, "resume-test")
-    assert again.complete("a") and not again.complete("b")
-    assert again.write(made(9), "a").count() == 5  # the written stage, not the new one
-    again.remove()
-    files, at = hadoop_path(spark, again.folder)
-    assert not files.exists(at)
-
-
 def test_command_line(spark, tmp_path):
     """Every switch is read, the output and reports are written, the stages go."""
     raw = A.raw_tables(spark, "/root/testdata/sf0.001")
