@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import to_number
-from ..sources import write_stage
 from .joins import lookup_join
 
-ACCURACY = 10_000
-BINS = 4_096
+# Bins per doubling of the value, the number that no bin of a finite value
+# reaches, and parts of a bin.
+PER_DOUBLING = 256
+BEYOND = PER_DOUBLING * 1_100
+PARTS = 1 << 22
 
 
 def coerce_numeric(events: DataFrame, value: str) -> DataFrame:
@@ -21,117 +23,87 @@ def coerce_numeric(events: DataFrame, value: str) -> DataFrame:
     )
 
 
+def _bin(v: Column) -> Column:
+    """Whole number that never falls as the value rises: ``PER_DOUBLING`` bins
+    for each power of two, mirrored for negative values; infinite values and NaN
+    (above all others) have bins of their own."""
+    size = F.abs(v)
+    finite = F.floor(F.log2(size) * PER_DOUBLING).cast("long") + BEYOND
+    place = F.when(v == 0, 0).when(size < float("inf"), finite).otherwise(2 * BEYOND)
+    return F.when(F.isnan(v), F.lit(3 * BEYOND)).when(v < 0, -place).otherwise(place).cast("long")
+
+
+def _holding(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """Of the bins under the same keys, those that hold the ranks wanted: rows of
+    ``_c`` values each, ``_before`` of them before the first bin. ``_before``
+    becomes the number before each bin."""
+    upto = F.col("_before") + F.sum("_c").over(W.partitionBy(*keys).orderBy(order))
+    counted = rows.withColumn("_upto", upto).withColumn("_before", F.col("_upto") - F.col("_c"))
+    below = F.floor("rank")
+    return counted.where((F.col("_upto") > below) & (F.col("_before") <= below + 1)).drop("_c", "_upto")
+
+
 def percentile_bounds(
-    events: DataFrame,
-    label: str,
-    value: str,
-    low: float = 2,
-    high: float = 98,
-    accuracy: int = ACCURACY,
-    slack: float | None = None,
+    events: DataFrame, label: str, value: str, low: float = 2, high: float = 98, parts: int = PARTS
 ) -> DataFrame:
     """Exact linear-interpolated percentiles per label: ``label, n, lo, hi``.
 
-    A label may hold a third of all rows, so its values are never gathered into
-    one group. A first pass takes a mergeable quantile sketch per label, which
-    brackets each percentile by ``slack`` on either side (default
-    ``4 / accuracy``); a second pass counts the rows under the bracket (combined
-    on the map side) and orders distinct values inside it, see
-    ``_within_brackets``. That pass also proves the bracket: the two ranks the
-    interpolation needs must lie in it. Labels where they do not go into another
-    round with a wider bracket; the widest holds all values.
+    A label may hold a third of all rows, so its values are never gathered. A
+    first pass counts values per bin, by their leading digits; the bins that hold
+    the wanted ranks are a few rows per label. A second pass takes the values in
+    those bins, equal ones as a count, and counts them per part of a bin, by the
+    following digits; only the values of the part that holds a rank are put in
+    order. Every count is combined on the map side.
     """
-    probs = [low / 100.0, high / 100.0]
-    slack = 4.0 / accuracy if slack is None else slack
     rows = events.select(F.col(label).alias("_l"), F.col(value).cast("double").alias("_v")).where(
         F.col("_l").isNotNull() & F.col("_v").isNotNull()
     )
-    done: DataFrame | None = None
-    while True:
-        found = write_stage(_within_brackets(rows, probs, accuracy, slack))
-        proven = found.where("_ok")
-        done = proven if done is None else done.unionByName(proven)
-        left = found.where(~F.col("_ok")).select("_l")
-        if slack >= 1 or left.isEmpty():
-            break
-        rows = lookup_join(rows, left, "_l", "left_semi")
-        slack *= 16
-    if slack >= 1 and not left.isEmpty():
-        raise ArithmeticError("a percentile is not among the values of its label")
-    return done.select(F.col("_l").alias(label), F.col("_n").alias("n"), "lo", "hi")
-
-
-def _within_brackets(rows: DataFrame, probs: list[float], accuracy: int, slack: float) -> DataFrame:
-    """``_l, _n, lo, hi`` and whether both brackets hold their ranks (``_ok``).
-
-    The values in a bracket are counted per bin first; only the bins that hold
-    the ranks have their values put in order.
-    """
-    edges = [min(max(p + d, 0.0), 1.0) for p in probs for d in (-slack, slack)]
-    sketch = rows.groupBy("_l").agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.min("_v").alias("_min"),
-        F.max("_v").alias("_max"),
-        F.percentile_approx("_v", F.array(*[F.lit(e) for e in edges]), accuracy).alias("_e"),
-    )
-
-    def bracket(i: int):
-        p = probs[i]
-        return F.struct(
-            F.lit(i).alias("i"),
-            ((F.col("_n").cast("double") - 1) * F.lit(p)).alias("rank"),
-            (F.col("_min") if p <= slack else F.col("_e")[2 * i]).alias("from"),
-            (F.col("_max") if p >= 1 - slack else F.col("_e")[2 * i + 1]).alias("to"),
-        )
-
-    brackets = sketch.select("_l", "_n", F.array(bracket(0), bracket(1)).alias("_b"))
-    hit = (
-        lookup_join(rows, brackets, "_l")
-        .select("_l", "_n", "_v", F.inline("_b"))
-        .where(F.col("_v") <= F.col("to"))
-        # Rows under the bracket share the null value, so they only add a count.
-        .withColumn("_v", F.when(F.col("_v") >= F.col("from"), F.col("_v")))
+    bins = rows.groupBy("_l", _bin(F.col("_v")).alias("_bin")).agg(
+        F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_from"), F.max("_v").alias("_to")
     )
-    keys = ["_l", "_n", "i", "rank"]
-    counted = hit.groupBy(*keys, "from", "to", "_v").agg(F.count(F.lit(1)).alias("_c"))
-    share = F.try_divide(F.col("_v") - F.col("from"), F.col("to") - F.col("from"))
-    # Where a bracket is empty or has no finite width, one bin holds it all.
+    bins = bins.withColumn("_n", F.sum("_c").over(W.partitionBy("_l"))).withColumn("_before", F.lit(0).cast("long"))
+    ranks = [
+        F.struct(F.lit(i).alias("i"), ((F.col("_n").cast("double") - 1) * F.lit(p / 100.0)).alias("rank"))
+        for i, p in enumerate((low, high))
+    ]
+    wanted = _holding(bins.select("*", F.inline(F.array(*ranks))), ["_l", "i"], "_bin")
+    # At most four bins per label.
+    v = F.col("_v")
+    hit = lookup_join(rows, wanted, "_l", equal_rows=True).where(v.between(F.col("_from"), F.col("_to")))
+    fields = ["i", "_bin", "_n", "rank", "_before", "_from", "_to"]
+    inside = hit.groupBy("_l", *fields, "_v").agg(F.count(F.lit(1)).alias("_c"))
+    share = F.try_divide(v - F.col("_from"), F.col("_to") - F.col("_from"))
+    # A bin without a finite width is one part.
     share = F.when(F.abs(share) <= 1, share).otherwise(F.lit(0.0))
-    place = F.least(F.floor(share * BINS), F.lit(BINS - 1)).cast("int")
-    counted = counted.withColumn("_bin", F.when(F.col("_v").isNull(), F.lit(-1)).otherwise(place))
+    inside = inside.withColumn("_part", F.least(F.floor(share * parts), F.lit(parts - 1)))
+    keys = ["_l", "i", "_bin"]
+    sums = inside.groupBy(*keys, "_n", "rank", "_before", "_part").agg(F.sum("_c").alias("_c"))
+    narrow = _holding(sums, keys, "_part").select(*keys, "_part", F.col("_before").alias("_first"))
+
+    ordered = W.partitionBy(*keys, "_part").orderBy("_v")
+    last = inside.join(narrow, [*keys, "_part"]).withColumn("_upto", F.col("_first") + F.sum("_c").over(ordered))
     below = F.floor("rank")
 
-    binned = counted.groupBy(*keys, "_bin").agg(F.sum("_c").alias("_c"))
-    upto = F.sum("_c").over(W.partitionBy("_l", "i").orderBy("_bin"))
-    binned = binned.withColumn("_upto", upto)
-    proof = binned.groupBy("_l", "i").agg(
-        F.coalesce(F.max(F.when(F.col("_bin") < 0, F.col("_c"))), F.lit(0)).alias("_under"), F.max("_upto").alias("_all")
-    )
-    wanted = binned.where((F.col("_upto") > below) & (F.col("_upto") - F.col("_c") <= below + 1)).select(
-        "_l", "i", "_bin", (F.col("_upto") - F.col("_c")).alias("_before")
-    )
-    inside = counted.join(wanted, ["_l", "i", "_bin"]).where(F.col("_v").isNotNull())
-    ordered = W.partitionBy("_l", "i", "_bin").orderBy("_v")
-    inside = inside.withColumn("_cum", F.col("_before") + F.sum("_c").over(ordered))
-    ranked = inside.groupBy(*keys).agg(
-        F.min(F.when(F.col("_cum") > below, F.col("_v"))).alias("a"),
-        F.min(F.when(F.col("_cum") > below + 1, F.col("_v"))).alias("b"),
-    )
-    # At the last rank there is no next value; its weight is 0 there.
-    at = F.col("a") + (F.coalesce("b", "a") - F.col("a")) * (F.col("rank") - below)
-    holds = (F.col("_under") <= below) & (F.col("_all") >= F.least(below + 2, F.col("_n"))) & at.isNotNull()
-    both = proof.join(ranked, ["_l", "i"], "left").select("_l", "_n", "i", at.alias("at"), F.coalesce(holds, F.lit(False)).alias("ok"))
-    return both.groupBy("_l").agg(
-        F.max("_n").alias("_n"),
-        F.max(F.when(F.col("i") == 0, F.col("at"))).alias("lo"),
-        F.max(F.when(F.col("i") == 1, F.col("at"))).alias("hi"),
-        F.min("ok").alias("_ok"),
+    def first(i: int, beyond: Column) -> Column:
+        return F.min(F.when((F.col("i") == i) & (F.col("_upto") > beyond), F.col("_v")))
+
+    found = last.groupBy("_l").agg(
+        F.max("_n").alias("n"),
+        *[F.max(F.when(F.col("i") == i, F.col("rank"))).alias(f"_r{i}") for i in (0, 1)],
+        *[first(i, below + k).alias(f"_v{i}{k}") for i in (0, 1) for k in (0, 1)],
     )
 
+    def at(i: int) -> Column:
+        a, rank = F.col(f"_v{i}0"), F.col(f"_r{i}")
+        # At the last rank there is no next value; its weight is 0 there.
+        return a + (F.coalesce(f"_v{i}1", a) - a) * (rank - F.floor(rank))
+
+    return found.select(F.col("_l").alias(label), "n", at(0).alias("lo"), at(1).alias("hi"))
+
 
 def outlier_trim(events: DataFrame, bounds: DataFrame, label: str, value: str) -> DataFrame:
     """Drop rows strictly outside their label's bounds."""
-    joined = lookup_join(events, bounds.select(label, "lo", "hi"), label, "left")
+    joined = lookup_join(events, bounds.select(label, "lo", "hi"), label, "left", equal_rows=True)
     inside = (F.col(value) >= F.col("lo")) & (F.col(value) <= F.col("hi"))
     kept = F.col(value).isNotNull() & F.coalesce(inside, F.lit(True))
     return joined.where(kept).select(*events.columns)
@@ -139,7 +111,7 @@ def outlier_trim(events: DataFrame, bounds: DataFrame, label: str, value: str) -
 
 def outlier_winsorize(events: DataFrame, bounds: DataFrame, label: str, value: str) -> DataFrame:
     """Move values outside their label's bounds onto the bound."""
-    joined = lookup_join(events, bounds.select(label, "lo", "hi"), label, "left")
+    joined = lookup_join(events, bounds.select(label, "lo", "hi"), label, "left", equal_rows=True)
     # Both skip nulls, so a row without a label keeps its value.
     clamped = F.greatest(F.col("lo"), F.least(F.col("hi"), F.col(value)))
     return (
