@@ -9,8 +9,10 @@ Shape of the job, whatever the number of families and labels:
 3. each filled row is repeated over the hours up to the next one, which gives
    the full grid without ever shuffling it.
 
-A block starts from what is known before it: the last values of earlier blocks
-come from a one-row-per-block summary of the same shuffle.
+A block starts from what is known before it. Where a stay has several blocks,
+the last cell of a feature is sent ahead to the blocks up to its next cell (a
+prefix scan over the cells, before the pivot). There it is an ordinary cell of
+the hour before the block, and fills like any other.
 """
 
 from __future__ import annotations
@@ -120,7 +122,9 @@ def hourly_cells(streams: Mapping[str, Stream]) -> DataFrame:
     for stream in streams.values():
         part = _long(stream)
         rows = part if rows is None else rows.unionByName(part)
-    return rows.groupBy(STAY, "los", "feature", "hour").agg(F.avg("value").alias("value"))
+    # The stay's length is not a key: tests on it stay above the shuffle, which
+    # all readers of the cells can then share.
+    return rows.groupBy(STAY, "feature", "hour").agg(F.avg("value").alias("value"), F.max("los").alias("los"))
 
 
 def long_table(streams: Mapping[str, Stream]) -> DataFrame:
@@ -158,27 +162,38 @@ def long_table(streams: Mapping[str, Stream]) -> DataFrame:
     return joined.select(STAY, "family", "label", "hour", until.cast("bigint").alias("until"), "value").where("until > hour")
 
 
-def _block_starts(
-    rows: DataFrame, columns: list[str], held: list[str], has: Mapping[str, list[str]], block_hours: int, back: int
+def _sent_ahead(
+    cells: DataFrame, held: list[str], has: Mapping[str, list[str]], block_hours: int, back: int
 ) -> DataFrame:
-    """Per (stay, block): each held value as known before the block, and whether
-    the stay has any value of the ``has`` column groups. One row per block, so
-    the window over a stay is short even for a very long stay."""
-    before_next = F.col("hour") < (F.col("block") + 1) * block_hours - back
-    last = F.max_by("value", F.when(before_next, F.col("hour")))
-    tails = rows.groupBy(STAY, "block").pivot("feature", columns).agg(last)
-    earlier = W.partitionBy(STAY).orderBy("block").rowsBetween(W.unboundedPreceding, -1)
-    whole = W.partitionBy(STAY).orderBy("block").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-    return tails.select(
-        STAY,
-        "block",
-        *[F.last(col(c), ignorenulls=True).over(earlier).alias(f"_in_{c}") for c in held],
-        *[
-            F.max(F.coalesce(*map(col, group)).isNotNull() if group else F.lit(False)).over(whole).alias(name)
-            for name, group in has.items()
-        ],
+    """Cells ``stay, block, feature, value`` that blocks get from earlier ones:
+    the last value of each held feature, for the blocks up to its next value, and
+    for every block of the stay which of the ``has`` groups have any value. Cells
+    are combined to one per block and feature first, so the window over a stay
+    is short however long it is."""
+    name = F.col("feature")
+    wanted = {*held, *(f for group in has.values() for f in group)}
+    # What a block sees of the hours before it are cells of its own.
+    known = cells.where(name.isin(sorted(wanted))).withColumn("_in", block_of(F.col("hour") + back, block_hours))
+    tails = known.groupBy(STAY, "feature", "_in").agg(
+        F.max_by("value", "hour").alias("value"), F.max(block_of(F.col("los") - 1, block_hours)).alias("_last")
+    )
+    order = W.partitionBy(STAY, "feature").orderBy("_in")
+    tails = tails.withColumn("_until", F.least(F.lead("_in").over(order), "_last")).withColumn(
+        "_nth", F.row_number().over(order)
     )
 
+    def sent(condition: Column, feature: Column, first: Column, last: Column, value: Column) -> Column:
+        return F.when(condition, F.struct(feature.alias("feature"), first.alias("_from"), last.alias("_to"), value.alias("value")))
+
+    ahead = [sent(name.isin(held), name, F.col("_in") + 1, F.col("_until"), F.col("value"))] if held else []
+    present = [
+        sent((F.col("_nth") == 1) & name.isin(group), F.lit(flag), F.lit(0).cast("long"), F.col("_last"), F.lit(1.0))
+        for flag, group in has.items()
+        if group
+    ]
+    ranges = tails.select(STAY, F.inline(F.array_compact(F.array(*ahead, *present)))).where(F.col("_to") >= F.col("_from"))
+    return ranges.select(STAY, F.explode(F.sequence("_from", "_to")).alias("block"), "feature", "value")
+
 
 def tabularize(
     stays: DataFrame,
@@ -209,20 +224,21 @@ def tabularize(
         labels = cell_labels(cells, streams)
     columns, held, outputs, has = _plan_columns(streams, labels)
 
+    # Hours of a block's rows: its own and the halo. The marker, and what was
+    # sent ahead, stand one hour before.
     lower = F.greatest(F.lit(0), F.col("block") * block_hours - back)
     upper = F.least(F.col("los"), (F.col("block") + 1) * block_hours + ahead) - 1
     blocks = stay_blocks(stays.select(STAY, "los", *static), block_hours, hash_partitions=False)
+    before = (lower - 1).alias("hour")
     markers = blocks.select(
-        STAY,
-        "block",
-        lower.alias("hour"),
-        F.lit(None).cast("string").alias("feature"),
-        F.lit(None).cast("double").alias("value"),
+        STAY, "block", before, F.lit(None).cast("string").alias("feature"), F.lit(None).cast("double").alias("value")
     )
     first_block = F.greatest(F.lit(0).cast("bigint"), block_of(F.col("hour") - ahead, block_hours))
     last_block = F.least(block_of(F.col("los") - 1, block_hours), block_of(F.col("hour") + back, block_hours))
     copies = F.explode(F.sequence(first_block, last_block)) if back or ahead else block_of("hour", block_hours)
-    real = cells.withColumn("block", copies).select(STAY, "block", "hour", "feature", "value")
+    rows = markers.unionByName(cells.withColumn("block", copies).select(STAY, "block", "hour", "feature", "value"))
+    if held or any(has.values()):
+        rows = rows.unionByName(_sent_ahead(cells, held, has, block_hours, back).withColumn("hour", before))
 
     # The one shuffle that pivot, fill and everything keyed by (stay, block)
     # after it share. The number of partitions follows the written cells and is
@@ -230,11 +246,8 @@ def tabularize(
     partitions = int(stays.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if store_cells:
         partitions = max(partitions, -(-stored_bytes(cells) // CELL_BYTES))
-    # The join below implies the null test; said here, it holds for both readers
-    # of the shuffle, which lets Spark run it once for the two.
-    rows = markers.unionByName(real).where(F.col(STAY).isNotNull() & F.col("block").isNotNull())
     rows = rows.repartition(partitions, STAY, "block")
-    wide = rows.groupBy(STAY, "block", "hour").pivot("feature", columns).agg(F.first("value"))
+    wide = rows.groupBy(STAY, "block", "hour").pivot("feature", [*columns, *has]).agg(F.first("value"))
     order = W.partitionBy(STAY, "block").orderBy("hour")
     so_far = order.rowsBetween(W.unboundedPreceding, W.currentRow)
     held_set = set(held)
@@ -243,20 +256,14 @@ def tabularize(
         "block",
         F.col("hour").alias("_at"),
         F.lead("hour").over(order).alias("_next"),
+        *[F.last(col(name), ignorenulls=True).over(so_far).isNotNull().alias(name) for name in has],
         *[(F.last(col(c), ignorenulls=True).over(so_far) if c in held_set else col(c)).alias(c) for c in columns],
     )
-    # All three are hashed by (stay, block), and no block outgrows its hours.
-    starts = _block_starts(rows, columns, held, has, block_hours, back)
-    joined = filled.join(starts, [STAY, "block"]).join(blocks, [STAY, "block"])
-    known = joined.select(
-        STAY,
-        "block",
-        "_at",
-        F.explode(F.sequence("_at", F.coalesce(F.col("_next") - 1, upper))).alias("hour"),
-        "los",
-        *static,
-        *has,
-        *[(F.coalesce(col(c), col(f"_in_{c}")) if c in held_set else col(c)).alias(c) for c in columns],
+    # Both are hashed by (stay, block), and no block outgrows its hours.
+    joined = filled.join(blocks, [STAY, "block"])
+    first, last = F.greatest(F.col("_at"), lower), F.coalesce(F.col("_next") - 1, upper)
+    known = joined.where(first <= last).select(
+        STAY, "block", "_at", F.explode(F.sequence(first, last)).alias("hour"), "los", *static, *has, *map(col, columns)
     )
     is_halo = block_of("hour", block_hours) != F.col("block")
     return known.select(
