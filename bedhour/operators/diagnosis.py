@@ -85,6 +85,56 @@ def infection_codes(codes: DataFrame, first_row_only: bool = False) -> tuple[lis
     return list(found[9]), list(found[10])
 
 
+def infection_prefixes(codes: DataFrame, first_row_only: bool = False) -> DataFrame:
+    """``version, prefix`` (``icd9`` or ``icd10``, without dots) from the same
+    table as ``infection_codes`` takes. It stays a table, whatever its length."""
+    version = F.col("icd_version").cast("int")
+    rows = codes.where(version.isin(9, 10) & F.col("icd_code").isNotNull())
+    if first_row_only:
+        at = F.col("position") if "position" in codes.columns else F.monotonically_increasing_id()
+        rows = rows.withColumn("_at", at).groupBy(version.alias("icd_version")).agg(F.min_by("icd_code", "_at").alias("icd_code"))
+    each = rows.select(F.concat(F.lit("icd"), F.col("icd_version").cast("int")).alias("version"), F.explode(F.split("icd_code", ",")).alias("_p"))
+    return each.select("version", F.replace(F.trim("_p"), F.lit("."), F.lit("")).alias("prefix")).where("prefix <> ''").distinct()
+
+
+def prefix_table(infection: DataFrame, myocarditis_from_arrhythmia: bool = False) -> tuple[DataFrame, list[str]]:
+    """``grp, version, prefix`` of all groups, and the names of the groups."""
+    fixed = {
+        "Myocarditis" if name == "Arrhythmia" and myocarditis_from_arrhythmia else name: prefixes
+        for name, prefixes in DIAGNOSIS_PREFIXES.items()
+        if not (myocarditis_from_arrhythmia and name == "Myocarditis")
+    }
+    rows = [(name, "icd10", p.replace(".", "")) for name, prefixes in fixed.items() for p in prefixes]
+    listed = infection.sparkSession.createDataFrame(rows, "grp string, version string, prefix string")
+    names = ["suspected_infection", *(n for n in diagnosis_groups(myocarditis_from_arrhythmia) if n != "suspected_infection")]
+    return infection.select(F.lit("suspected_infection").alias("grp"), "version", "prefix").unionByName(listed), names
+
+
+def code_groups(codes: DataFrame, prefixes: DataFrame) -> DataFrame:
+    """``version, code, groups``: the groups of every different code. A code is
+    cut to each length the list has, and the cuts are joined to it by equality."""
+    each = F.explode(F.array(*[F.struct(F.lit(v).alias("version"), F.col(v).alias("code")) for v in ("icd9", "icd10")]))
+    different = codes.select(each.alias("_c")).select("_c.*").where(F.col("code").isNotNull()).distinct()
+    lengths = prefixes.agg(F.collect_set(F.length("prefix")).alias("n")).scalar()
+    cuts = different.select("version", "code", F.explode(lengths).alias("_n")).where(F.col("_n") <= F.length("code"))
+    cuts = cuts.select("version", "code", F.expr("substring(code, 1, _n)").alias("prefix"))
+    listed = prefixes.groupBy("version", "prefix").agg(F.collect_set("grp").alias("groups"))
+    hits = lookup_join(cuts, listed, ["version", "prefix"])
+    return hits.groupBy("version", "code").agg(F.array_distinct(F.flatten(F.collect_set("groups"))).alias("groups"))
+
+
+def stay_flags_by_table(codes: DataFrame, prefixes: DataFrame, names: list[str]) -> DataFrame:
+    """``stay_flags`` with the groups as a table of prefixes."""
+    groups = code_groups(codes, prefixes)
+    found = codes.select(STAY, "icd9", "icd10")
+    for v in ("icd9", "icd10"):
+        of_version = groups.where(F.col("version") == v).select(F.col("code").alias(v), F.col("groups").alias(f"_{v}"))
+        found = lookup_join(found, of_version, v, "left")
+    none = F.array().cast("array<string>")
+    either = F.concat(F.coalesce("_icd9", none), F.coalesce("_icd10", none))
+    return found.groupBy(STAY).agg(*[F.max(F.array_contains(either, F.lit(n)).cast("int")).alias(n) for n in names])
+
+
 def matched_codes(codes: DataFrame, groups: Mapping[str, Column]) -> DataFrame:
     """Distinct (stay, group) pairs with at least one matching code."""
     hits = F.array_compact(F.array(*[F.when(cond, F.lit(name)) for name, cond in groups.items()]))

@@ -136,7 +136,7 @@ SHARED = {
 def final_dataset(
     raw: Mapping[str, DataFrame],
     dictionaries: Mapping[str, DataFrame],
-    infection_codes: tuple[list[str], list[str]] = ((), ()),
+    infection_codes: tuple[list[str], list[str]] | DataFrame = ((), ()),
     mode: str | Mode = "corrected",
     min_hours: int = 24,
     required: list[str] | None = None,
@@ -148,7 +148,8 @@ def final_dataset(
     feature_labels: Mapping[str, list[str]] | None = None,
     stages: Stages | None = None,
 ) -> DataFrame:
-    """Raw tables to one labelled row per stay and hour.
+    """Raw tables to one labelled row per stay and hour. ``infection_codes`` are
+    two short lists, or a table as ``infection_prefixes`` gives.
 
     Everything that depends on the stay alone (diagnoses, cultures, category
     codes) is joined to the stay table; everything that depends on the hour
@@ -176,10 +177,13 @@ def final_dataset(
         events[family] = stages.write(events[family], f"events-{family}")
     stays = restrict_cohort(base, events, min_hours, required)
 
-    groups = diagnosis.diagnosis_groups(
-        rules.myocarditis_from_arrhythmia, list(infection_codes[0]), list(infection_codes[1])
-    )
-    coded = diagnosis.stay_flags(diagnosis.split_codes(raw["diagnosis"]), groups)
+    codes = diagnosis.split_codes(raw["diagnosis"])
+    if isinstance(infection_codes, DataFrame):
+        prefixes, groups = diagnosis.prefix_table(infection_codes, rules.myocarditis_from_arrhythmia)
+        coded = diagnosis.stay_flags_by_table(codes, prefixes, groups)
+    else:
+        groups = diagnosis.diagnosis_groups(rules.myocarditis_from_arrhythmia, *map(list, infection_codes))
+        coded = diagnosis.stay_flags(codes, groups)
     cultured = diagnosis.culture_stays(raw["treatment"], cultures)
     attributes = tabular.encode_labels(stays, ["gender", "ethnicity"])
     attributes = (

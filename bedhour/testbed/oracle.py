@@ -1071,3 +1071,62 @@ for _query, _mode, _rates, _sofa in (
            Sofa_Respiration, Sofa_Coagulation, Sofa_Liver, Sofa_Cardiovascular, Sofa_GCS, Sofa_Urine, SoFa_score, Annotation, Shock_next_12h """
         + f"FROM f_next_{_mode}",
     )
+
+# ---- runs, counters, long forms ------------------------------------------
+
+oracle(
+    "stages_resumed",
+    "stays",
+    "SELECT patientunitstayid, los, 'reused' AS cohort, 'plan' AS stays FROM stays WHERE los >= 700",
+)
+oracle(
+    "read_counters",
+    "lab_all",
+    """SELECT 'lab' AS "table", unnest(['read', 'rows', 'bad labid', 'bad patientunitstayid', 'bad labresultoffset', 'far labresultoffset'])
+       AS counter, unnest([count(*), count(*), 0, 0, count(*) FILTER (labid % 7 = 0), 0]) AS value FROM lab_all WHERE NOT custom""",
+)
+_EVER = "CAST(max(coalesce(CAST({test} AS INTEGER), 0)) AS INTEGER) AS {name}"
+oracle(
+    "dx_prefix_table",
+    "dx",
+    "SELECT patientunitstayid, "
+    + ", ".join(
+        _EVER.format(
+            test=test
+            if name != "suspected_infection"
+            else "(icd10[:4] IN (SELECT icd10[:4] FROM dx WHERE icd10 LIKE 'I%' AND length(icd10) > 3 AND ascii(icd10[4:4]) % 2 = 0))",
+            name=name.replace("-", "_"),
+        )
+        for name, test in GROUP_TESTS.items()
+    )
+    + " FROM dx GROUP BY patientunitstayid",
+)
+
+
+def held(points: str, family: str) -> str:
+    return f"""SELECT patientunitstayid, '{family}' AS family, label, hour, los, avg(value) AS value,
+       coalesce(lead(hour) OVER (PARTITION BY patientunitstayid, label ORDER BY hour), los) AS until
+       FROM {points} GROUP BY patientunitstayid, label, hour, los"""
+
+
+cte(
+    "infusion_cells",
+    "infusion_iv stays",
+    """SELECT i.patientunitstayid, drugname AS label, start_hour AS hour, avg(stop_hour) AS stop, los,
+       avg(coalesce(amount, 0)) AS amount, avg(coalesce(infusionrate, 0)) AS rate
+       FROM infusion_iv i JOIN stays s USING (patientunitstayid) WHERE start_hour > 0 GROUP BY ALL""",
+)
+cte(
+    "infusion_runs",
+    "infusion_cells",
+    """SELECT *, CAST(least(ceil(stop), lead(hour, 1, los) OVER (PARTITION BY patientunitstayid, label ORDER BY hour), los) AS BIGINT) AS until
+       FROM infusion_cells""",
+)
+oracle(
+    "tabular_long",
+    "chart_pts lab_pts infusion_runs",
+    f"""SELECT patientunitstayid, family, label, hour, until, round(value, 6) AS value FROM (
+       {held('chart_pts', 'chart')} UNION ALL {held('lab_pts', 'lab')}) WHERE until > hour
+       UNION ALL SELECT patientunitstayid, unnest(['ing', 'rate']), label, hour, until, round(unnest([amount, rate]), 6)
+       FROM infusion_runs WHERE until > hour""",
+)

@@ -6,6 +6,7 @@ print the same value.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -34,7 +35,8 @@ from ..operators import (
 from ..operators.tabular import Stream
 from ..plans.dataset import ADDED_FLUID, Mode, crystalloid_intervals, final_dataset
 from ..plans.stages import Outliers, clean_events
-from ..sources import Stages, read_table, write_stage
+from ..plans.run import source_report
+from ..sources import Stages, hadoop_path, read_observed, read_table, write_stage
 from ..sources import read_dictionary as read_names
 from . import adapter as A
 
@@ -181,6 +183,31 @@ def read_csv_roundtrip(s, d):
     return read_table(s, folder.path("infusionDrug.csv"), "infusionDrug")
 
 
+@query
+def read_counters(s, d):
+    """What was counted while raw tables with odd values were read and written."""
+    folder = Stages(s)
+    rows = raw(s, d, "lab").withColumn("labresultoffset", F.when(F.col("labid") % 7 == 0, F.lit("late")).otherwise(F.col("labresultoffset").cast("string")))
+    rows.withColumn("labid", F.when(F.col("labid") % 11 != 0, F.col("labid"))).write.option("header", True).csv(folder.path("lab.csv"))
+    table, seen = read_observed(s, folder.path("lab.csv"), "lab")
+    folder.write(table, "source-lab", observations=[seen])
+    return source_report(s, folder)
+
+
+@query
+def stages_resumed(s, d):
+    """A named run done again with another option: the stage follows the option."""
+    name = f"resumed-{uuid.uuid4().hex}"
+    for hours_least in (24, 700):
+        stages = Stages(s, name)
+        base = stages.write(stays(s, d).select(STAY, "los"), "cohort")
+        kept = stages.write(cohort.min_stay(base, hours_least), "stays")
+    files, at = hadoop_path(s, stages.folder)
+    files.deleteOnExit(at)
+    why = F.create_map(*[F.lit(x) for pair in stages.history.items() for x in pair])
+    return kept.select(STAY, "los", why["cohort"].alias("cohort"), why["stays"].alias("stays"))
+
+
 @query
 def read_dictionary(s, d):
     """A label dictionary as CSV, of whose repeated labels the last entry counts."""
@@ -586,6 +613,14 @@ def tabular_wide(s, d):
     )
 
 
+@query
+def tabular_long(s, d):
+    """The long form, for more labels than a table has columns."""
+    st, events = shared(s, d)
+    streams = {**hold_streams(s, d, st, events), "ing": infusion_stream(s, d, st, events)}
+    return tabular.long_table(streams).withColumn("value", r("value"))
+
+
 @query
 def integrate_static(s, d):
     st = tabular.encode_labels(stays(s, d), ["gender", "ethnicity"])
@@ -845,6 +880,19 @@ def dx_flags(s, d):
     return out.select(STAY, *[col(n).alias(n.replace("-", "_")) for n in names])
 
 
+@query
+def dx_prefix_table(s, d):
+    """Infection codes as a table: a list of all parts' code stems, far longer
+    than what a plan should hold, beside the fixed groups."""
+    codes = diagnosis.split_codes(raw(s, d, "diagnosis"))
+    listed = codes.select(
+        F.lit(10).alias("icd_version"), F.concat_ws(", ", F.substring("icd10", 1, 4), F.concat(F.lit("Z."), "icd10")).alias("icd_code")
+    ).where(F.col("icd10").like("I%") & (F.length("icd10") > 3) & (F.ascii(F.substring("icd10", 4, 1)) % 2 == 0))
+    prefixes, names = diagnosis.prefix_table(diagnosis.infection_prefixes(listed))
+    out = diagnosis.stay_flags_by_table(codes, prefixes, names)
+    return out.select(STAY, *[col(n).alias(n.replace("-", "_")) for n in names])
+
+
 @query
 def treatment_flag(s, d):
     found = diagnosis.culture_stays(raw(s, d, "treatment"), ["t1"])

@@ -1,6 +1,7 @@
 """Hand-made cases for the rules that random data rarely meets."""
 
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -291,6 +292,39 @@ def test_prefix_lists_of_any_length(spark):
     assert {r.icd10: r.hit for r in found.collect()} == {"A0001x": True, "A000": False, "E999": True, "E19999": False, "F0001": False}
 
 
+def test_a_list_of_any_length_stays_a_table(spark):
+    """200,000 prefixes: nothing is collected and no list gets into the plan."""
+    from bedhour.operators import diagnosis
+
+    listed = spark.range(200_000).select(
+        (F.col("id") % 2 + 9).cast("int").alias("icd_version"), F.concat(F.lit("Q."), F.lpad(F.col("id").cast("string"), 6, "0")).alias("icd_code")
+    )
+    rows = [(1, "Q000002", "Q000003x"), (2, "Q000003", "Q000002"), (3, "Q00", "I21.1"), (4, None, "J931"), (4, "Q199998zz", "x"), (5, "", "S")]
+    codes = spark.createDataFrame(rows, f"{STAY} bigint, icd9 string, icd10 string")
+    spark.sparkContext.setJobGroup("listing", "a list becomes a table")
+    prefixes, names = diagnosis.prefix_table(diagnosis.infection_prefixes(listed))
+    flags = diagnosis.stay_flags_by_table(codes, prefixes, names)
+    assert len(flags._jdf.queryExecution().analyzed().toString()) < 40_000
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    got = {r[STAY]: (r.suspected_infection, r.Acute_Myocardial_Infarction, r.Tension_Pneumothorax, r.hypovolemia_external) for r in flags.collect()}
+    assert got == {1: (1, 0, 0, 0), 2: (0, 0, 0, 0), 3: (0, 0, 0, 0), 4: (1, 0, 1, 0), 5: (0, 0, 0, 1)}
+
+
+@pytest.mark.parametrize("swapped", [False, True])
+def test_prefix_table_equals_the_conditions(spark, swapped):
+    from bedhour.operators import diagnosis
+
+    rng = random.Random(5)
+    rows = [(s, rng.choice(["38", "41x", "9", None]), rng.choice("IJGST805") + str(rng.randint(10, 99)) + rng.choice(["", "4", "48"])) for s in range(300) for _ in range(2)]
+    codes = spark.createDataFrame(rows, f"{STAY} bigint, icd9 string, icd10 string")
+    listed = spark.createDataFrame([(9, "38, 4."), (10, "I.44,I45 ,"), (11, "J")], "icd_version int, icd_code string")
+    groups = diagnosis.diagnosis_groups(swapped, ["38", "4"], ["I44", "I45"])
+    prefixes, names = diagnosis.prefix_table(diagnosis.infection_prefixes(listed), swapped)
+    assert names == list(groups)
+    by_table = diagnosis.stay_flags_by_table(codes, prefixes, names).orderBy(STAY).collect()
+    assert by_table == diagnosis.stay_flags(codes, groups).select(STAY, *names).orderBy(STAY).collect()
+
+
 def test_published_mode(spark):
     """Rates of 0, and a score of 2 at a mean pressure of 80 without any drug."""
     from bedhour.operators import scores
