@@ -1130,3 +1130,22 @@ oracle(
        UNION ALL SELECT patientunitstayid, unnest(['ing', 'rate']), label, hour, until, round(unnest([amount, rate]), 6)
        FROM infusion_runs WHERE until > hour""",
 )
+cte(
+    "infusion_totals",
+    "infusion_runs stays",
+    """SELECT patientunitstayid, unnest(range(hour, until)) AS hour, total, value FROM (
+       SELECT r.patientunitstayid, hour, until,
+         unnest(CASE r.label WHEN 'Saline' THEN ['Nacl n% (sum)']
+                WHEN 'Dopamine (ml/hr)' THEN ['Dopamine (MG)', 'Dopamine (MCG/KG/MIN)_Rate']
+                ELSE ['Norepinephrine (MG)', 'Norepinephrine (MCG/KG/MIN)_Rate'] END) AS total,
+         unnest(CASE r.label WHEN 'Saline' THEN [amount]
+                WHEN 'Dopamine (ml/hr)' THEN [amount * 1.26::DOUBLE / 1000, rate * 60 * 1.26::DOUBLE * 1000]
+                ELSE [amount / 1000, rate / nullif(admissionweight, 0)] END) AS value
+       FROM infusion_runs r JOIN stays s USING (patientunitstayid)) WHERE value IS NOT NULL AND until > hour""",
+)
+oracle(
+    "totals_long",
+    "infusion_totals",
+    """SELECT patientunitstayid, hour, total, round(sum(value), 5) AS value FROM infusion_totals
+       GROUP BY patientunitstayid, hour, total""",
+)

@@ -22,6 +22,7 @@ from ..operators import (
     cohort,
     diagnosis,
     extract,
+    factors,
     hours,
     impute,
     joins,
@@ -747,6 +748,18 @@ def drug_totals(s, d):
     )
 
 
+@query
+def totals_long(s, d):
+    """Totals from the long table, with the conversions as a table."""
+    st, events = shared(s, d)
+    rows = infusion(s, d, st, events)
+    named = select.select_features(rows, A.dictionary(s, A.DICTIONARIES["ing"]), "drugname")
+    aligned = align.align_infusion(named, st, drop_hour_zero=True)
+    long = tabular.long_table({"ing": Stream(aligned, "interval", {"ing": "amount", "rate": "infusionrate"}, "drugname")})
+    out = factors.hourly_totals(long, st, factors.default_factors(s), "admissionweight")
+    return out.withColumn("value", r("value", 5))
+
+
 SUM_COLUMNS = {
     "Insulin (ml)": "l_quantity",
     "Insulin (mcg)": "l_extendedprice",

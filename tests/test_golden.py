@@ -266,6 +266,51 @@ def test_infusion_rates(spark, rate_zero, rate):
     assert got == {0: (0.0, 0.0), 1: (2.0, rate), 2: (2.0, rate), 3: (0.0, 0.0), 4: (0.0, 0.0)}
 
 
+@pytest.mark.parametrize("si", [False, True])
+def test_factor_table_equals_the_column_rules(spark, si):
+    """Labels of every rule, both families, any hours: the totals of the long
+    table are those of the wide one."""
+    from bedhour.operators import channels, factors
+
+    drugs = ["Norepinephrine", "Epinephrine", "Dopamine", "Dobutamine", "Phenylephrine", "Vasopressin", "Labetalol", "Milrinone"]
+    drugs = [f"{x} ({u})" for x in drugs for u in ("ml", "mcg", "mcg/kg", "mg", "ml/hr")] + ["Labetalol(mg)", "Norepinephrine STD (mcg)", "Nore STD (ml)"]
+    other = ["Insulin (ml)", "Insulin X (mcg)", "Heparin (ml)", "Heparin flush", "Enteral Nutrition", "NaCl 0.9%", "NaCl 5%", "Dextrose 10%", "Water"]
+    rng = random.Random(8)
+    los = {1: 40, 2: 25, 3: 30}
+    rows = []
+    for _ in range(900):
+        s, lab = rng.choice([1, 2, 3]), rng.choice(drugs + other)
+        h = rng.randrange(los[s])
+        rows.append((s, los[s], lab, h, min(h + rng.randint(1, 6), los[s]), float(rng.randint(0, 50)), rng.choice([None, float(rng.randint(1, 9))])))
+    ing = spark.createDataFrame(rows, f"{STAY} bigint, los bigint, label string, start_hour bigint, stop_hour bigint, amount double, speed double")
+    med = ing.where("label in ('Dopamine (ml)', 'NaCl 0.9%', 'Heparin (ml)')").withColumn("label", F.concat(F.lit("med_"), "label"))
+    streams = {"med": Stream(med, "interval", {"med": "amount"}), "ing": Stream(ing, "interval", {"ing": "amount", "rate": "speed"})}
+    stays = spark.createDataFrame([(1, 40, 70.0), (2, 25, 0.0), (3, 30, None)], f"{STAY} bigint, los bigint, weight double")
+    wide = channels.merge_channels(tabular.tabular_output(tabular.tabularize(stays, streams, static=["weight"])))
+    wide = units.group_sums(units.drug_totals(wide, si)[0])
+    table = factors.default_factors(spark, si)
+    names = [r[0] for r in table.select("total").distinct().collect()]
+    got = {(r[STAY], r.hour, r.total): r.value for r in factors.hourly_totals(tabular.long_table(streams), stays, table).collect()}
+    assert {k[2] for k in got} == set(names)
+    for r in wide.collect():
+        for name in names:
+            assert got.get((r[STAY], r.hour, name), 0.0) == pytest.approx(r[name]), (r[STAY], r.hour, name)
+
+
+def test_new_drugs_need_no_longer_plan(spark):
+    from bedhour.operators import factors
+
+    def size(n):
+        rows = [(1, "ing", f"Drug{i} (ml)", 0, 2, 1.0) for i in range(n)]
+        long = spark.createDataFrame(rows, f"{STAY} bigint, family string, label string, hour bigint, until bigint, value double")
+        mine = spark.createDataFrame([(0, "drug", None, False, "(ml)", None, None, "all", 2.0, 0)], factors.SCHEMA)
+        out = factors.hourly_totals(long, spark.createDataFrame([(1, 50.0)], f"{STAY} bigint, weight double"), mine)
+        assert {(r.hour, r.value) for r in out.collect()} == {(0, 2.0 * n), (1, 2.0 * n)}
+        return len(out._jdf.queryExecution().analyzed().toString())
+
+    assert abs(size(2) - size(300)) < 100
+
+
 def test_rates_are_not_volumes(spark):
     df = spark.createDataFrame(
         [(1.0, 100.0, 2.0, 50.0, 70.0)],
