@@ -1,10 +1,12 @@
 """Equi joins of large fact tables with smaller keyed tables.
 
 A stay or a label may own a third of all rows, so a plain shuffle join on that
-key can put a third of the work into one task. Two ways avoid it:
+key can put a third of the work into one task. Three ways avoid it:
 
 * the keyed side is under the session's broadcast limit, by Catalyst's estimate
   or by the bytes of the stage it was written to: it is broadcast;
+* both sides are stages in the same number of buckets of the key: they are joined
+  bucket by bucket, without a shuffle, and hot keys apart;
 * otherwise the rows of hot keys (more than one task should have) are dealt to
   as many salts as they make portions, and only their rows of the keyed side are
   repeated, once per salt. All other keys are joined as they are.
@@ -22,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..sources import frequent_keys, frequent_keys_of, stored_bytes, write_stage
+from ..sources import buckets_of, frequent_keys, frequent_keys_of, stored_bytes, write_stage
 
 ROWS_PER_TASK = 1_000_000
 
@@ -92,6 +94,22 @@ def salted_join(
     return left.join(right, [*on, "_salt"], how).drop("_salt")
 
 
+def bucketed_join(
+    facts: DataFrame, keyed: DataFrame, key: str, how: str = "inner", rows_per_task: int = ROWS_PER_TASK
+) -> DataFrame:
+    """Join of two tables in buckets of ``key``; ``keyed`` has few rows per key.
+    A bucket is one task, so rows of keys known to be hot are dealt out by their
+    content and meet their keyed rows as a broadcast (of at most as many keys as
+    a sketch keeps). No other row is shuffled."""
+    hot = [k for k, n in (frequent_keys_of(facts, [key]) or {}).items() if n > rows_per_task]
+    if not hot:
+        return facts.join(keyed, key, how)
+    is_hot = F.coalesce(F.xxhash64(key).isin(hot), F.lit(False))
+    cold = facts.where(~is_hot).join(keyed.where(~is_hot), key, how)
+    dealt = facts.where(is_hot).repartition(F.xxhash64(*[F.col(f"`{c}`") for c in facts.columns]))
+    return cold.unionByName(dealt.join(F.broadcast(keyed.where(is_hot)), key, how))
+
+
 def balanced_join(
     facts: DataFrame,
     keyed: DataFrame,
@@ -105,6 +123,8 @@ def balanced_join(
     if fits_broadcast(keyed):
         # Said, so that a small fact table is not the one that is broadcast.
         return facts.join(F.broadcast(keyed), on, how)
+    if len(on) == 1 and (found := buckets_of(facts)) and found[1] == on and found == buckets_of(keyed):
+        return bucketed_join(facts, keyed, on[0], how, rows_per_task)
     return salted_join(facts, keyed, on, how, rows_per_task, equal_rows=equal_rows)
 
 

@@ -164,7 +164,7 @@ def final_dataset(
     rules = MODES[mode] if isinstance(mode, str) else mode
     stages = stages or Stages(raw["patient"].sparkSession)
     raw = dict(raw)
-    base = stages.write(cohort.los_hours(cohort.build_cohort(raw["patient"])), "cohort")
+    base = stages.write(cohort.los_hours(cohort.build_cohort(raw["patient"])), "cohort", by_stay=True)
     for name, columns in SHARED.items():
         raw[name] = stages.write(stays_within(raw[name].select(*columns), base, STAY), f"raw-{name}")
     charted = dictionaries["chart"] if "chart" in dictionaries else None
@@ -174,7 +174,7 @@ def final_dataset(
             selected[family] = stages.write(selected[family], f"selected-{family}")
     events = clean_events(selected, chart=clean_chart, lab=clean_lab)
     for family in ("chart", "lab"):
-        events[family] = stages.write(events[family], f"events-{family}")
+        events[family] = stages.write(events[family], f"events-{family}", by_stay=True)
     stays = restrict_cohort(base, events, min_hours, required)
 
     codes = diagnosis.split_codes(raw["diagnosis"])
@@ -193,7 +193,7 @@ def final_dataset(
         .join(cultured, STAY, "left")
         .na.fill(0, [*groups, "blood_culture"])
     )
-    attributes = stages.write(attributes, "stays")
+    attributes = stages.write(attributes, "stays", by_stay=True)
     static = ["uniquepid", "Age", "gender", "ethnicity", "height", "weight", "blood_culture", *groups]
 
     streams = event_streams(align_events(events, attributes), rules.rate_zero)

@@ -93,12 +93,13 @@ def run(
     reports: str | None = None,
     first_row_only: bool = False,
     keep_stages: bool = False,
+    buckets: int | None = None,
     **options,
 ) -> Stages:
     """``options`` go to ``final_dataset``. With ``keep_stages`` the stages of a
     named run stay, so that a later run by that name does over only what its
     options or inputs change."""
-    stages = Stages(spark, run_name)
+    stages = Stages(spark, run_name, buckets=buckets)
     tables = to_parquet(read_raw_observed(spark, raw, suffix), stages)
     names = {f: read_dictionary(spark, f"{dictionaries}/{file}") for f, file in DICTIONARY_FILES.items()}
     listed = spark.read.option("header", True).csv(f"{dictionaries}/suspected_infection.csv")
@@ -124,6 +125,7 @@ def parse(args: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--suffix", default=".csv.gz")
     p.add_argument("--run", help="name of the run; a stopped run of that name goes on")
     p.add_argument("--keep-stages", action="store_true", help="keep the stages of a named run for the next one, and write OUTPUT over")
+    p.add_argument("--buckets", type=int, help="write stages that are joined by stay in so many buckets")
     p.add_argument("--reports", help="folder for cohort figures, counts and transitions")
     p.add_argument("--mode", choices=sorted(MODES), default="corrected")
     p.add_argument("--min-hours", type=int, default=24)
@@ -148,6 +150,7 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> No
         a.reports,
         a.first_infection_row,
         a.keep_stages,
+        a.buckets,
         mode=a.mode,
         min_hours=a.min_hours,
         required=a.required,

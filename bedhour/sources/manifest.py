@@ -159,6 +159,16 @@ def made_from(path: str, seen: dict[tuple[str, ...], str] | None = None) -> str:
     return known
 
 
+def buckets_of(df: DataFrame) -> tuple[int, list[str]] | None:
+    """Number and columns of the buckets of the one table a DataFrame reads."""
+    leaves = _leaves(df)
+    if len(leaves) != 1 or _roots(leaves[0]) is None or not leaves[0].relation().bucketSpec().isDefined():
+        return None
+    spec = leaves[0].relation().bucketSpec().get()
+    names = spec.bucketColumnNames()
+    return spec.numBuckets(), [names.apply(i) for i in range(names.size())]
+
+
 def frequent_keys(on: Sequence[str]) -> Column:
     """Aggregate: the most frequent keys by hash, as ``(item, count)`` pairs. The
     sketch is mergeable; with ``TRACKED`` counters, a key that has more than

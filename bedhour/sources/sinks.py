@@ -13,6 +13,8 @@ from .. import STAY
 from . import manifest
 
 
+# Rows of a stay that more than one task should write.
+HOT_ROWS = 1_000_000
 # Columns that large tables are joined by.
 KEYS = (STAY, "celllabel", "drugname", "labname", "nursingchartcelltypevallabel", "treatmentstring")
 
@@ -53,11 +55,17 @@ class Stages:
     change reaches. ``history`` tells, for each stage of this run, why it was
     written. Without a name every stage is new, and the folder goes when the
     application ends. ``remove`` deletes it at the end of a run.
+
+    With a number of ``buckets``, stages that are joined by stay are written as
+    that many buckets of stays, so that such joins need no shuffle.
     """
 
-    def __init__(self, spark: SparkSession, run: str | None = None, keys: Sequence[str] = KEYS):
+    def __init__(
+        self, spark: SparkSession, run: str | None = None, keys: Sequence[str] = KEYS, buckets: int | None = None
+    ):
         self.spark = spark
         self.keys = keys
+        self.buckets = buckets
         self.named = run is not None
         self.folder = f"{shared_folder(spark)}/bedhour-{run or uuid.uuid4().hex}"
         self.history: dict[str, str] = {}
@@ -106,6 +114,7 @@ class Stages:
         columns: list[str] | None = None,
         cluster_by: list[str] | None = None,
         observations: Sequence[Observation] = (),
+        by_stay: bool = False,
     ) -> DataFrame:
         """A stage by its name, written unless it is there as wanted. The write
         counts the rows and sketches the frequent keys of ``keys``; that, and
@@ -116,24 +125,31 @@ class Stages:
         counted = Observation(f"rows of {name}")
         sketches = [manifest.frequent_keys([k]).alias(manifest.key_name([k])) for k in self.keys if k in out.columns]
         path = self.path(name)
+        buckets = self.buckets if by_stay else None
         parts: dict[str, str] = {}
         reason: str | None = "not a named run"
         if self.named:
             parts = manifest.parts_of(out, self._seen)
-            parts["layout"] = manifest.digest(*(cluster_by or []))
+            parts["layout"] = manifest.digest(*(cluster_by or []), f"{buckets} buckets")
             reason = self._reason(name, parts)
         self.history[name] = reason or "reused"
         made = manifest.fingerprint(parts) if self.named else out
         if reason is None:
             self.observed[name] = self._manifest(name)["observed"]
             manifest.remember(path, made, self.observed[name])
+            if buckets:
+                return bucketed_table(self.spark, out, path, buckets)
             return self.spark.read.schema(out.schema).parquet(path)
         if self.named:
             # From here on until the new manifest stands, the stage is incomplete.
             files, at = hadoop_path(self.spark, path + ".json")
             files.delete(at, False)
         seen = (counted, F.count(F.lit(1)).alias("rows"), *sketches)
-        written = write_stage(out, path, None, cluster_by, "overwrite" if self.named else "errorifexists", seen)
+        mode = "overwrite" if self.named else "errorifexists"
+        if buckets:
+            written = write_bucketed(out, path, buckets, seen)
+        else:
+            written = write_stage(out, path, None, cluster_by, mode, seen)
         self.observed[name] = {k: plain(v) for o in (*observations, counted) for k, v in o.get.items()}
         manifest.remember(path, made, self.observed[name])
         if self.named:
@@ -157,6 +173,37 @@ class Stages:
         files.delete(at, True)
 
 
+def table_name(path: str) -> str:
+    return f"bedhour_{manifest.digest(path)[:32]}"
+
+
+def write_bucketed(out: DataFrame, path: str, buckets: int, observe: tuple) -> DataFrame:
+    """A stage as a table of the session, in buckets of stays, sorted by stay.
+    Stays that are known to be hot are written by several tasks."""
+    spark = out.sparkSession
+    bucket = F.pmod(F.hash(STAY), F.lit(buckets))
+    hot = [k for k, n in (manifest.frequent_keys_of(out, [STAY]) or {}).items() if n > HOT_ROWS]
+    rows = F.xxhash64(*[F.col(f"`{c}`") for c in out.columns])
+    spread = F.when(F.xxhash64(STAY).isin(hot), F.pmod(rows, F.lit(buckets))).otherwise(0) if hot else F.lit(0)
+    spark.sql(f"DROP TABLE IF EXISTS {table_name(path)}")
+    dealt = out.repartition(buckets, bucket, spread).observe(*observe)
+    writer = dealt.write.mode("overwrite").option("path", path).bucketBy(buckets, STAY).sortBy(STAY)
+    writer.format("parquet").saveAsTable(table_name(path))
+    return spark.table(table_name(path))
+
+
+def bucketed_table(spark: SparkSession, out: DataFrame, path: str, buckets: int) -> DataFrame:
+    """A bucketed stage that is there already, as a table of this session."""
+    name = table_name(path)
+    if not spark.catalog.tableExists(name):
+        columns = out._jdf.schema().toDDL()
+        spark.sql(
+            f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY ({STAY}) SORTED BY ({STAY}) "
+            f"INTO {buckets} BUCKETS LOCATION '{path}'"
+        )
+    return spark.table(name)
+
+
 def plain(value):
     """An observed value as JSON knows it."""
     if isinstance(value, Row):

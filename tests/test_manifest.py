@@ -149,6 +149,69 @@ def test_equal_rows_of_a_hot_key_travel_as_one(spark):
     assert joined.groupBy(*joined.columns).count().collect() == [("hot", 1.0, 2.0, 5_000)]
 
 
+# Buckets
+
+
+def bucketed_stages(spark, run_name=None, rows=9_000):
+    stages = Stages(spark, run_name, buckets=6)
+    facts = spark.range(rows).select(F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).cast("bigint").alias(STAY), "id")
+    facts = stages.write(facts, "facts", by_stay=True)
+    keyed = stages.write(spark.range(rows).select(F.col("id").alias(STAY), (F.col("id") * 2).alias("x")), "keyed", by_stay=True)
+    return stages, facts, keyed
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_bucketed_stages_join_without_a_shuffle(spark, how):
+    _, facts, keyed = bucketed_stages(spark)
+    some = keyed.where(F.col("x") % 4 == 0)
+    kept = facts.where(F.col("id") > 5)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = joins.balanced_join(kept, some, STAY, how)
+        assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+        apart = joins.balanced_join(kept, some, STAY, how, rows_per_task=500)
+        plan = apart._jdf.queryExecution().executedPlan().toString()
+        # Only the hot rows are dealt anew; the others are joined bucket by bucket.
+        assert plan.count("Exchange hashpartitioning") == 1 and "BroadcastHashJoin" in plan and "SortMergeJoin" in plan
+        plain = sorted(map(str, kept.join(some, STAY, how).collect()))
+        assert sorted(map(str, joined.collect())) == sorted(map(str, apart.collect())) == plain
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_a_hot_stay_is_written_and_joined_by_several_tasks(spark, monkeypatch):
+    from bedhour.sources import sinks
+
+    monkeypatch.setattr(sinks, "HOT_ROWS", 500)
+    first = Stages(spark).write(spark.range(9_000).select(F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).cast("bigint").alias(STAY), "id"), "raw")
+    stages = Stages(spark, buckets=6)
+    facts = stages.write(first, "facts", by_stay=True)
+    keyed = stages.write(spark.range(9_000).select(F.col("id").alias(STAY)), "keyed", by_stay=True)
+    assert facts.where(F.col(STAY) == 1).select(F.input_file_name()).distinct().count() > 1
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # it would merge such small partitions
+    try:
+        joined = joins.balanced_join(facts, keyed, STAY, rows_per_task=500)
+        tasks = joined.where(F.col(STAY) == 1).groupBy(F.spark_partition_id()).count().collect()
+        assert sum(r["count"] for r in tasks) == 3_001 and len(tasks) > 1 and joined.count() == 9_000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_bucketed_stages_are_reused(spark):
+    first, facts, keyed = bucketed_stages(spark, "in-buckets")
+    n = facts.join(keyed, STAY).count()
+    from bedhour.sources.sinks import table_name
+
+    for name in ("facts", "keyed"):  # as in another session
+        spark.sql(f"DROP TABLE {table_name(first.path(name))}")
+    again, facts, keyed = bucketed_stages(spark, "in-buckets")
+    assert set(again.history.values()) == {"reused"} and facts.join(keyed, STAY).count() == n
+    assert bucketed_stages(spark, "in-buckets", 90)[0].history == {"facts": "inputs, plan", "keyed": "inputs, plan"}
+    again.remove()
+
+
 # Observed reads, folders of files, order over several files
 
 
@@ -243,6 +306,11 @@ def test_a_run_with_other_options_does_over_what_they_reach(spark, raw_folder):
     read = {r.table: r.value for r in spark.read.json(f"{reports}/sources").where("counter = 'read'").collect()}
     assert read["lab"] == spark.read.option("header", True).csv(str(raw_folder / "raw" / "lab.csv")).count()
 
+    in_buckets = run(spark, str(raw_folder / "raw"), str(raw_folder / "names"), str(raw_folder / "out2"), ".csv", buckets=3)
+    assert "stays" in in_buckets.history
+    hashed = lambda p: spark.read.parquet(p).select(F.xxhash64(F.to_json(F.struct("*"))).alias("h")).orderBy("h").collect()
+    assert hashed(str(raw_folder / "out2")) == hashed(out)
+
     same = stages()
     assert set(same.history.values()) == {"reused"}
     from bedhour.plans.stages import Outliers
