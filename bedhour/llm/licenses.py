@@ -22,7 +22,8 @@ word counts, and no text or licence can become a hot group.
 Defined results: a null or empty text has 0 words and no labels; words are what
 the pattern finds after A-Z are lower-cased; rows stay as they are, repeated
 rows and null ids included; further columns are ignored; if no text holds a
-licence word, keys are chosen by spelling, and nothing is found.
+licence word, keys are chosen by spelling, and nothing is found. A text of any
+length is scanned whole; no rows give no rows.
 """
 
 from __future__ import annotations

@@ -16,7 +16,8 @@ many as can be asked for, so a very common vector costs nothing more.
 Defined results: rows with a null id, and vectors that are null, empty, zero or
 hold null or non-finite components take no part; vectors of different lengths
 are not compared; rows of one id count as one row (the first by their bytes);
-with fewer than k candidates all are returned; further columns are ignored.
+with fewer than k candidates all are returned; further columns are ignored; no
+vectors or no queries give no rows.
 """
 
 from __future__ import annotations

@@ -17,7 +17,8 @@ counts are smoothed, so without identifiers nothing is added.
 
 Defined results: a null or empty text has no spans; positions are code points,
 the end exclusive; rows stay as they are, repeated rows and null ids included;
-further columns are ignored by ``find_secrets`` and kept by ``redact``.
+further columns are ignored by ``find_secrets`` and kept by ``redact``; a text of
+any length is scanned whole; no rows give no rows.
 """
 
 from __future__ import annotations

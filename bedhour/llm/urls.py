@@ -18,7 +18,8 @@ url's path starts with the rule's; the longest host wins, then the longest path.
 Defined results: a null url, or one without ``://``, has an empty host and path
 and is judged like any other, so it is allowed unless the empty host is listed;
 a listed host outside the universe changes nothing; rows stay as they are,
-repeated rows and null ids included; further columns are ignored.
+repeated rows and null ids included; further columns are ignored; a url of any
+length is judged whole; no pages give no rows, an empty list blocks nothing.
 """
 
 from __future__ import annotations

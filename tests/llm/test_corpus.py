@@ -146,6 +146,18 @@ def test_components(spark):
 # Urls
 
 
+def test_urls_of_nothing_and_very_long_ones(spark):
+    long = "a" * 300_000
+    rows = [(1, f"http://{long}.example.com/de/{long}"), (2, f"https://{long}.org/x?{long}"), (3, f"{long}://spam.org/{long}#"), (4, long)]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    listed = spark.createDataFrame([("spam.org",)], "host string")
+    got = {r.page_id: r for r in urls.judge_urls(pages, listed).collect()}
+    assert [got[i].verdict for i in (1, 2, 3, 4)] == ["block", "allow", "block", "allow"]
+    assert (got[1].rule, len(got[1].host), len(got[1].path), got[3].path) == ("example.com/de/", 300_012, 300_004, f"/{long}")
+    assert urls.judge_urls(pages.limit(0), listed).count() == 0
+    assert urls.judge_urls(pages, listed.limit(0)).where("verdict = 'block'").count() == 1
+
+
 def test_urls_against_brute_force(spark):
     given = [
         "http://A.Example.COM/de/x?y#z", "https://m.example.net/en/1", "http://example.net/fr/", "ftp://net/x", "https://x.org/fr/a",
