@@ -352,7 +352,7 @@ def test_a_list_of_any_length_stays_a_table(spark):
     assert len(flags._jdf.queryExecution().analyzed().toString()) < 40_000
     spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
     got = {r[STAY]: (r.suspected_infection, r.Acute_Myocardial_Infarction, r.Tension_Pneumothorax, r.hypovolemia_external) for r in flags.collect()}
-    assert got == {1: (1, 0, 0, 0), 2: (0, 0, 0, 0), 3: (0, 0, 0, 0), 4: (1, 0, 1, 0), 5: (0, 0, 0, 1)}
+    assert got == {1: (1, 0, 0, 0), 2: (0, 0, 0, 0), 3: (0, 1, 0, 0), 4: (1, 0, 1, 0), 5: (0, 0, 0, 1)}
 
 
 @pytest.mark.parametrize("swapped", [False, True])
