@@ -10,7 +10,7 @@ from bedhour.llm import queries
 
 def test_every_operator_has_one_query():
     names = [n for n in entry.queries() if re.match(r"op\d+_", n)]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in entry.queries()
 
 
@@ -45,5 +45,5 @@ def test_run_is_the_stages_in_a_row(spark):
 
 def test_queries_take_whole_tables(spark):
     n = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").count()
-    for name in ("op2_licenses", "op5_mixing", "op9_secrets", "op10_token_counts"):
+    for name in ("op2_licenses", "op5_mixing", "op9_secrets", "op10_token_counts", "op12_personal", "op13_alignment"):
         assert queries.QUERIES[name](spark, "/root/testdata/sf0.001").count() == n
