@@ -59,6 +59,8 @@ from .common import (
 ORDER = 6
 # Entries of a table that are broadcast; the others are joined.
 MODEL_ENTRIES = 1 << 22
+# Counted grams that a task holds, and rows of a batch that it hands on.
+HELD_GRAMS, OUT_ROWS = 1 << 22, 1 << 16
 SYMBOLS = np.zeros(256, bool)
 SYMBOLS[list(b"#*$%&|<>")] = True
 STEPS = 200  # histogram steps per unit of log2 perplexity
@@ -136,31 +138,56 @@ def _texts_per_gram(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, n
     grams, row = byte_grams(data, starts)
     if len(starts) - 1 <= 1 << 64 - 8 * ORDER:
         # Gram and row fit one number.
-        once = np.unique(grams.astype(np.uint64) << np.uint64(64 - 8 * ORDER) | row.astype(np.uint64))
-        once = (once >> np.uint64(64 - 8 * ORDER)).astype(np.int64)
+        both = np.sort(grams.view(np.uint64) << np.uint64(64 - 8 * ORDER) | row.view(np.uint64))
+        once = both[new_ones(both)] >> np.uint64(64 - 8 * ORDER)
     else:
         order = np.lexsort((row, grams))
-        grams, row = grams[order], row[order]
-        new = np.ones(len(grams), bool)
-        new[1:] = (grams[1:] != grams[:-1]) | (row[1:] != row[:-1])
-        once = grams[new]
-    return np.unique(once, return_counts=True)
+        once = grams[order][new_ones(grams[order]) | new_ones(row[order])]
+    return added_up(once.astype(np.int64), None)
+
+
+def new_ones(values: np.ndarray) -> np.ndarray:
+    """Which of some values in order differ from the one before."""
+    new = np.ones(len(values), bool)
+    np.not_equal(values[1:], values[:-1], out=new[1:])
+    return new
+
+
+def added_up(grams: np.ndarray, counts: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    """The different grams, of grams in order, and the sums of their counts (of one each)."""
+    first = np.flatnonzero(new_ones(grams))
+    if counts is None:
+        return grams[first], np.diff(first, append=len(grams))
+    return grams[first], np.add.reduceat(counts, first) if len(first) else counts
 
 
 def count_grams(docs: DataFrame) -> DataFrame:
-    """``gram, n``: in how many texts each gram stands."""
+    """``gram, n``: in how many texts each gram stands. A task adds up what it
+    has counted whenever that is ``HELD_GRAMS`` rows, and hands it on once half
+    of them are different."""
+
+    def merged(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+        grams, counts = (np.concatenate(parts) for parts in zip(*held, strict=True))
+        order = np.argsort(grams)
+        return added_up(grams[order], counts[order])
+
+    def out(found: tuple[np.ndarray, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        for first in range(0, len(found[0]), OUT_ROWS):
+            yield pa.RecordBatch.from_arrays([pa.array(c[first : first + OUT_ROWS]) for c in found], ["gram", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
         for batch in batches:
-            held: list[tuple[np.ndarray, np.ndarray]] = []
             data, starts = text_bytes(batch.column(0))
             for first, last in row_chunks(starts):
                 part = data[starts[first] : starts[last]]
                 held.append(_texts_per_gram(part, starts[first : last + 1] - starts[first]))
-            if held:
-                keys, where = np.unique(np.concatenate([k for k, _ in held]), return_inverse=True)
-                n = np.bincount(where, np.concatenate([c for _, c in held]), len(keys)).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n)], ["gram", "n"])
+                if sum(len(k) for k, _ in held) >= HELD_GRAMS:
+                    held = [merged(held)]
+                    if len(held[0][0]) >= HELD_GRAMS // 2:
+                        yield from out(held.pop())
+        if held:
+            yield from out(merged(held))
 
     return (
         docs.select(F.col("text").cast("string").alias("text"))
@@ -303,10 +330,14 @@ class Scorer:
         if not len(self.keys):
             return np.zeros(len(grams), np.float32), np.zeros(len(grams), bool)
         # Each gram is looked up once, however often it stands in the texts.
-        keys, where = np.unique(grams, return_inverse=True)
-        at = np.minimum(np.searchsorted(self.keys, keys.astype(np.int64)), len(self.keys) - 1)
-        held = self.keys[at] == keys.astype(np.int64)
-        return np.where(held, self.values[at], np.float32(0))[where], held[where]
+        order = np.argsort(grams)
+        new = new_ones(grams[order])
+        keys, nth = grams[order][new], np.cumsum(new) - 1
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        found = self.keys[at] == keys
+        log2, held = np.empty(len(grams), np.float32), np.empty(len(grams), bool)
+        log2[order], held[order] = np.where(found, self.values[at], np.float32(0))[nth], found[nth]
+        return log2, held
 
 
 FIGURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
