@@ -63,10 +63,10 @@ class Stage:
         files, at = hadoop_path(self.spark, self.path)
         return int(files.getContentSummary(at).getLength())
 
-    def small(self) -> DataFrame:
-        """Marked for broadcast if its files are under ``BROADCAST_BYTES``; else
+    def small(self, most: int = BROADCAST_BYTES) -> DataFrame:
+        """Marked for broadcast if its files are no larger than ``most``; else
         as it is, and a join with it shuffles."""
-        return F.broadcast(self.df) if self.bytes() <= BROADCAST_BYTES else self.df
+        return F.broadcast(self.df) if self.bytes() <= most else self.df
 
     def drop(self) -> None:
         """Remove the files, once what was made from them is written too."""

@@ -59,6 +59,9 @@ from .common import (
 ORDER = 6
 # Entries of a table that are broadcast; the others are joined.
 MODEL_ENTRIES = 1 << 22
+# Tables of the model up to this size are broadcast to the gram table; there are
+# two per order, and the driver makes each.
+TABLE_BYTES = 1 << 20
 # Counted grams that a task holds, and rows of a batch that it hands on.
 HELD_GRAMS, OUT_ROWS = 1 << 22, 1 << 16
 SYMBOLS = np.zeros(256, bool)
@@ -267,8 +270,8 @@ def chances(grams: DataFrame, model: Model, own: bool) -> DataFrame:
     table = grams.select("gram", "n")
     for order, level in enumerate(model.levels, 1):
         part = low_bytes(F.col("gram"), order)
-        counts = level.counts.small().select(F.col("gram").alias("_part"), F.col("n").alias(f"_n{order}"))
-        contexts = level.contexts.small().select(
+        counts = level.counts.small(TABLE_BYTES).select(F.col("gram").alias("_part"), F.col("n").alias(f"_n{order}"))
+        contexts = level.contexts.small(TABLE_BYTES).select(
             F.col("context").alias("_context"), F.col("total").alias(f"_total{order}"), F.col("mass").alias(f"_mass{order}")
         )
         table = table.withColumns({"_part": part, "_context": F.shiftright(part, 8)})
