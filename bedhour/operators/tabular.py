@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from .. import STAY
 from ..functions import col
+from ..session import compiled_methods
 from ..sources import Stages, stored_bytes, write_stage
 from .hours import BLOCK_HOURS, block_of, stay_blocks
 from .joins import lookup_join
@@ -33,6 +34,8 @@ from .joins import lookup_join
 SEP = "__"
 # Bytes of written cells that one task of the wide shuffle should take.
 CELL_BYTES = 16 << 20
+# Bytes of hourly rows that one task of it should put in order: they fit its memory.
+HOUR_BYTES = 256 << 20
 
 
 @dataclass(frozen=True)
@@ -241,11 +244,14 @@ def tabularize(
         rows = rows.unionByName(_sent_ahead(cells, held, has, block_hours, back).withColumn("hour", before))
 
     # The one shuffle that pivot, fill and everything keyed by (stay, block)
-    # after it share. The number of partitions follows the written cells and is
-    # fixed then, as the rows grow afterwards.
+    # after it share. The number of partitions follows the written cells and the
+    # hours they are repeated over, and is fixed then, as the rows grow afterwards.
+    compiled_methods(stays.sparkSession)
     partitions = int(stays.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if store_cells:
-        partitions = max(partitions, -(-stored_bytes(cells) // CELL_BYTES))
+        hours = stays.agg(F.sum(F.greatest("los", F.lit(0)))).first()[0] or 0
+        row_bytes = 8 * (len(columns) + len(static) + len(outputs))
+        partitions = max(partitions, -(-stored_bytes(cells) // CELL_BYTES), -(-int(hours) * row_bytes // HOUR_BYTES))
     rows = rows.repartition(partitions, STAY, "block")
     wide = rows.groupBy(STAY, "block", "hour").pivot("feature", [*columns, *has]).agg(F.first("value"))
     order = W.partitionBy(STAY, "block").orderBy("hour")

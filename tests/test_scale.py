@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from bedhour import STAY
 from bedhour.operators import clean, hours, joins, labels, tabular
 from bedhour.operators.tabular import Stream
+from bedhour.session import METHOD_LIMIT
 
 
 @pytest.fixture(scope="module")
@@ -308,3 +309,32 @@ def test_what_blocks_get_from_earlier_ones(spark, events):
     assert len(values) == len({(r.block, r.feature) for r in values}) == 12
     assert {(r[STAY], r.block) for r in sent if r.feature == "_has" and r[STAY]} == {(s, 0) for s in range(1, 30)}
     assert {r.block for r in sent if r.feature == "_has" and not r[STAY]} == set(range(7))
+
+
+def test_methods_that_java_compiles(spark):
+    """A wide table asks for methods that Java compiles, unless the session has a limit of its own."""
+    rows = spark.createDataFrame([(1, 30, "a", 2, 5.0)], f"{STAY} bigint, los bigint, label string, hour bigint, value double")
+    stays = spark.createDataFrame([(1, 30)], f"{STAY} bigint, los bigint")
+    streams = {"chart": Stream(rows, "hold", {"chart": "value"})}
+    before = spark.conf.get(METHOD_LIMIT)
+    try:
+        for own, then in (("65535", "8000"), ("20000", "20000")):
+            spark.conf.set(METHOD_LIMIT, own)
+            assert tabular.tabularize(stays, streams, labels={"chart": ["a"]}).count() == 30
+            assert spark.conf.get(METHOD_LIMIT) == then
+    finally:
+        spark.conf.set(METHOD_LIMIT, before)
+
+
+def test_partitions_follow_the_hours(spark, monkeypatch):
+    """Few cells that last for many hours are dealt to as many tasks as the hours ask for."""
+    rows = spark.range(400).selectExpr(f"id as {STAY}", "200L as los", "'a' as label", "1L as hour", "1.0D as value")
+    stays = spark.range(400).selectExpr(f"id as {STAY}", "200L as los").unionByName(
+        spark.createDataFrame([(900, None), (901, -5)], f"{STAY} bigint, los bigint")
+    )
+    streams = {"chart": Stream(rows, "hold", {"chart": "value"})}
+    few = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    monkeypatch.setattr(tabular, "HOUR_BYTES", 400 * 200 * 16 // (10 * few))
+    wide = tabular.tabularize(stays, streams, store_cells=True)
+    sizes = [r["count"] for r in wide.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 400 * 200 and few < len(sizes) <= 10 * few
