@@ -3,6 +3,7 @@ size-checked broadcasts, and texts as UTF-8 bytes inside tasks."""
 
 from __future__ import annotations
 
+import ctypes
 import re
 import shutil
 import tempfile
@@ -92,10 +93,32 @@ def on_workers(spark: SparkSession) -> None:
         _shipped.add(application)
 
 
+def release() -> None:
+    """Give freed memory back to the system. A Python worker outlives its task,
+    and would keep it beside the tasks of later stages."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError, TypeError):  # only glibc has it
+        pass
+
+
+def released(run: Callable) -> Callable:
+    """``run``, and at the end of its task ``release``."""
+
+    def until_end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return until_end
+
+
 def in_tasks(df: DataFrame, run: Callable, schema) -> DataFrame:
     """``df`` through a function over its Arrow batches."""
     on_workers(df.sparkSession)
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(released(run), schema)
 
 
 def apart(key: Column) -> Column:

@@ -63,7 +63,7 @@ MODEL_ENTRIES = 1 << 22
 # two per order, and the driver makes each.
 TABLE_BYTES = 1 << 20
 # Counted grams that a task holds, and rows of a batch that it hands on.
-HELD_GRAMS, OUT_ROWS = 1 << 22, 1 << 16
+HELD_GRAMS, OUT_ROWS = 1 << 21, 1 << 16
 SYMBOLS = np.zeros(256, bool)
 SYMBOLS[list(b"#*$%&|<>")] = True
 STEPS = 200  # histogram steps per unit of log2 perplexity

@@ -1,11 +1,14 @@
 """The pipeline, stage by stage, and the registration of the queries."""
 
+import random
 import re
 from collections import Counter
 
+import pyarrow as pa
+
 import corpus_pipeline
 import __spark_entry__ as entry
-from bedhour.llm import queries
+from bedhour.llm import common, quality, queries
 
 
 def test_every_operator_has_one_query():
@@ -47,3 +50,46 @@ def test_queries_take_whole_tables(spark):
     n = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").count()
     for name in ("op2_licenses", "op5_mixing", "op9_secrets", "op10_token_counts", "op12_personal", "op13_alignment"):
         assert queries.QUERIES[name](spark, "/root/testdata/sf0.001").count() == n
+
+
+def test_memory_is_given_back_at_the_end_of_a_task(monkeypatch):
+    """Once per task, after its last batch, and also if the task stops early."""
+    seen = []
+    monkeypatch.setattr(common, "release", lambda: seen.append("release"))
+    run = common.released(lambda batches: (b + 1 for b in batches))
+    for out in run(iter([1, 2])):
+        seen.append(out)
+    assert seen == [2, 3, "release"]
+    part = run(iter([1, 2]))
+    next(part)
+    part.close()
+    assert seen == [2, 3, "release", "release"]
+
+
+def test_counting_grams_holds_little(spark, monkeypatch):
+    """Whatever a task counts, it holds no more than 2^21 grams and a batch's."""
+    held = []
+    monkeypatch.setattr(quality, "in_tasks", lambda df, run, schema: held.append(run) or df.selectExpr("0L as gram", "0L as n"))
+    monkeypatch.setattr(quality, "added_up", lambda g, c, f=quality.added_up: held.append(len(g)) or f(g, c))
+
+    class Docs:
+        def select(self, *_):
+            return self
+
+        def transform(self, run, *args):
+            return run(self, *args)
+
+        def selectExpr(self, *_):
+            return self
+
+        def groupBy(self, *_):
+            return self
+
+        agg = groupBy
+
+    quality.count_grams(Docs())
+    rng = random.Random(1)
+    texts = ["".join(chr(33 + rng.randrange(90)) for _ in range(100_000)) for _ in range(60)]
+    batches = [pa.RecordBatch.from_arrays([pa.array(texts[i : i + 5])], ["text"]) for i in range(0, 60, 5)]
+    n = sum(b.num_rows for b in held[0](iter(batches)))
+    assert n > 5_000_000 and max(held[1:]) < (1 << 21) + (1 << 20)
