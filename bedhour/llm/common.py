@@ -14,6 +14,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -103,10 +104,34 @@ def release() -> None:
         pass
 
 
+_kept: list[dict] = []
+_kept_by: list[int] = []
+
+
+def kept_by_stage() -> dict:
+    """A dictionary for what the tasks of a stage share in a Python worker; it is
+    emptied before the worker's first task of another one."""
+    _kept.append({})
+    return _kept[-1]
+
+
+def begin_task(stage: int | None) -> None:
+    """Let go what tasks of another stage have kept in this worker."""
+    if stage is None or _kept_by == [stage]:
+        return
+    _kept_by[:] = [stage]
+    if any(_kept):
+        for kept in _kept:
+            kept.clear()
+        release()
+
+
 def released(run: Callable) -> Callable:
-    """``run``, and at the end of its task ``release``."""
+    """``run`` without what earlier stages kept, and at the end of its task ``release``."""
 
     def until_end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        context = TaskContext.get()
+        begin_task(context.stageId() if context else None)
         try:
             yield from run(batches)
         finally:
@@ -159,11 +184,14 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def row_chunks(starts: np.ndarray, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
-    """Row ranges of about ``limit`` bytes each; a longer text is a range of its own."""
+def row_chunks(starts: np.ndarray, limit: int = CHUNK_BYTES, rows: int | None = None) -> Iterator[tuple[int, int]]:
+    """Row ranges of about ``limit`` bytes and at most ``rows`` rows each; a longer
+    text is a range of its own."""
     first, n = 0, len(starts) - 1
     while first < n:
         last = max(first + 1, int(np.searchsorted(starts, starts[first] + limit, side="right")) - 1)
+        if rows is not None:
+            last = min(last, first + rows)
         yield first, last
         first = last
 
@@ -172,7 +200,7 @@ MIX_1 = np.uint64(0xBF58476D1CE4E5B9)
 MIX_2 = np.uint64(0x94D049BB133111EB)
 BASE = 0x9E3779B97F4A7C15 | 1
 BASE_INVERSE = pow(BASE, -1, 1 << 64)
-_powers: dict[int, np.ndarray] = {}
+_powers: dict[int, np.ndarray] = kept_by_stage()
 
 
 def mix(x: np.ndarray) -> np.ndarray:

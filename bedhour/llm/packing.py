@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .common import in_tasks
+from .common import in_tasks, kept_by_stage
 
 # Word pattern of the byte-level tokenizer files (fixed value).
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -111,7 +111,7 @@ class Encoder:
         return np.frombuffer(array(self.code, ids), self.dtype)
 
 
-_encoders: dict[int, Encoder] = {}
+_encoders: dict[int, Encoder] = kept_by_stage()
 
 
 def encoder(definition: str) -> Encoder:

@@ -64,6 +64,10 @@ MODEL_ENTRIES = 1 << 22
 TABLE_BYTES = 1 << 20
 # Counted grams that a task holds, and rows of a batch that it hands on.
 HELD_GRAMS, OUT_ROWS = 1 << 21, 1 << 16
+# A gram and its count are held as one number; the count has the bits that the
+# gram leaves, so it is of no more texts than they can count.
+COUNT_BITS = np.uint64(64 - 8 * ORDER)
+MOST_TEXTS = np.uint64((1 << int(COUNT_BITS)) - 1)
 SYMBOLS = np.zeros(256, bool)
 SYMBOLS[list(b"#*$%&|<>")] = True
 STEPS = 200  # histogram steps per unit of log2 perplexity
@@ -164,31 +168,49 @@ def added_up(grams: np.ndarray, counts: np.ndarray | None) -> tuple[np.ndarray,
     return grams[first], np.add.reduceat(counts, first) if len(first) else counts
 
 
+def merged(held: list[np.ndarray]) -> np.ndarray:
+    """Grams with counts, each in one number (see ``COUNT_BITS``), in order and
+    added up. ``held`` is emptied: no copy of it stays beside the sum."""
+    both = np.concatenate(held)
+    held.clear()
+    both.sort()
+    first = np.flatnonzero(new_ones(both >> COUNT_BITS))
+    counts = np.add.reduceat(both & MOST_TEXTS, first) if len(first) else both
+    both = both[first]
+    both &= ~MOST_TEXTS
+    both |= counts
+    return both
+
+
 def count_grams(docs: DataFrame) -> DataFrame:
     """``gram, n``: in how many texts each gram stands. A task adds up what it
-    has counted whenever that is ``HELD_GRAMS`` rows, and hands it on once half
-    of them are different."""
+    has counted whenever that is ``HELD_GRAMS`` numbers, and hands it on once half
+    of them are different, or if more texts might not fit the bits of a count."""
 
-    def merged(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-        grams, counts = (np.concatenate(parts) for parts in zip(*held, strict=True))
-        order = np.argsort(grams)
-        return added_up(grams[order], counts[order])
-
-    def out(found: tuple[np.ndarray, np.ndarray]) -> Iterator[pa.RecordBatch]:
-        for first in range(0, len(found[0]), OUT_ROWS):
-            yield pa.RecordBatch.from_arrays([pa.array(c[first : first + OUT_ROWS]) for c in found], ["gram", "n"])
+    def out(found: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for first in range(0, len(found), OUT_ROWS):
+            part = found[first : first + OUT_ROWS]
+            columns = [(part >> COUNT_BITS).view(np.int64), (part & MOST_TEXTS).view(np.int64)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["gram", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray]] = []
+        held: list[np.ndarray] = []
+        texts = 0
         for batch in batches:
             data, starts = text_bytes(batch.column(0))
-            for first, last in row_chunks(starts):
+            for first, last in row_chunks(starts, rows=int(MOST_TEXTS)):
+                if texts + last - first > MOST_TEXTS:
+                    yield from out(merged(held))
+                    texts = 0
                 part = data[starts[first] : starts[last]]
-                held.append(_texts_per_gram(part, starts[first : last + 1] - starts[first]))
-                if sum(len(k) for k, _ in held) >= HELD_GRAMS:
+                grams, counts = _texts_per_gram(part, starts[first : last + 1] - starts[first])
+                held.append(grams.view(np.uint64) << COUNT_BITS | counts.view(np.uint64))
+                texts += last - first
+                if sum(map(len, held)) >= HELD_GRAMS:
                     held = [merged(held)]
-                    if len(held[0][0]) >= HELD_GRAMS // 2:
+                    if len(held[0]) >= HELD_GRAMS // 2:
                         yield from out(held.pop())
+                        texts = 0
         if held:
             yield from out(merged(held))
 

@@ -2,13 +2,15 @@
 
 import random
 import re
+import tracemalloc
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 
 import corpus_pipeline
 import __spark_entry__ as entry
-from bedhour.llm import common, quality, queries
+from bedhour.llm import common, packing, quality, queries
 
 
 def test_every_operator_has_one_query():
@@ -93,3 +95,72 @@ def test_counting_grams_holds_little(spark, monkeypatch):
     batches = [pa.RecordBatch.from_arrays([pa.array(texts[i : i + 5])], ["text"]) for i in range(0, 60, 5)]
     n = sum(b.num_rows for b in held[0](iter(batches)))
     assert n > 5_000_000 and max(held[1:]) < (1 << 21) + (1 << 20)
+
+
+def counting_task(monkeypatch):
+    """What a task of ``count_grams`` runs."""
+    found = []
+    monkeypatch.setattr(quality, "in_tasks", lambda df, run, schema: found.append(run) or df)
+    with monkeypatch.context() as patch:
+        patch.setattr(quality, "F", type("AnyColumn", (), {"__getattr__": lambda c, _: lambda *_: c})())
+        any_frame = type("AnyFrame", (), {"__getattr__": lambda d, _: lambda *_: d, "transform": lambda d, f, *a: f(d, *a)})
+        quality.count_grams(any_frame())
+    return found[0]
+
+
+def counted(task, texts, rows):
+    batches = [pa.RecordBatch.from_arrays([pa.array(texts[i : i + rows], pa.string())], ["text"]) for i in range(0, len(texts), rows)]
+    total = Counter()
+    for batch in task(iter(batches)):
+        for gram, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            total[gram.to_bytes(quality.ORDER, "big")] += n
+    return total
+
+
+def test_counting_grams_takes_little_memory(monkeypatch):
+    """Arrays of a task that counts the grams of 8 MB of random letters."""
+    task = counting_task(monkeypatch)
+    letters = np.random.default_rng(3).integers(33, 126, 8_000_000, np.uint8).tobytes().decode()
+    column = pa.array([letters[i : i + 2_000] for i in range(0, len(letters), 2_000)])
+    batches = [pa.RecordBatch.from_arrays([column[i : i + 1_000]], ["text"]) for i in range(0, len(column), 1_000)]
+    tracemalloc.start()
+    try:
+        n = sum(batch.num_rows for batch in task(iter(batches)))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert n > 7_000_000 and peak < 120e6
+
+
+def test_counts_of_more_texts_than_their_bits_hold(monkeypatch):
+    """A gram of every text, over many batches and in one batch; with nulls,
+    texts without a gram, and bytes over 127."""
+    task = counting_task(monkeypatch)
+    texts = ["Common", None, "five5", ""] * 50_000 + ["\U0010ffff\U0010fffe common common"] * 20_000
+    expected = Counter()
+    for text, n in Counter(texts).items():
+        data = re.sub(rb"[A-Z]", lambda m: m[0].lower(), (text or "").encode())
+        for gram in {data[i : i + quality.ORDER] for i in range(len(data) - quality.ORDER + 1)}:
+            expected[gram] += n
+    assert expected[b"common"] == 70_000
+    for rows in (1_000, len(texts)):
+        assert counted(task, texts, rows) == expected
+    assert counted(task, [], 1) == counted(task, [None, "", "five5"], 2) == Counter()
+
+
+def test_a_worker_lets_go_what_another_stage_kept(monkeypatch):
+    seen = []
+    monkeypatch.setattr(common, "release", lambda: seen.append("release"))
+    monkeypatch.setattr(common, "_kept_by", [])
+    monkeypatch.setattr(packing, "Encoder", lambda definition: object())
+    common.begin_task(1)
+    seen.clear()
+    first = packing.encoder("a")
+    common.begin_task(1)
+    assert packing.encoder("a") is first and not seen
+    common.begin_task(2)
+    assert not packing._encoders and seen == ["release"]
+    common.begin_task(3)
+    assert seen == ["release"]
+    assert packing.encoder("a") is not first
+    packing._encoders.clear()
